@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgraph.functions.documents import clean_value
+from docgraph.functions.documents import clean_value, source_json
 
 # Mapping type to Spark type.
 TYPES = {
@@ -103,7 +103,7 @@ def apply_mapping(documents: DataFrame, mapping: dict) -> DataFrame:
     """Coerce ``_source`` to the mapping and add ``_errors``, one entry per value that does not fit.
 
     Mapped fields that the documents lack become null; unmapped fields pass as they are. A document
-    without errors has an empty array.
+    without errors has an empty array; one with errors keeps its original text in ``_given``.
     """
     wanted = mapping_to_schema(mapping)
     present = {field.name: field.dataType for field in documents.schema["_source"].dataType}
@@ -138,7 +138,11 @@ def apply_mapping(documents: DataFrame, mapping: dict) -> DataFrame:
             result[field.name] = F.lit(None).cast(field.dataType)
     source = F.struct(*[column.alias(name) for name, column in result.items()])
     found = F.array_compact(F.array(*errors)) if errors else F.array().cast(ERRORS)
-    return documents.withColumn("_errors", found.cast(ERRORS)).withColumn("_source", source)
+    return (
+        documents.withColumn("_errors", found.cast(ERRORS))
+        .withColumn("_given", F.when(F.size("_errors") > 0, source_json()))
+        .withColumn("_source", source)
+    )
 
 
 ERRORS = T.ArrayType(
@@ -148,4 +152,4 @@ ERRORS = T.ArrayType(
 
 def split_accepted(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted documents, and rejected ones with their errors."""
-    return checked.filter(F.size("_errors") == 0).drop("_errors"), checked.filter(F.size("_errors") > 0)
+    return checked.filter(F.size("_errors") == 0).drop("_errors", "_given"), checked.filter(F.size("_errors") > 0)

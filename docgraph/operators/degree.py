@@ -31,7 +31,7 @@ def degree_summary(frequencies: DataFrame) -> DataFrame:
         F.min("degree").alias("min_degree"),
         F.max("degree").alias("max_degree"),
         (F.sum(F.col("degree") * F.col("vertices")) / total).alias("mean_degree"),
-        F.percentile("degree", 0.5, "vertices").alias("median_degree"),
+        F.percentile("degree", 0.5, F.col("vertices")).alias("median_degree"),
     )
 
 

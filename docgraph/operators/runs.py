@@ -99,8 +99,9 @@ def summary_table(summary: DataFrame, directions: Iterable[str], sizes: Iterable
         .select(
             "direction",
             size,
-            *[F.round(c, 2).alias(c) for c in latencies],
-            *[F.round(c, 0).cast("long").alias(c) for c in counts],
+            # Formatting rounds the exact value, where round() would first take its decimal text.
+            *[F.call_function("format_number", F.col(c), F.lit("0.00")).cast("double").alias(c) for c in latencies],
+            *[F.call_function("format_number", F.col(c), F.lit("0")).cast("long").alias(c) for c in counts],
         )
     )
 

@@ -47,7 +47,11 @@ def _load(
         known = F.col("_errors") if in_force else F.array().cast(ERRORS)
         unread = F.struct(F.lit(None), F.col(csv.PROBLEM), F.col(csv.RAW))
         unread = F.array(unread).cast(ERRORS)
-        documents = documents.withColumn("_errors", F.when(F.col(csv.PROBLEM).isNotNull(), unread).otherwise(known))
+        given = F.col("_given") if in_force else F.lit(None).cast("string")
+        lost = F.col(csv.PROBLEM).isNotNull()
+        documents = documents.withColumns(
+            {"_errors": F.when(lost, unread).otherwise(known), "_given": F.when(lost, F.col(csv.RAW)).otherwise(given)}
+        )
     return bulk_index(documents, root, index_name, ["_listed", *position], chunk_size, mode)
 
 

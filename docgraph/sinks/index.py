@@ -195,7 +195,7 @@ def bulk_index(
     staged = documents.select(
         F.coalesce("_id", F.uuid()).alias("_id"),
         F.when(~rejected, F.col("_source")).alias("_source"),
-        F.when(rejected, source_json()).alias("_rejected"),
+        F.when(rejected, F.col("_given") if "_given" in documents.columns else source_json()).alias("_rejected"),
         errors.alias("_errors"),
         (F.col("_file") if "_file" in documents.columns else F.lit(None).cast("string")).alias("_file"),
         F.col("_id").isNotNull().alias("_keyed"),
