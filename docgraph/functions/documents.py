@@ -16,9 +16,8 @@ def quoted(name: str) -> Column:
 
 def iso_text(column: Column, zoned: bool) -> Column:
     """ISO 8601 text: six fraction digits, or none if the fraction is zero."""
-    whole, zone = "yyyy-MM-dd'T'HH:mm:ss", "xxx" if zoned else ""
-    text = F.date_format(column, f"{whole}.SSSSSS{zone}")
-    return F.regexp_replace(text, r"[.]000000(?=$|[+-])", "") if zoned else F.regexp_replace(text, "[.]000000$", "")
+    text = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + ("xxx" if zoned else ""))
+    return F.replace(text, F.lit(".000000"), F.lit(""))
 
 
 def _is_plain(kind: T.DataType) -> bool:

@@ -51,13 +51,19 @@ class EdgeList:
     table: DataFrame
     hot: HotKeys
 
+    def with_node(self, vertices: DataFrame, how: str = "inner") -> DataFrame:
+        """The edge rows with the columns that ``vertices`` has for their node; only ``vertices`` moves."""
+        keys = self.hot.keys("node")
+        return self.table.join(self.hot.copy(vertices, "node"), keys, how).drop(*keys[1:])
+
     def neighbours(self, frontier: DataFrame) -> DataFrame:
         """Send the bits of every frontier vertex to its neighbours."""
-        return (
-            self.hot.copy(frontier, "node")
-            .join(self.table.filter(F.col("neighbour").isNotNull()), self.hot.keys("node"))
-            .select(F.col("neighbour").alias("node"), "word", "bits")
-        )
+        sent = self.with_node(frontier).filter(F.col("neighbour").isNotNull())
+        return sent.select(F.col("neighbour").alias("node"), "word", "bits")
+
+    def totals(self) -> DataFrame:
+        """Edge rows per node."""
+        return self.table.groupBy("node").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -104,7 +110,8 @@ def prepare_links(
         return EdgeList(table, hot)
 
     forward, *reverse = run_together(
-        [lambda: edge_list(to_field, from_field)] + [lambda: edge_list(from_field, to_field)] * both_ways
+        edges.sparkSession,
+        [lambda: edge_list(to_field, from_field)] + [lambda: edge_list(from_field, to_field)] * both_ways,
     )
     return Links(edges, from_field, to_field, forward, *reverse or [None])
 
@@ -118,9 +125,9 @@ def _bit(flag: str | Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.col(flag) if isinstance(flag, str) else flag)
 
 
-def _flag_position(rows: DataFrame) -> DataFrame:
-    """One row per set bit, its number in column ``flag``."""
-    positions = F.array(*[F.lit(i) for i in range(FLAGS)])
+def _flag_position(rows: DataFrame, flags: int) -> DataFrame:
+    """One row per set bit, its number in column ``flag``; ``flags`` numbers are in use."""
+    positions = F.array(*[F.lit(i) for i in range(flags)])
     return rows.withColumn("flag", F.explode(positions)).filter(F.getbit("bits", F.col("flag")) == 1)
 
 
@@ -146,6 +153,8 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
         ]
     )
 
+    none = F.lit(None).cast("long")
+
     def reached() -> DataFrame:
         return spark.read.schema(layout).parquet(path)
 
@@ -155,23 +164,15 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
         if rows == 0:
             break
         done = reached()
-        frontier = done.filter(F.col("dist") == dist - 1).drop("dist")
-        sent = lists[0].neighbours(frontier)
-        for other in lists[1:]:
-            sent = sent.unionByName(other.neighbours(frontier))
-        # One shuffle combines the candidates and removes what a start has reached before.
+        frontier = done.filter(F.col("dist") == dist - 1)
         # Both ways, a neighbour of round k-1 lies in round k-2, k-1 or k: older rounds need no check.
         seen = done.filter(F.col("dist") >= dist - 2) if direction == "bi" else done
-        none = F.lit(None).cast("long")
-        fresh = (
-            sent.withColumn("seen", none)
-            .unionByName(seen.select("node", "word", none.alias("bits"), F.col("bits").alias("seen")))
-            .groupBy("node", "word")
-            .agg(F.bit_or("bits").alias("bits"), F.coalesce(F.bit_or("seen"), F.lit(0).cast("long")).alias("seen"))
-            .withColumn("bits", F.col("bits").bitwiseAND(F.bitwise_not("seen")))
-            .filter(F.col("bits") != 0)
-            .drop("seen")
-        )
+        moved = seen.select("node", "word", none.alias("bits"), F.col("bits").alias("seen"))
+        for edge_list in lists:
+            moved = moved.union(edge_list.neighbours(frontier).select("*", none))
+        # One shuffle combines the candidates and removes what a start has reached before.
+        new_bits = F.bit_or("bits").bitwiseAND(F.bitwise_not(F.coalesce(F.bit_or("seen"), F.lit(0).cast("long"))))
+        fresh = moved.groupBy("node", "word").agg(new_bits.alias("bits")).filter(F.col("bits") != 0)
         rows = write_counted(fresh, f"{path}/dist={dist}")
     return reached()
 
@@ -190,11 +191,18 @@ def reached_edges(
         near = reached.filter(F.col("dist") <= max_depth)
         placed = join_skewed(rows.withColumn("node", F.col(to_end)), near, "node", links.forward.hot)
         return placed.drop("node").withColumnRenamed("dist", depth_field)
-    near = reached.withColumnsRenamed({"bits": "_bits", "dist": "_dist"})
-    far = reached.withColumnsRenamed({"bits": "_far_bits", "dist": "_far_dist", "word": "_far_word"})
     ends = rows.withColumn("node", F.coalesce(to_end, from_end))
-    placed = join_skewed(ends, near, "node", links.forward.hot)
-    placed = placed.withColumn("node", F.coalesce(from_end, to_end))
+    placed = join_skewed(ends, _near(reached), "node", links.forward.hot).withColumn("node", F.coalesce(from_end, to_end))
+    return _at_both_ends(links, placed, reached, max_depth, depth_field)
+
+
+def _near(reached: DataFrame) -> DataFrame:
+    return reached.withColumnsRenamed({"bits": "_bits", "dist": "_dist"})
+
+
+def _at_both_ends(links: Links, placed: DataFrame, reached: DataFrame, max_depth: int, depth_field: str) -> DataFrame:
+    """Complete rows that have one end's distances with those of the other end, ``node``."""
+    far = reached.withColumnsRenamed({"bits": "_far_bits", "dist": "_far_dist", "word": "_far_word"})
     placed = join_skewed(placed, far, "node", links.reverse.hot)
     return (
         placed.filter(F.col("word") == F.col("_far_word"))
@@ -220,15 +228,19 @@ def start_keys(
     return keys.join(wanted, "start", "left_semi").distinct()
 
 
-def number_starts(starts: DataFrame) -> DataFrame:
-    """Give every start a word and a flag: ``(start, word, flag)``, written so that it stays fixed."""
+def number_starts(starts: DataFrame) -> tuple[DataFrame, int]:
+    """Give every start a word and a flag: ``(start, word, flag)``, written so that it stays fixed.
+
+    Also returns how many flags of a word are in use.
+    """
     keys = write_table(starts.select("start").distinct(), "starts")
     # Few starts share one partition, so that their words are full; many spread out by the million.
-    parts = max(1, -(-keys.count() // 1_000_000))
+    count = keys.count()
+    parts = max(1, -(-count // 1_000_000))
     position = F.monotonically_increasing_id().alias("position")
     word, flag = _word_and_flag("position")
     numbered = keys.repartition(parts).select("start", position).select("start", word.alias("word"), flag.alias("flag"))
-    return write_table(numbered, "starts")
+    return write_table(numbered, "starts"), max(1, min(FLAGS, count))
 
 
 def _seeds(numbered: DataFrame) -> DataFrame:
@@ -240,9 +252,9 @@ def _one_seed(starts: DataFrame) -> DataFrame:
     return starts.select(F.col("start").alias("node"), zero.alias("word"), one.alias("bits"))
 
 
-def _per_start(rows: DataFrame, numbered: DataFrame) -> DataFrame:
+def _per_start(rows: DataFrame, numbered: DataFrame, flags: int) -> DataFrame:
     """Replace ``word`` and ``bits`` by one row per start."""
-    return _flag_position(rows).join(numbered, ["word", "flag"]).drop("word", "flag", "bits")
+    return _flag_position(rows, flags).join(numbered, ["word", "flag"]).drop("word", "flag", "bits")
 
 
 def graph_lookup(
@@ -270,9 +282,10 @@ def graph_lookup(
     if batch:
         reached = traverse(links, _one_seed(keys), direction, rounds)
         return reached_edges(links, links.edges, reached, direction, max_depth, depth_field).drop("word", "bits")
-    numbered = number_starts(keys)
+    numbered, flags = number_starts(keys)
     reached = traverse(links, _seeds(numbered), direction, rounds)
-    return _per_start(reached_edges(links, links.edges, reached, direction, max_depth, depth_field), numbered)
+    returned = reached_edges(links, links.edges, reached, direction, max_depth, depth_field)
+    return _per_start(returned, numbered, flags)
 
 
 def nest_reports(
@@ -313,32 +326,30 @@ def _alive(links: Links, direction: str, reached: DataFrame) -> DataFrame:
     seeds = reached.filter(F.col("dist") == 0)
     used = None
     for edge_list in links.lists(direction):
-        some = edge_list.hot.copy(seeds, "node").join(edge_list.table, edge_list.hot.keys("node"))
-        some = some.select(*reached.columns)
+        some = edge_list.with_node(seeds).select(*reached.columns)
         used = some if used is None else used.unionAll(some)
     return used.distinct().unionAll(reached.filter(F.col("dist") > 0))
 
 
-def _pair_rows(links: Links, direction: str) -> DataFrame:
-    """Edge rows summed per pair of ends, under the edge table's own field names."""
-    forward = links.forward.table.select(
-        F.col("node").alias(links.to_field), F.col("neighbour").alias(links.from_field), "n"
-    )
-    if direction == "uni":
-        return forward
-    only_from = links.reverse.table.filter(F.col("neighbour").isNull()).select(
-        F.col("neighbour").alias(links.to_field), F.col("node").alias(links.from_field), "n"
-    )
-    return forward.unionByName(only_from)
+def _pairs_with_node(links: Links, vertices: DataFrame, how: str = "inner") -> DataFrame:
+    """All edge rows once, summed per pair of ends, with one end's columns; ``node`` is the other end.
+
+    Edges come from the forward list; those without a ``to_field`` are only in the reverse list. An
+    edge with one null end has the same vertex as both.
+    """
+    forward = links.forward.with_node(vertices, how)
+    lone = links.reverse.with_node(vertices, how).filter(F.col("neighbour").isNull())
+    pairs = forward.unionByName(lone)
+    return pairs.withColumn("node", F.coalesce("neighbour", "node")).drop("neighbour")
 
 
 def _first_edges(links: Links, direction: str, reached: DataFrame, max_depth: int) -> DataFrame:
     """``(word, bits, depth, n)``: n edge rows first returned at that depth."""
     if direction == "uni":
         # All edges of a vertex come back together, so its edge total stands for them.
-        degrees = links.forward.table.groupBy("node").agg(F.sum("n").alias("n"))
-        return degrees.join(reached.filter(F.col("dist") <= max_depth), "node").withColumnRenamed("dist", "depth")
-    return reached_edges(links, _pair_rows(links, direction), reached, direction, max_depth)
+        near = reached.filter(F.col("dist") <= max_depth)
+        return links.forward.totals().join(near, "node").withColumnRenamed("dist", "depth")
+    return _at_both_ends(links, _pairs_with_node(links, _near(reached)), reached, max_depth, "depth")
 
 
 def depth_sweep(
@@ -358,16 +369,16 @@ def depth_sweep(
     """
     directions, depths = list(directions), sorted(set(max_depths))
     links = edges if isinstance(edges, Links) else prepare_links(edges, from_field, to_field, "bi" in directions)
-    numbered = number_starts(start_keys(vertices, starts, start_field, links.node_type))
+    numbered, flags = number_starts(start_keys(vertices, starts, start_field, links.node_type))
     wanted = F.array(*[F.lit(d) for d in depths])
-    runs = run_together([partial(traverse, links, _seeds(numbered), d, depths[-1] + 1) for d in directions])
+    runs = run_together(vertices.sparkSession, [partial(traverse, links, _seeds(numbered), d, depths[-1] + 1) for d in directions])
     results = []
     for direction, reached in zip(directions, runs):
-        first_edges = _flag_position(_first_edges(links, direction, reached, depths[-1])).select(
+        first_edges = _flag_position(_first_edges(links, direction, reached, depths[-1]), flags).select(
             "word", "flag", "depth", "n", F.lit(0).alias("nodes")
         )
         # A vertex joins the ends of the returned edges one round before its own distance.
-        first_nodes = _flag_position(_alive(links, direction, reached)).select(
+        first_nodes = _flag_position(_alive(links, direction, reached), flags).select(
             "word",
             "flag",
             F.greatest(F.col("dist") - 1, F.lit(0)).alias("depth"),
@@ -415,17 +426,14 @@ def multivalue_sweep(
         F.col("start").alias("node"), word.alias("word"), _bit(flag).alias("bits")
     )
     lowest = F.min(_lowest_position(F.col("word"), F.col("bits"))).alias("rank")
-    runs = run_together([partial(traverse, links, seeds, d, max_depth + 1) for d in directions])
+    runs = run_together(vertices.sparkSession, [partial(traverse, links, seeds, d, max_depth + 1) for d in directions])
     results = []
     for direction, reached in zip(directions, runs):
         rank_of = reached.filter(F.col("dist") <= max_depth).groupBy("node").agg(lowest)
         if direction == "uni":
-            degrees = links.forward.table.groupBy("node").agg(F.sum("n").alias("n"))
-            first_edges = degrees.join(rank_of, "node").select("rank", "n")
+            first_edges = links.forward.totals().join(rank_of, "node").select("rank", "n")
         else:
-            pairs = _pair_rows(links, direction).withColumn("node", F.coalesce(links.to_field, links.from_field))
-            pairs = join_skewed(pairs, rank_of, "node", links.forward.hot, "left").withColumnRenamed("rank", "_rank")
-            pairs = pairs.withColumn("node", F.coalesce(links.from_field, links.to_field))
+            pairs = _pairs_with_node(links, rank_of, "left").withColumnRenamed("rank", "_rank")
             pairs = join_skewed(pairs, rank_of, "node", links.reverse.hot, "left")
             first_edges = pairs.select(F.least("_rank", "rank").alias("rank"), "n").filter(F.col("rank").isNotNull())
         first_nodes = _alive(links, direction, reached).groupBy("node").agg(lowest)

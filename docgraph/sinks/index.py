@@ -20,6 +20,9 @@ from docgraph.functions.mapping import ERRORS, mapping_to_schema
 from docgraph.plans.scratch import remove_path
 
 
+REJECTED = "_rejected"
+
+
 class IndexFolder:
     """The manifests and segments of one index."""
 
@@ -59,10 +62,15 @@ class IndexFolder:
         return f"{self.path}/segments/{uuid4().hex}"
 
     def read(self, segments: list[str], schema: StructType) -> DataFrame:
-        layout = StructType([StructField("_id", StringType()), StructField("_source", schema)])
+        """The accepted documents of some segments.
+
+        A segment as first written also holds the rejected documents, as text in a column of their
+        own; it is null for accepted ones, and absent in segments written anew.
+        """
+        layout = [StructField("_id", StringType()), StructField("_source", schema), StructField(REJECTED, StringType())]
         if not segments:
-            return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).parquet(*segments)
+            return self.spark.createDataFrame([], StructType(layout[:2]))
+        return self.spark.read.schema(StructType(layout)).parquet(*segments).filter(F.col(REJECTED).isNull()).drop(REJECTED)
 
 
 def _source_schema(state: dict) -> StructType:
@@ -148,8 +156,8 @@ class Load:
 
     @property
     def rejects(self) -> DataFrame:
-        rejected = self._staged.filter(F.col("_status") == "rejected")
-        return rejected.select("_id", F.col("_rejected").alias("_source"), F.col("_errors").alias("errors"))
+        rejected = self._staged.filter(F.col(REJECTED).isNotNull())
+        return rejected.select("_id", F.col(REJECTED).alias("_source"), F.col("_errors").alias("errors"))
 
     def error_head(self, n: int = 5) -> DataFrame:
         return self.rejects.orderBy("_id", "_source").limit(n)
@@ -158,8 +166,8 @@ class Load:
 def _tallies() -> list:
     return [
         F.count(F.lit(1)).alias("total_documents"),
-        F.count_if(F.col("_status") == "accepted").alias("successful"),
-        F.count_if(F.col("_status") == "rejected").alias("failed"),
+        F.count_if(F.col(REJECTED).isNull()).alias("successful"),
+        F.count_if(F.col(REJECTED).isNotNull()).alias("failed"),
     ]
 
 
@@ -195,14 +203,13 @@ def bulk_index(
     staged = documents.select(
         F.coalesce("_id", F.uuid()).alias("_id"),
         F.when(~rejected, F.col("_source")).alias("_source"),
-        F.when(rejected, F.col("_given") if "_given" in documents.columns else source_json()).alias("_rejected"),
+        F.when(rejected, F.col("_given") if "_given" in documents.columns else source_json()).alias(REJECTED),
         errors.alias("_errors"),
         (F.col("_file") if "_file" in documents.columns else F.lit(None).cast("string")).alias("_file"),
         F.col("_id").isNotNull().alias("_keyed"),
         place.alias("_place"),
-        F.when(rejected, "rejected").otherwise("accepted").alias("_status"),
     )
-    staged.write.options(**limit).partitionBy("_status").parquet(staged_path)
+    staged.write.options(**limit).parquet(staged_path)
     staged = spark.read.schema(staged.schema).parquet(staged_path)
     load = Load(staged)
     if mode == "failfast":
@@ -211,19 +218,18 @@ def bulk_index(
             remove_path(spark, staged_path)
             raise ValueError(f"{failed} documents rejected")
 
-    segments = list(state["segments"])
-    keyed = staged.filter((F.col("_status") == "accepted") & F.col("_keyed"))
-    new = f"{staged_path}/_status=accepted"
-    repeated = keyed.groupBy("_id").agg(F.max("_place").alias("_place"), F.count(F.lit(1)).alias("_n"))
-    if not staged.filter(F.col("_status") == "accepted").isEmpty():
-        if not repeated.filter(F.col("_n") > 1).isEmpty():
+    segments, new = list(state["segments"]), staged_path
+    accepted = staged.filter(F.col(REJECTED).isNull())
+    keyed = accepted.filter("_keyed")
+    last = keyed.groupBy("_id").agg(F.max("_place").alias("_place"), F.count(F.lit(1)).alias("_n"))
+    if not accepted.isEmpty():
+        if not last.filter(F.col("_n") > 1).isEmpty():
             new = folder.new_segment()
             # Joined on key and place together, a key with many documents spreads over all tasks.
-            last = keyed.join(repeated.drop("_n"), ["_id", "_place"], "left_semi")
-            unkeyed = staged.filter((F.col("_status") == "accepted") & ~F.col("_keyed"))
-            last.select("_id", "_source").unionByName(unkeyed.select("_id", "_source")).write.options(**limit).parquet(new)
+            kept = keyed.join(last.drop("_n"), ["_id", "_place"], "left_semi").unionByName(accepted.filter("not _keyed"))
+            kept.select("_id", "_source").write.options(**limit).parquet(new)
         if segments:
-            segments = _without(folder, segments, schema, repeated.select("_id"), limit)
+            segments = _without(folder, segments, schema, last.select("_id"), limit)
         segments.append(new)
     folder.commit(state["version"] + 1, state["mapping"], segments, schema)
     return load
@@ -231,9 +237,9 @@ def bulk_index(
 
 def _without(folder: IndexFolder, segments: list[str], schema: StructType, ids: DataFrame, limit: dict) -> list[str]:
     """The segments without the given keys; only those that hold one of them are written anew."""
-    stored = folder.read(segments, schema).select("_id", F.col("_metadata.file_path").alias("_file"))
-    segment = F.regexp_extract("_file", r"segments/([0-9a-f]+)", 1)
-    hit = stored.join(ids, "_id", "left_semi").select(segment.alias("segment")).distinct()
+    segment = F.regexp_extract("_metadata.file_path", r"segments/([0-9a-f]+)", 1)
+    stored = folder.read(segments, schema).select("_id", segment.alias("segment"))
+    hit = stored.join(ids, "_id", "left_semi").select("segment").distinct()
     # At most one row per segment.
     touched = {row["segment"] for row in hit.collect()}
     result = []
