@@ -120,13 +120,14 @@ def column_names(header: list[list[str]], width: int) -> list[str]:
     """Names from the header rows: levels joined by ``_``, blanks named, repeats numbered."""
     if not header:
         return [str(i) for i in range(width)]
-    names, counts, taken = [], {}, set()
-    for i, levels in enumerate(zip(*header)):
-        name = base = "_".join(levels) or f"Unnamed: {i}"
-        while name in taken:
+    given = ["_".join(levels) or f"Unnamed: {i}" for i, levels in enumerate(zip(*header))]
+    names, counts = [], {}
+    for base in given:
+        name = base
+        # A numbered name must not be one that the header itself has, wherever it stands.
+        while name in names or (name != base and name in given):
             counts[base] = counts.get(base, 0) + 1
             name = f"{base}.{counts[base]}"
-        taken.add(name)
         names.append(name)
     return names
 
