@@ -43,6 +43,9 @@ FLAGS = 62
 
 DIRECTIONS = ("uni", "bi")
 
+# Column by which the rows of a hot vertex are spread over its pieces.
+SPREAD = "_spread"
+
 
 @dataclass
 class EdgeList:
@@ -68,7 +71,10 @@ class EdgeList:
 
 @dataclass
 class Links:
-    """An edge table prepared for traversal; reusable for any number of lookups."""
+    """An edge table prepared for traversal; reusable for any number of lookups.
+
+    ``edges`` are the rows that lookups return; they have the column ``SPREAD`` if a vertex is hot.
+    """
 
     edges: DataFrame
     from_field: str
@@ -97,23 +103,29 @@ def prepare_links(
     both_ways: bool = True,
     min_split_rows: int | None = None,
 ) -> Links:
-    """Write the edge lists of ``edges``, one per direction in which they can be followed."""
+    """Write the edge lists of ``edges``, one per direction in which they can be followed.
+
+    The edge table is read once, to sum parallel edges; the lists and the search for hot vertices
+    work on the narrow sums.
+    """
+    spark = edges.sparkSession
     edges = edges.withColumn(from_field, F.col(from_field).cast(edges.schema[to_field].dataType))
+    pairs = write_table(edges.groupBy(to_field, from_field).agg(F.count(F.lit(1)).alias("n")), "pairs")
 
     def edge_list(node: str, neighbour: str) -> EdgeList:
-        matched = edges.filter(F.col(node).isNotNull())
-        hot = find_hot_keys(matched, node, min_split_rows)
-        pairs = matched.groupBy(F.col(node).alias("node"), F.col(neighbour).alias("neighbour")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        table = write_bucketed(hot.scatter(pairs, "node", by="neighbour"), hot.keys("node"), hot.rows, "links")
+        rows = pairs.filter(F.col(node).isNotNull()).select(F.col(node).alias("node"), F.col(neighbour).alias("neighbour"), "n")
+        hot = find_hot_keys(rows, "node", min_split_rows, F.col("n"))
+        table = write_bucketed(hot.scatter(rows, "node", by="neighbour"), hot.keys("node"), hot.rows, "links")
         return EdgeList(table, hot)
 
     forward, *reverse = run_together(
-        edges.sparkSession,
-        [lambda: edge_list(to_field, from_field)] + [lambda: edge_list(from_field, to_field)] * both_ways,
+        spark, [lambda: edge_list(to_field, from_field)] + [lambda: edge_list(from_field, to_field)] * both_ways
     )
-    return Links(edges, from_field, to_field, forward, *reverse or [None])
+    links = Links(edges, from_field, to_field, forward, *reverse or [None])
+    if any(edge_list.hot.salted for edge_list in [forward, *reverse]):
+        # Copies of one edge agree in every field; a number written with each row tells them apart.
+        links.edges = write_table(edges.withColumn(SPREAD, F.monotonically_increasing_id()), "edges")
+    return links
 
 
 def _word_and_flag(position: str) -> tuple[Column, Column]:
@@ -177,10 +189,8 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
     return reached()
 
 
-def reached_edges(
-    links: Links, rows: DataFrame, reached: DataFrame, direction: str, max_depth: int, depth_field: str = "depth"
-) -> DataFrame:
-    """Rows of the edge table (or of an aggregate of it) with ``word``, ``bits`` and their depth.
+def reached_edges(links: Links, reached: DataFrame, direction: str, max_depth: int, depth_field: str = "depth") -> DataFrame:
+    """Rows of the edge table with ``word``, ``bits`` and their depth.
 
     For ``bi``, ``reached`` must extend one round beyond ``max_depth``: then both ends of a returned
     edge are in it, and matching the two ends bit by bit gives every start's lesser distance
@@ -189,10 +199,11 @@ def reached_edges(
     to_end, from_end = links.to_field, links.from_field
     if direction == "uni":
         near = reached.filter(F.col("dist") <= max_depth)
-        placed = join_skewed(rows.withColumn("node", F.col(to_end)), near, "node", links.forward.hot)
-        return placed.drop("node").withColumnRenamed("dist", depth_field)
-    ends = rows.withColumn("node", F.coalesce(to_end, from_end))
-    placed = join_skewed(ends, _near(reached), "node", links.forward.hot).withColumn("node", F.coalesce(from_end, to_end))
+        placed = join_skewed(links.edges.withColumn("node", F.col(to_end)), near, "node", links.forward.hot, SPREAD)
+        return placed.drop("node", SPREAD).withColumnRenamed("dist", depth_field)
+    ends = links.edges.withColumn("node", F.coalesce(to_end, from_end))
+    placed = join_skewed(ends, _near(reached), "node", links.forward.hot, SPREAD)
+    placed = placed.withColumn("node", F.coalesce(from_end, to_end))
     return _at_both_ends(links, placed, reached, max_depth, depth_field)
 
 
@@ -203,13 +214,13 @@ def _near(reached: DataFrame) -> DataFrame:
 def _at_both_ends(links: Links, placed: DataFrame, reached: DataFrame, max_depth: int, depth_field: str) -> DataFrame:
     """Complete rows that have one end's distances with those of the other end, ``node``."""
     far = reached.withColumnsRenamed({"bits": "_far_bits", "dist": "_far_dist", "word": "_far_word"})
-    placed = join_skewed(placed, far, "node", links.reverse.hot)
+    placed = join_skewed(placed, far, "node", links.reverse.hot, SPREAD)
     return (
         placed.filter(F.col("word") == F.col("_far_word"))
         .withColumn("bits", F.col("_bits").bitwiseAND(F.col("_far_bits")))
         .withColumn(depth_field, F.least("_dist", "_far_dist"))
         .filter((F.col("bits") != 0) & (F.col(depth_field) <= max_depth))
-        .drop("node", "_bits", "_dist", "_far_bits", "_far_dist", "_far_word")
+        .drop("node", SPREAD, "_bits", "_dist", "_far_bits", "_far_dist", "_far_word")
     )
 
 
@@ -281,10 +292,10 @@ def graph_lookup(
     rounds = max_depth + (direction == "bi")
     if batch:
         reached = traverse(links, _one_seed(keys), direction, rounds)
-        return reached_edges(links, links.edges, reached, direction, max_depth, depth_field).drop("word", "bits")
+        return reached_edges(links, reached, direction, max_depth, depth_field).drop("word", "bits")
     numbered, flags = number_starts(keys)
     reached = traverse(links, _seeds(numbered), direction, rounds)
-    returned = reached_edges(links, links.edges, reached, direction, max_depth, depth_field)
+    returned = reached_edges(links, reached, direction, max_depth, depth_field)
     return _per_start(returned, numbered, flags)
 
 
@@ -339,7 +350,7 @@ def _pairs_with_node(links: Links, vertices: DataFrame, how: str = "inner") -> D
     """
     forward = links.forward.with_node(vertices, how)
     lone = links.reverse.with_node(vertices, how).filter(F.col("neighbour").isNull())
-    pairs = forward.unionByName(lone)
+    pairs = forward.unionByName(lone).withColumn(SPREAD, F.col("node"))
     return pairs.withColumn("node", F.coalesce("neighbour", "node")).drop("neighbour")
 
 
@@ -434,7 +445,7 @@ def multivalue_sweep(
             first_edges = links.forward.totals().join(rank_of, "node").select("rank", "n")
         else:
             pairs = _pairs_with_node(links, rank_of, "left").withColumnRenamed("rank", "_rank")
-            pairs = join_skewed(pairs, rank_of, "node", links.reverse.hot, "left")
+            pairs = join_skewed(pairs, rank_of, "node", links.reverse.hot, SPREAD, "left")
             first_edges = pairs.select(F.least("_rank", "rank").alias("rank"), "n").filter(F.col("rank").isNotNull())
         first_nodes = _alive(links, direction, reached).groupBy("node").agg(lowest)
         counts = (
@@ -485,7 +496,9 @@ def random_starts(vertices: DataFrame, start_field: str = "id", n: int = 10, see
         .orderBy("_order", "start")
         .limit(n)
     )
-    return chosen.select("start", F.row_number().over(Window.orderBy("_order", "start")).alias("rank"))
+    ranked = chosen.select("start", F.row_number().over(Window.orderBy("_order", "start")).alias("rank"))
+    # Without a seed every evaluation would choose anew.
+    return write_table(ranked, "starts") if seed is None else ranked
 
 
 def edge_report_parse(reports: DataFrame, column: str = "report", from_field: str = "target", to_field: str = "source") -> DataFrame:

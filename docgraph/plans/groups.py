@@ -74,11 +74,11 @@ def collect_pages(df: DataFrame, keys: list[str], item: Column, as_field: str, p
     """The items of each group as sorted arrays of about ``page_rows`` entries, numbered by ``page``.
 
     A group's rows are dealt evenly over as many pages as it needs, so no array grows with the data.
+    The rows are written first: they are read twice, and their numbers must not change in between.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(page_rows)).cast("long").alias("_pages"))
+    items = write_table(df.select(*keys, item.alias("_item"), F.monotonically_increasing_id().alias("_at")), "pages")
+    sizes = items.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(page_rows)).cast("long").alias("_pages"))
     sizes = sizes.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     # One row per group: Catalyst broadcasts it when small, else adaptive execution splits large groups.
-    dealt = df.join(sizes, _on(keys, "_of_")).withColumn(
-        "page", F.pmod(F.monotonically_increasing_id(), F.col("_pages")).cast("int")
-    )
-    return dealt.groupBy(*keys, "page").agg(F.sort_array(F.collect_list(item)).alias(as_field))
+    dealt = items.join(sizes, _on(keys, "_of_")).withColumn("page", F.pmod("_at", "_pages").cast("int"))
+    return dealt.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_item")).alias(as_field))

@@ -31,8 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/docgraph/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/docgraph/{label}-{uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has written; frames that still read it become invalid."""
+    remove_path(spark, _own_folder(spark))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key with fewer rows than this is never split, however small the table is.
@@ -33,17 +33,16 @@ class HotKeys:
         table = df.sparkSession.createDataFrame(self.splits, f"_hot {self.key_type}, _pieces int")
         return df.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("_hot")), "left")
 
-    def scatter(self, df: DataFrame, key: str, by: str | None = None) -> DataFrame:
-        """Give each row of the large side a piece number.
+    def scatter(self, df: DataFrame, key: str, by: str) -> DataFrame:
+        """Give each row of the large side a piece number, from the column ``by``.
 
-        ``by`` names a column that spreads a hot key's rows evenly; rows that agree on it share a
-        piece. Without it rows are dealt out in scan order.
+        ``by`` should differ between the rows of a hot key, and must be the same whenever a lost
+        task is run again: a field of the row or a number that was written with it.
         """
         if not self.salted:
             return df
-        spread = F.xxhash64(by) if by else F.monotonically_increasing_id()
-        salt = F.coalesce(F.pmod(spread, F.col("_pieces").cast("long")), F.lit(0)).cast("int")
-        return self._table(df, key).withColumn(SALT, salt).drop("_hot", "_pieces")
+        piece = F.pmod(F.xxhash64(by), F.col("_pieces").cast("long"))
+        return self._table(df, key).withColumn(SALT, F.coalesce(piece, F.lit(0)).cast("int")).drop("_hot", "_pieces")
 
     def copy(self, df: DataFrame, key: str) -> DataFrame:
         """Repeat each row of the small side once per piece of its key."""
@@ -56,9 +55,13 @@ class HotKeys:
         return [*names, SALT] if self.salted else list(names)
 
 
-def find_hot_keys(df: DataFrame, key: str, min_split_rows: int | None = None) -> HotKeys:
-    """Count rows per key (partial counts before the shuffle) and keep the keys worth splitting."""
-    counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
+def find_hot_keys(df: DataFrame, key: str, min_split_rows: int | None = None, rows: Column | None = None) -> HotKeys:
+    """Count rows per key (partial counts before the shuffle) and keep the keys worth splitting.
+
+    ``rows`` is the number of rows that a row stands for, if not 1.
+    """
+    weight = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    counts = df.groupBy(F.col(key).alias("_hot")).agg(weight.alias("_rows"))
     total, top = counts.agg(F.sum("_rows"), F.max("_rows")).first()
     key_type = df.schema[key].dataType.simpleString()
     if not total:
@@ -72,11 +75,11 @@ def find_hot_keys(df: DataFrame, key: str, min_split_rows: int | None = None) ->
     return HotKeys(total, [tuple(row) for row in hot.select("_hot", pieces).collect()], key_type)
 
 
-def join_skewed(large: DataFrame, small: DataFrame, key: str, hot: HotKeys, how: str = "inner") -> DataFrame:
-    """Join on ``key`` with the large side's hot keys split into pieces.
+def join_skewed(large: DataFrame, small: DataFrame, key: str, hot: HotKeys, by: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` with the large side's hot keys split into pieces by the column ``by``.
 
-    Both sides name the key ``key``; ``how`` may be any type that keeps the large side's rows at
-    most once per match (inner, left, left_semi).
+    Both sides name the key ``key``; ``how`` is a join type that keeps rows of the large side:
+    inner, left or left_semi.
     """
     keys = hot.keys(key)
-    return hot.scatter(large, key).join(hot.copy(small, key), keys, how).drop(SALT)
+    return hot.scatter(large, key, by).join(hot.copy(small, key), keys, how).drop(SALT)

@@ -52,8 +52,8 @@ RAW, PROBLEM = "_raw", "_problem"
 # Place of a record: its file, its input split in the file, and a rising number within the split.
 POSITION = ["_file", "_split", "_at"]
 
-# A broadcast row per input split; beyond this many the splits should be made larger.
-MOST_SPLITS = 4_000_000
+# The split table is broadcast up to this many rows of some hundred bytes.
+MOST_SPLITS = 1_000_000
 
 
 class CsvRead(NamedTuple):
@@ -167,22 +167,26 @@ def _place() -> list[Column]:
     return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split")]
 
 
-def _number(lines: DataFrame, name: str) -> DataFrame:
-    """Number the lines of each file from 0, in file order and without moving them.
+def _number(lines: DataFrame, name: str, in_order: bool) -> tuple[DataFrame, bool]:
+    """Number the lines of each file from 0, in file order.
 
-    A running id inside the scan's partitions gives the place within an input split; the splits'
-    line counts give the offset of each split. The split table is broadcast: that leaves the lines
-    in scan order, so that lines can be numbered again after a filter.
+    While the lines are in scan order, a running id gives the place within an input split; the
+    splits' line counts give the offset of each split. The split table, one short row per split, is
+    broadcast up to a size: that leaves the lines in scan order, and they can be numbered again after
+    a filter. With more splits the lines are shuffled by split, and later ranked within each.
     """
-    placed = lines.withColumn("_at", F.monotonically_increasing_id())
+    if in_order:
+        placed = lines.withColumn("_at", F.monotonically_increasing_id())
+    else:
+        within = Window.partitionBy("_file", "_split").orderBy("_at")
+        placed = lines.withColumn("_at", F.row_number().over(within).cast("long"))
     counts = placed.groupBy("_file", "_split").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_lines"))
     before = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_from")
     splits = write_table(counts.select("_file", "_split", offset.alias("_offset")), "splits")
-    if splits.count() > MOST_SPLITS:
-        raise ValueError("too many input splits to number lines; raise spark.sql.files.maxPartitionBytes")
-    numbered = placed.join(F.broadcast(splits), ["_file", "_split"])
-    return numbered.withColumn(name, F.col("_at") + F.col("_offset")).drop("_at", "_offset")
+    few = splits.count() <= MOST_SPLITS
+    numbered = placed.join(F.broadcast(splits) if few else splits, ["_file", "_split"])
+    return numbered.withColumn(name, F.col("_at") + F.col("_offset")).drop("_offset"), in_order and few
 
 
 def _from_lines(spark: SparkSession, paths: list[str], options: CsvOptions) -> tuple[DataFrame, list[str]]:
@@ -191,13 +195,14 @@ def _from_lines(spark: SparkSession, paths: list[str], options: CsvOptions) -> t
     text = spark.read.text(paths).select("value", *_place())
     if options.charset != "utf-8":
         text = text.withColumn("value", F.decode(F.col("value").cast("binary"), options.charset))
+    in_order = True
     if options.skiprows:
-        text = _number(text, "_line")
+        text, in_order = _number(text, "_line", in_order)
         if isinstance(options.skiprows, int):
             text = text.filter(F.col("_line") >= options.skiprows)
         else:
             text = text.filter(~F.col("_line").isin(list(options.skiprows)))
-    text = _number(text.filter(F.trim("value") != ""), "_record")
+    text, _ = _number(text.filter(F.trim("value") != ""), "_record", in_order)
 
     headers = options.header_rows
     wanted = headers or [0]

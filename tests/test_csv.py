@@ -112,8 +112,13 @@ def test_lines(spark, write, settings, columns, expected):
     assert table.columns == columns and rows(table) == expected
 
 
-def test_lines_are_numbered_over_many_splits(spark, write, monkeypatch):
-    """Files of many input splits: line numbers go through each file in order."""
+@pytest.mark.parametrize("most_splits", [1_000_000, 0])
+def test_lines_are_numbered_over_many_splits(spark, write, monkeypatch, most_splits):
+    """Files of many input splits: line numbers go through each file in order, with the split table
+    broadcast or, beyond its bound, joined by a shuffle."""
+    monkeypatch.setattr(source, "MOST_SPLITS", most_splits)
+    if not most_splits:
+        monkeypatch.setattr(source.F, "broadcast", None)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     spark.conf.set("spark.sql.files.openCostInBytes", "100")
@@ -131,12 +136,6 @@ def test_lines_are_numbered_over_many_splits(spark, write, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_too_many_splits(spark, write, monkeypatch):
-    monkeypatch.setattr(source, "MOST_SPLITS", 0)
-    with pytest.raises(ValueError, match="maxPartitionBytes"):
-        read_csv(spark, write("a\n1\n"), nrows=1)
-
-
 def test_chosen_columns_keep_file_order(spark, write):
     path = write("a,b,c\n1,2,3\n")
     assert rows(read_csv(spark, path, usecols=["c", "a"]).rows.select("*")) == [(1, 3)]

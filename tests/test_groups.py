@@ -37,7 +37,7 @@ def test_hot_keys_are_few_and_split(spark):
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = 3000 // partitions
     assert hot.rows == 3000 and hot.splits == [(1, -(-1000 // share))]
-    spread = hot.scatter(rows, "key").filter("key = 1").groupBy("_salt").count().collect()
+    spread = hot.scatter(rows, "key", "id").filter("key = 1").groupBy("_salt").count().collect()
     assert len(spread) == hot.splits[0][1] and max(r["count"] for r in spread) < 1000
 
 
@@ -47,6 +47,6 @@ def test_join_with_hot_keys_equals_plain_join(spark, how):
     small = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (None, "d")], "key long, name string")
     hot = find_hot_keys(large, "key", 10)
     assert hot.salted
-    got = join_skewed(large, small, "key", hot, how)
+    got = join_skewed(large, small, "key", hot, "id", how)
     expected = large.join(small, "key", how)
     assert sorted(map(str, got.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
