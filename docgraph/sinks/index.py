@@ -207,7 +207,7 @@ def bulk_index(
         errors.alias("_errors"),
         (F.col("_file") if "_file" in documents.columns else F.lit(None).cast("string")).alias("_file"),
         F.col("_id").isNotNull().alias("_keyed"),
-        place.alias("_place"),
+        F.when(F.col("_id").isNotNull(), place).alias("_place"),
     )
     staged.write.options(**limit).parquet(staged_path)
     staged = spark.read.schema(staged.schema).parquet(staged_path)

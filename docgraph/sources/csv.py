@@ -39,10 +39,8 @@ DTYPES = {
 # spark.sql.legacy.javaCharsets in the session.
 CHARSETS = {"iso8859-1": "iso-8859-1", "ascii": "us-ascii"}
 
-# Texts of whole numbers, numbers and truth values.
-WHOLE = r"^\s*[+-]?\d+\s*$"
-NUMBER = r"^\s*[+-]?((\d+[.]?\d*|[.]\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
-TRUTH = r"^(true|True|TRUE|false|False|FALSE)$"
+# Texts of truth values.
+TRUTH = ["true", "True", "TRUE", "false", "False", "FALSE"]
 
 # Date formats tried in this order; the first under which no value fails is taken.
 DATE_FORMATS = ["iso", "M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]"]
@@ -234,13 +232,19 @@ def _field_count(raw: Column, options: CsvOptions) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(options.delimiter))) + 1
 
 
+def _is_number(column: Column) -> Column:
+    """Whether a text is a number; a cast alone would also take type suffixes and hexadecimal texts."""
+    suffixed = F.right(column, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(column).endswith("inf")
+    return column.try_cast("double").isNotNull() & ~suffixed & ~F.lower(column).contains("x")
+
+
 def _fits(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
-        return column.rlike(WHOLE) & column.try_cast(kind).isNotNull()
+        return column.try_cast(kind).isNotNull()
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return column.rlike(NUMBER)
+        return _is_number(column)
     if isinstance(kind, T.BooleanType):
-        return column.rlike(TRUTH)
+        return column.isin(TRUTH)
     return F.lit(True)
 
 
@@ -253,22 +257,34 @@ def _date(column: Column, form: str) -> Column:
 def _converted(column: Column, kind: T.DataType | str) -> Column:
     if isinstance(kind, str):
         return _date(column, kind)
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.trim(column).try_cast(kind)
     if isinstance(kind, T.TimestampNTZType):
         return F.coalesce(*[_date(column, form) for form in DATE_FORMATS])
-    return column if isinstance(kind, T.StringType) else F.trim(column).try_cast(kind)
+    return column if isinstance(kind, T.StringType) else column.try_cast(kind)
+
+
+# Bits that say which kinds of value a column has: narrowest type of each value.
+LONG, DOUBLE, BOOLEAN, TEXT = 1, 2, 4, 8
+
+
+def _kind_of(column: Column) -> Column:
+    kind = F.when(_fits(column, T.LongType()), LONG).when(_is_number(column), DOUBLE).when(column.isin(TRUTH), BOOLEAN)
+    return F.when(column.isNotNull(), kind.otherwise(TEXT))
 
 
-# Types tried for a column, narrowest first.
-INFERRED = [T.LongType(), T.DoubleType(), T.BooleanType()]
+def _type_for(kinds: int | None) -> T.DataType:
+    if kinds == LONG:
+        return T.LongType()
+    if kinds is None or not kinds & (BOOLEAN | TEXT):
+        return T.DoubleType()
+    return T.BooleanType() if kinds == BOOLEAN else T.StringType()
 
 
 def _infer(texts: DataFrame, names: list[str], dates: list[str]) -> dict[str, T.DataType | str]:
     """Type of each named column, from one aggregate over the whole table.
 
     A date column takes the first format under which no value fails, or stays text; any other column
-    takes the first type that all its values fit. A column without values is a column of doubles.
+    takes the first of whole number, number, truth value and text that all its values are. A column
+    without values is a column of doubles.
     """
     if not names:
         return {}
@@ -276,19 +292,19 @@ def _infer(texts: DataFrame, names: list[str], dates: list[str]) -> dict[str, T.
     for i, name in enumerate(names):
         column = quoted(name)
         if name in dates:
-            misfit = [_date(column, form).isNull() for form in DATE_FORMATS]
+            misfits = [F.count_if(column.isNotNull() & _date(column, form).isNull()) for form in DATE_FORMATS]
+            tests.append(F.struct(F.count(column).alias("values"), F.array(*misfits).alias("misfits")).alias(str(i)))
         else:
-            misfit = [~_fits(column, kind) for kind in INFERRED]
-        tests.append(F.count(column).alias(f"{i}_values"))
-        tests += [F.count_if(column.isNotNull() & bad).alias(f"{i}_{n}") for n, bad in enumerate(misfit)]
-    misfits = texts.agg(*tests).first()
+            tests.append(F.bit_or(_kind_of(column)).alias(str(i)))
+    found = texts.agg(*tests).first()
     result = {}
     for i, name in enumerate(names):
-        choices = DATE_FORMATS if name in dates else INFERRED
-        fitting = [choice for n, choice in enumerate(choices) if misfits[f"{i}_{n}"] == 0]
-        if misfits[f"{i}_values"] == 0:
+        if name not in dates:
+            result[name] = _type_for(found[str(i)])
+        elif found[str(i)]["values"] == 0:
             result[name] = T.DoubleType()
         else:
+            fitting = [form for form, misfits in zip(DATE_FORMATS, found[str(i)]["misfits"]) if misfits == 0]
             result[name] = fitting[0] if fitting else T.StringType()
     return result
 
