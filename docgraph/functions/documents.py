@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,20 +67,24 @@ def clean_value(column: Column, kind: T.DataType) -> Column:
     return column.cast("string")
 
 
-def clean_row(df: DataFrame) -> list[Column]:
-    return [clean_value(quoted(f.name), f.dataType).alias(f.name) for f in df.schema]
-
-
 def prepare_documents(
-    df: DataFrame, index_name: str, doc_id_column: str | None = None, keep: list[str] | None = None
+    df: DataFrame,
+    index_name: str,
+    doc_id_column: str | None = None,
+    keep: Iterable[str] = (),
+    as_is: Iterable[str] = (),
 ) -> DataFrame:
     """``(_index, _id, _source)`` for every row.
 
     ``_id`` is the text of the id column; it is null where that is null, and for all documents if
-    there is no such column. ``keep`` names further columns, such as an order, left out of ``_source``.
+    there is no such column. ``keep`` names further columns, such as an order, left out of ``_source``;
+    ``as_is`` names fields that stay uncleaned.
     """
-    keep = keep or []
-    source = [c for f, c in zip(df.schema, clean_row(df)) if f.name not in keep]
+    source = [
+        (quoted(f.name) if f.name in as_is else clean_value(quoted(f.name), f.dataType)).alias(f.name)
+        for f in df.schema
+        if f.name not in keep
+    ]
     doc_id = F.lit(None).cast("string")
     if doc_id_column in df.columns:
         doc_id = clean_value(quoted(doc_id_column), df.schema[doc_id_column].dataType).cast("string")

@@ -78,7 +78,8 @@ def collect_pages(df: DataFrame, keys: list[str], item: Column, as_field: str, p
     """
     items = write_table(df.select(*keys, item.alias("_item"), F.monotonically_increasing_id().alias("_at")), "pages")
     sizes = items.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(page_rows)).cast("long").alias("_pages"))
-    sizes = sizes.withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    # One row per group: Catalyst broadcasts it when small, else adaptive execution splits large groups.
-    dealt = items.join(sizes, _on(keys, "_of_")).withColumn("page", F.pmod("_at", "_pages").cast("int"))
+    # One row per group. Its written size decides: broadcast, so that the items stay where they are, or
+    # a shuffle in which adaptive execution splits the large groups.
+    sizes = write_table(sizes.withColumnsRenamed({k: f"_of_{k}" for k in keys}), "sizes")
+    dealt = items.join(sizes, _on(keys, "_of_")).withColumn("page", F.pmod(F.xxhash64("_at"), F.col("_pages")).cast("int"))
     return dealt.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_item")).alias(as_field))

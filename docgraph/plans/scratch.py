@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a narrow table that one bucket should hold (some tens of MB once encoded).
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:

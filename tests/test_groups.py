@@ -23,11 +23,14 @@ def test_exact_median(spark, largest):
     assert {r.k: pytest.approx(r.median) for r in got} == expected
 
 
-def test_pages_are_whole_and_bounded(spark):
-    df = spark.range(1000).selectExpr("CASE WHEN id < 900 THEN 'a' ELSE 'b' END AS k", "id")
+def test_pages_are_whole_and_even(spark):
+    """Also where the rows of a group come at regular distances, as those of one start do."""
+    df = spark.range(0, 9000, 1, 3).selectExpr("IF(id % 10 = 3, 'a', IF(id % 10 = 4, 'b', 'c')) AS k", "id")
     pages = collect_pages(df, ["k"], F.col("id"), "ids", 100).collect()
-    assert sorted(i for p in pages for i in p.ids) == list(range(1000))
-    assert [p.page for p in pages if p.k == "b"] == [0] and max(len(p.ids) for p in pages) <= 150
+    assert sorted(i for p in pages for i in p.ids) == list(range(9000))
+    assert max(len(p.ids) for p in pages) <= 150 and all(p.ids == sorted(p.ids) for p in pages)
+    small = collect_pages(df.limit(50), ["k"], F.col("id"), "ids", 100).collect()
+    assert [p.page for p in small] == [0, 0, 0]
 
 
 def test_hot_keys_are_few_and_split(spark):

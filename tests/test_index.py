@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,7 +133,7 @@ def test_failfast_leaves_the_index(spark, tmp_path, parquet):
 
 def test_files_count_in_list_order(spark, tmp_path):
     root, paths = str(tmp_path / "root"), []
-    for name, value in (("z", "first"), ("a", "second")):
+    for name, value in (("z 1", "first"), ("a", "second")):
         path = tmp_path / f"{name}.csv"
         path.write_text(f"id,v\n1,{value}\n2,{name}\n3\n4,5,6\n")
         paths.append(str(path))
@@ -141,10 +142,18 @@ def test_files_count_in_list_order(spark, tmp_path):
     assert content == {"1": "second", "2": "a", "3": None}
     assert load.stats.first() == (8, 6, 2)
     by_file = {r.file and r.file.rsplit("/", 1)[1]: (r.total_documents, r.successful, r.failed) for r in load.batch_stats.collect()}
-    assert by_file == {"z.csv": (4, 3, 1), "a.csv": (4, 3, 1), None: (8, 6, 2)}
+    assert by_file == {"z%201.csv": (4, 3, 1), "a.csv": (4, 3, 1), None: (8, 6, 2)}
     assert {(r._source, r.errors[0].type) for r in load.rejects.collect()} == {("4,5,6", "more than 2 fields")}
 
 
+def test_folders_count_in_list_order(spark, tmp_path, parquet):
+    paths = [parquet(name, [(1, name, None, datetime(2024, 1, n + 1))]) for n, name in enumerate(["z", "a", "m"])]
+    root = str(tmp_path / "root")
+    import_parquet(spark, paths, root, "i", "id", mapping=MAPPING)
+    got = index.index_scan(spark, root, "i").first()
+    assert got._source.name == "m" and got._source["at"] == datetime(2024, 1, 3)
+
+
 def test_import_csv_with_all_options(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("# top\nthe.id|name|value|at\n1|a|-|2024-01-02\n2|b|2|2024-01-03\n2|c|3|2024-01-04\n")
