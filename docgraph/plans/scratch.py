@@ -72,7 +72,8 @@ def write_bucketed(df: DataFrame, keys: list[str], rows: int, label: str) -> Dat
     spark = df.sparkSession
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     buckets = min(most, max(1, -(-rows // ROWS_PER_BUCKET)))
-    name = f"docgraph_{label}_{uuid4().hex}"
+    # Bucketed tables belong to the session catalog, whatever the default catalog is.
+    name = f"spark_catalog.default.docgraph_{label}_{uuid4().hex}"
     (
         df.repartition(buckets, *keys)
         .write.format("parquet")

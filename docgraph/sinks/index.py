@@ -122,18 +122,18 @@ def index_info(spark: SparkSession, root: str, name: str) -> DataFrame:
     layout = "index_name string, document_count long, size_in_bytes long, status string, error string"
     if state is None:
         return spark.createDataFrame([(name, None, None, "error", f"no such index: {name}")], layout)
-    counted = folder.read(state["segments"], _source_schema(state)).agg(F.count(F.lit(1)).alias("document_count"))
-    size = F.lit(0).cast(LongType())
+    count = F.count(F.lit(1)).alias("document_count")
+    counted = folder.read(state["segments"], _source_schema(state)).agg(count)
+    parts = counted.withColumn("size_in_bytes", F.lit(0).cast(LongType()))
     if state["segments"]:
         # Only the listing is read: the content column is never selected.
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(state["segments"])
-        counted = counted.join(files.agg(F.sum("length").alias("size_in_bytes")))
-    else:
-        counted = counted.withColumn("size_in_bytes", size)
-    return counted.select(
+        size = F.sum("length").alias("size_in_bytes")
+        parts = parts.unionByName(files.agg(size).withColumn("document_count", F.lit(0).cast(LongType())))
+    return parts.agg(
         F.lit(name).alias("index_name"),
-        "document_count",
-        "size_in_bytes",
+        F.sum("document_count").alias("document_count"),
+        F.sum("size_in_bytes").alias("size_in_bytes"),
         F.lit("exists").alias("status"),
         F.lit(None).cast("string").alias("error"),
     )
