@@ -43,6 +43,12 @@ FLAGS = 62
 
 DIRECTIONS = ("uni", "bi")
 
+# Frontiers up to this size are left to Catalyst, which broadcasts them while their files are small.
+FEW_ROWS = 200_000
+
+# Frontier rows per bucket that one task may hold in a hash table (some tens of MB).
+HASHED_ROWS = 1_000_000
+
 # Column by which the rows of a hot vertex are spread over its pieces.
 SPREAD = "_spread"
 
@@ -52,17 +58,22 @@ class EdgeList:
     """``(node, neighbour, n)`` rows, n parallel edges each, bucketed by node."""
 
     table: DataFrame
+    buckets: int
     hot: HotKeys
 
-    def with_node(self, vertices: DataFrame, how: str = "inner") -> DataFrame:
+    def with_node(self, vertices: DataFrame, how: str = "inner", hashed: bool = False) -> DataFrame:
         """The edge rows with the columns that ``vertices`` has for their node; only ``vertices`` moves."""
-        keys = self.hot.keys("node")
-        return self.table.join(self.hot.copy(vertices, "node"), keys, how).drop(*keys[1:])
+        keys, vertices = self.hot.keys("node"), self.hot.copy(vertices, "node")
+        return self.table.join(vertices.hint("shuffle_hash") if hashed else vertices, keys, how).drop(*keys[1:])
+
+    def neighbours(self, frontier: DataFrame, rows: int = 0) -> DataFrame:
+        """Send the bits of every frontier vertex to its neighbours.
 
-    def neighbours(self, frontier: DataFrame) -> DataFrame:
-        """Send the bits of every frontier vertex to its neighbours."""
-        sent = self.with_node(frontier).filter(F.col("neighbour").isNotNull())
-        return sent.select(F.col("neighbour").alias("node"), "word", "bits")
+        A frontier of few rows is broadcast by its size. One whose share per bucket fits a hash
+        table spares sorting the edges; a larger one is merged.
+        """
+        sent = self.with_node(frontier, hashed=FEW_ROWS < rows <= HASHED_ROWS * self.buckets)
+        return sent.filter(F.col("neighbour").isNotNull()).select(F.col("neighbour").alias("node"), "word", "bits")
 
     def totals(self) -> DataFrame:
         """Edge rows per node."""
@@ -115,8 +126,8 @@ def prepare_links(
     def edge_list(node: str, neighbour: str) -> EdgeList:
         rows = pairs.filter(F.col(node).isNotNull()).select(F.col(node).alias("node"), F.col(neighbour).alias("neighbour"), "n")
         hot = find_hot_keys(rows, "node", min_split_rows, F.col("n"))
-        table = write_bucketed(hot.scatter(rows, "node", by="neighbour"), hot.keys("node"), hot.rows, "links")
-        return EdgeList(table, hot)
+        spread = hot.scatter(rows, "node", by="neighbour")
+        return EdgeList(*write_bucketed(spread, hot.keys("node"), hot.rows, "links"), hot)
 
     forward, *reverse = run_together(
         spark, [lambda: edge_list(to_field, from_field)] + [lambda: edge_list(from_field, to_field)] * both_ways
@@ -181,7 +192,7 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
         seen = done.filter(F.col("dist") >= dist - 2) if direction == "bi" else done
         moved = seen.select("node", "word", none.alias("bits"), F.col("bits").alias("seen"))
         for edge_list in lists:
-            moved = moved.union(edge_list.neighbours(frontier).select("*", none))
+            moved = moved.union(edge_list.neighbours(frontier, rows).select("*", none))
         # One shuffle combines the candidates and removes what a start has reached before.
         new_bits = F.bit_or("bits").bitwiseAND(F.bitwise_not(F.coalesce(F.bit_or("seen"), F.lit(0).cast("long"))))
         fresh = moved.groupBy("node", "word").agg(new_bits.alias("bits")).filter(F.col("bits") != 0)

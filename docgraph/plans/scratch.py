@@ -63,10 +63,10 @@ def write_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def write_bucketed(df: DataFrame, keys: list[str], rows: int, label: str) -> DataFrame:
+def write_bucketed(df: DataFrame, keys: list[str], rows: int, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` hash-bucketed and sorted on ``keys``; joins on ``keys`` then leave it in place.
 
-    The number of buckets follows the row count. The table name is only needed while writing: the
+    The number of buckets follows the row count; it is also returned. The table name is only needed while writing: the
     entry is dropped from the catalog at once and the returned frame keeps reading the files.
     """
     spark = df.sparkSession
@@ -84,4 +84,4 @@ def write_bucketed(df: DataFrame, keys: list[str], rows: int, label: str) -> Dat
     )
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
-    return table
+    return table, buckets

@@ -79,11 +79,15 @@ def _random_graphs(count, seed):
 
 
 @pytest.mark.parametrize("split_rows", [None, 3])
-def test_random_graphs(spark, split_rows):
+def test_random_graphs(spark, split_rows, monkeypatch):
     """Hundreds of small graphs side by side, every vertex a start: dozens of words of flags.
 
-    With ``split_rows`` the vertices of one added hub graph are split into pieces.
+    With ``split_rows`` the vertices of one added hub graph are split into pieces, the lists are in
+    several buckets, and frontiers are joined through hash tables.
     """
+    if split_rows:
+        monkeypatch.setattr(graph, "FEW_ROWS", 0)
+        monkeypatch.setattr(scratch, "ROWS_PER_BUCKET", 500)
     graphs = list(_random_graphs(150, 7))
     hub = 150 * STEP
     graphs.append((hub, 9, [(hub + 1, hub + 2 + i % 8) for i in range(400)] + [(hub + 2 + i % 8, hub + 1) for i in range(350)]))
@@ -194,9 +198,10 @@ def test_edge_lists_are_not_shuffled(spark, monkeypatch):
     frontier = spark.range(5).selectExpr("id AS node", "0L AS word", "1L AS bits")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        moved, plan = _exchanges(links.forward.neighbours(frontier))
-        assert [n for _, n in moved] == ["3"] and "Bucketed: true" in plan
-        assert "neighbour" not in moved[0][0]
+        for rows, join in ((5, "SortMergeJoin"), (10**6, "ShuffledHashJoin"), (10**9, "SortMergeJoin")):
+            moved, plan = _exchanges(links.forward.neighbours(frontier, rows))
+            assert [n for _, n in moved] == ["3"] and "Bucketed: true" in plan and join in plan
+            assert "neighbour" not in moved[0][0]
         # Edge totals per vertex come from the buckets without any shuffle.
         moved, _ = _exchanges(links.forward.table.groupBy("node").agg(F.sum("n")))
         assert moved == []
