@@ -39,7 +39,10 @@ DTYPES = {
 # spark.sql.legacy.javaCharsets in the session.
 CHARSETS = {"iso8859-1": "iso-8859-1", "ascii": "us-ascii"}
 
-# Texts of truth values.
+# Texts of whole numbers, numbers and truth values. The patterns go before any cast: they
+# are cheaper than a cast that fails, and a cast alone would also take type suffixes.
+WHOLE = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?((\d+[.]?\d*|[.]\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 TRUTH = ["true", "True", "TRUE", "false", "False", "FALSE"]
 
 # Date formats tried in this order; the first under which no value fails is taken.
@@ -232,17 +235,11 @@ def _field_count(raw: Column, options: CsvOptions) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(options.delimiter))) + 1
 
 
-def _is_number(column: Column) -> Column:
-    """Whether a text is a number; a cast alone would also take type suffixes and hexadecimal texts."""
-    suffixed = F.right(column, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(column).endswith("inf")
-    return column.try_cast("double").isNotNull() & ~suffixed & ~F.lower(column).contains("x")
-
-
 def _fits(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
-        return column.try_cast(kind).isNotNull()
+        return column.rlike(WHOLE) & column.try_cast(kind).isNotNull()
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return _is_number(column)
+        return column.rlike(NUMBER)
     if isinstance(kind, T.BooleanType):
         return column.isin(TRUTH)
     return F.lit(True)
@@ -267,7 +264,7 @@ LONG, DOUBLE, BOOLEAN, TEXT = 1, 2, 4, 8
 
 
 def _kind_of(column: Column) -> Column:
-    kind = F.when(_fits(column, T.LongType()), LONG).when(_is_number(column), DOUBLE).when(column.isin(TRUTH), BOOLEAN)
+    kind = F.when(_fits(column, T.LongType()), LONG).when(column.rlike(NUMBER), DOUBLE).when(column.isin(TRUTH), BOOLEAN)
     return F.when(column.isNotNull(), kind.otherwise(TEXT))
 
 
