@@ -2,8 +2,45 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from docgraph.fixtures import table
 from docgraph.llm.near_duplicates import near_duplicates
+from docgraph.llm.url_filter import judge_urls, url_host
+
+# The rules on hosts and paths.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+# Hosts of the pages whose third last label is one of these stand for an outside list.
+LISTED_NAMES = "ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm"
+
+
+def op2_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    rules = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES])
+    site = F.substring_index(url_host(F.col("url")), ".", -3).alias("host")
+    listed = pages.select(site).filter(F.col("host").rlike(rf"^({LISTED_NAMES})\.")).distinct()
+    return judge_urls(pages, spark.range(1).select(F.inline(rules)), listed)
+
+
+OP2_SQL = r"""with rules(host, path, verdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+   ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+ u as (select page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) as path from pages),
+ fit as (select u.host, u.path, max_by(r.host || r.path, length(r.host || r.path)) as rule,
+   max_by(r.verdict, length(r.host || r.path)) as verdict
+   from (select distinct host, path from u) u join rules r on (u.host = r.host or u.host like '%.' || r.host) and starts_with(u.path, r.path)
+   group by all)
+ select page_id, u.host, u.path, rule, coalesce(verdict, case when regexp_matches(u.host,
+   '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.[^.]*\.[^.]*$') then 'block' else 'allow' end) as verdict
+ from u left join fit on u.host = fit.host and u.path = fit.path"""
 
 
 def op4_near_duplicates(spark, sf_dir):
@@ -27,5 +64,6 @@ OP4_SQL = r"""with recursive w as (
 
 
 QUERIES = {
+    "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
 }
