@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from docgraph.fixtures import table
+from docgraph.llm.language import identify_language, train_language_model
 from docgraph.llm.near_duplicates import near_duplicates
+from docgraph.llm.packing import pack_documents
+from docgraph.llm.toxicity import score_toxicity, train_toxicity_model
+from docgraph.llm.training import held_out
 from docgraph.llm.url_filter import judge_urls, url_host
 
 # The rules on hosts and paths.
@@ -63,7 +68,26 @@ OP4_SQL = r"""with recursive w as (
  select n.doc_id, n.n as n_shingles, component_id, n.doc_id = component_id as kept from n join root using (doc_id)"""
 
 
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    told = identify_language(docs.select("doc_id", "text"), train_language_model(docs))
+    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_accepted")
+
+
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    told = score_toxicity(docs, train_toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op10_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
+    "op6_language_id": (op6_language_id, None),
+    "op7_toxicity": (op7_toxicity, None),
+    "op10_packing": (op10_packing, None),
 }
