@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from docgraph.fixtures import table
+from docgraph.llm.decontamination import benchmark_passages
 from docgraph.llm.language import identify_language, train_language_model
 from docgraph.llm.near_duplicates import near_duplicates
 from docgraph.llm.packing import pack_documents
@@ -84,10 +85,18 @@ def op10_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_decontamination(spark, sf_dir):
+    """A row per passage of a benchmark item in a document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = benchmark_passages(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("passages"))
+
+
 QUERIES = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
     "op6_language_id": (op6_language_id, None),
     "op7_toxicity": (op7_toxicity, None),
     "op10_packing": (op10_packing, None),
+    "op8_decontamination": (op8_decontamination, None),
 }
