@@ -4,10 +4,13 @@
    signature. Documents with equal sets form a class, represented by the smallest ``doc_id``; only representatives go on.
 2. Representatives that share a band key form a bucket. A bucket is not expanded into pairs: its smallest member (the
    hub) is paired with the others, the pairs are verified on the full sets of both texts, and linked documents are
-   grouped. Then only buckets whose members lie in different groups go on, with 8 times as many hubs each round, and
-   only pairs across groups are verified, until every bucket lies in one group or all its members were hubs. So no link between
-   different groups is missed, while a large bucket of near copies ends after the first round.
-3. Groups are components of the links: union-find within each partition, then star contraction between partitions.
+   grouped. The members of all buckets of one hub are its cluster.
+3. Only clusters that still reach over several groups go on. Two members share no band unless they share a cluster, so all links
+   left lie within clusters. A member is now described by the difference of its set from the hub's; two differences give the exact size of
+   the members' intersection, whatever the hub is. Differences of near copies are short, so a cluster's comparison is
+   a product of small sparse matrices in blocks of ``BLOCK`` members, and only links that join groups leave the task. So no link between different
+   texts is missed and no pair of a large group becomes a row.
+4. Groups are components of the links: union-find within each partition, then star contraction between partitions.
 
 A signature has one value per component. Element ``d`` visits the components in a pseudo-random order; the value of its j-th
 visit is j plus a random fraction, and a component keeps the least value. Once all components of a document hold values
@@ -36,8 +39,10 @@ from docgraph.plans.scratch import write_table
 # Probability that a pair exactly at the threshold shares no band; above the threshold it falls fast.
 MISS = 1e-6
 MAX_COMPONENTS = 256
-# Hubs per bucket grow by this factor from round to round.
-MORE_HUBS = 8
+# Members of a cluster that one task compares with each other; a pair of blocks is a task.
+BLOCK = 512
+# Columns of a dense piece of a block's matrix.
+_COLUMNS = 8192
 
 _FRACTION_BITS = 24
 _STEP = 0x9E3779B97F4A7C15
@@ -155,6 +160,62 @@ def _similar(size: int, percent: int):
     return run
 
 
+def _differences(size: int):
+    """For pairs of a hub and a member, the size of the member's set and the hashes that only one of both sets holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text_b", 1 << 19):
+            hubs = part.column("text_a").dictionary_encode()
+            known = shingle_sets(hubs.dictionary, size)
+            others = shingle_sets(part.column("text_b"), size)
+            apart = [np.setxor1d(known[code], other, assume_unique=True) for code, other in zip(hubs.indices.to_pylist(), others)]
+            sizes = pa.array([len(x) for x in others], pa.int64())
+            columns = [part.column("a"), part.column("b"), sizes, pa.array([x.tobytes() for x in apart], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "apart"])
+
+    return run
+
+
+def _compare_block(percent: int):
+    """Links among the members of one or two blocks of a cluster, as one star per component that joins several groups."""
+
+    def run(table: pa.Table) -> pa.Table:
+        roots = table.column("root").to_numpy()
+        ids = table.column("b").to_numpy()
+        sizes = table.column("n").to_numpy().astype(np.int64)
+        sets = [np.frombuffer(x, U) for x in table.column("apart").to_pylist()]
+        lengths = np.array([len(x) for x in sets], np.int64)
+        values, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        # Hashes that one member alone holds are in no intersection.
+        number = np.cumsum(times > 1) - 1
+        used = (times > 1)[where]
+        column, row = number[where[used]], np.repeat(np.arange(len(sets)), lengths)[used]
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(column, kind="stable")
+        column, row = column[order], row[order]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            low, high = np.searchsorted(column, [first, first + _COLUMNS])
+            piece = np.zeros((len(sets), min(_COLUMNS, int(column[-1]) + 1 - first)), np.float32)
+            piece[row[low:high], column[low:high] - first] = 1
+            common += piece @ piece.T
+        apart = lengths[:, None] + lengths[None, :] - 2 * common.astype(np.int64)
+        total = sizes[:, None] + sizes[None, :]
+        linked = 100 * (total - apart) >= percent * (total + apart)
+        # Members of one group count as linked; labels then sink to the smallest in reach.
+        _, group = np.unique(roots, return_inverse=True)
+        label = np.arange(len(ids))
+        while True:
+            low = np.full(group.max() + 1, len(ids))
+            np.minimum.at(low, group, label)
+            lower = np.minimum(np.where(linked, low[group][None, :], len(ids)).min(axis=1), low[group])
+            if (lower == label).all():
+                break
+            label = lower
+        return pa.table({"a": pa.array(ids[label], pa.int64()), "b": pa.array(ids, pa.int64())}).filter(pa.array(ids[label] != ids))
+
+    return run
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one partition, in runs of bounded size: each node with its smallest known root."""
     parent: dict[int, int] = {}
@@ -212,14 +273,13 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(roots)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The linked ones among the pairs (``a``, ``b``), by the full sets of both texts."""
+def _with_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) with ``text_a`` and ``text_b``."""
     wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     texts = docs.join(wanted, "doc_id", "left_semi")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_similar(size, percent), "a bigint, b bigint")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -238,34 +298,26 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     # One row per class and band key; keys that occur once are dropped before anything is joined.
     members = named.join(classes, [named.digest == classes.digest, F.col("doc_id") == F.col("class_id")], "left_semi")
     keyed = members.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last")
-    buckets = write_table(keyed.join(sizes, "key").select("key", "id", "size", "hub"), "buckets")
-
-    pairs = buckets.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    buckets = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last")
+    pairs = keyed.join(buckets, "key").filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     pairs = write_table(pairs, "pairs")
-    links = write_table(_verified(docs, pairs, shingle_words, percent), "links")
+    linked = _with_texts(docs, pairs).mapInArrow(_similar(shingle_words, percent), "a bigint, b bigint")
+    links = write_table(linked, "links")
     groups = write_table(components(links, "a", "b"), "groups")
-    # The hub of a bucket of two is paired with all its members.
-    done, hubs = 2, MORE_HUBS
-    while True:
-        # Buckets that still reach over several groups and have members that were no hubs.
-        told = buckets.filter(F.col("size") > done).join(groups, F.col("id") == F.col("node"), "left")
-        told = told.select("key", "id", "size", F.coalesce("root", "id").alias("root"))
-        mixed = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        told = write_table(told.join(mixed.select("key"), "key", "left_semi"), "told")
-        if not told.limit(1).count():
-            break
-        chosen = told.filter(F.pmod(F.xxhash64("id", F.lit(hubs)), F.col("size")) < hubs)
-        chosen = chosen.select("key", F.col("id").alias("h"), F.col("root").alias("h_root"))
-        across = told.join(chosen, "key").filter("root <> h_root")
-        across = across.select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
-        fresh = write_table(across.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        new_links = write_table(_verified(docs, fresh, shingle_words, percent), "links")
-        if new_links.limit(1).count():
-            known = groups.select(F.col("root").alias("a"), F.col("node").alias("b"))
-            groups = write_table(components(known.union(new_links), "a", "b"), "groups")
-        pairs = pairs.union(fresh)
-        done, hubs = hubs, hubs * MORE_HUBS
+
+    # Clusters that reach over several groups, counting the hub's own.
+    told = pairs.join(groups, F.col("b") == F.col("node"), "left").select("a", "b", F.coalesce("root", "b").alias("root"))
+    mixed = told.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
+    told = write_table(told.join(mixed.filter("low < high"), "a"), "told")
+    apart = _with_texts(docs, told.select("a", "b")).mapInArrow(_differences(shingle_words), "a bigint, b bigint, n bigint, apart binary")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("b"), blocks.cast("long")).cast("int")
+    told = told.select("a", "b", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = told.join(apart, ["a", "b"]).select("a", "b", "root", "n", "apart", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    joining = dealt.groupBy("a", "i", "j").applyInArrow(_compare_block(percent), "a bigint, b bigint")
+    joining = write_table(joining, "joining")
+    known = groups.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    groups = write_table(components(known.union(joining), "a", "b"), "groups")
 
     roots = classes.join(groups, F.col("class_id") == F.col("node"), "left")
     roots = roots.select("digest", "class_id", F.coalesce("root", "class_id").alias("component_id"))
