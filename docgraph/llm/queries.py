@@ -13,6 +13,14 @@ from docgraph.llm.packing import pack_documents
 from docgraph.llm.toxicity import score_toxicity, train_toxicity_model
 from docgraph.llm.training import held_out
 from docgraph.llm.url_filter import judge_urls, url_host
+from docgraph.llm.warc import captures, read_captures, write_archives
+
+
+def op1_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").withColumn("page_id", F.col("page_id").cast("long"))
+    found = read_captures(write_archives(pages), pages.select(captures(pages).alias("capture")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
 
 # The rules on hosts and paths.
 URL_RULES = [
@@ -93,6 +101,7 @@ def op8_decontamination(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": (op1_warc, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
     "op6_language_id": (op6_language_id, None),
