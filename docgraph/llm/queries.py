@@ -9,6 +9,7 @@ from docgraph.fixtures import table
 from docgraph.llm.decontamination import benchmark_passages
 from docgraph.llm.language import identify_language, train_language_model
 from docgraph.llm.near_duplicates import near_duplicates
+from docgraph.llm.nearest import top_k
 from docgraph.llm.packing import pack_documents
 from docgraph.llm.toxicity import score_toxicity, train_toxicity_model
 from docgraph.llm.training import held_out
@@ -100,10 +101,22 @@ def op8_decontamination(spark, sf_dir):
     return found.select("doc_id", F.inline("passages"))
 
 
+def op5_nearest(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+OP5_SQL = """with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)) as v from embeddings),
+ s as (select q.vec_id as query_id, d.vec_id, list_dot_product(q.v, d.v)::bigint as score
+   from v q join v d on q.vec_id % 100 = 0 and d.vec_id <> q.vec_id)
+ select query_id, cast(row_number() over w as integer) as rank, vec_id, score from s
+ window w as (partition by query_id order by score desc, vec_id) qualify row_number() over w <= 10"""
+
+
 QUERIES = {
     "op1_warc": (op1_warc, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
+    "op5_nearest": (op5_nearest, OP5_SQL),
     "op6_language_id": (op6_language_id, None),
     "op7_toxicity": (op7_toxicity, None),
     "op10_packing": (op10_packing, None),
