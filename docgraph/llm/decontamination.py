@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.llm.text import U, column_bytes, mix, slices, small_batches
-from docgraph.plans.scratch import write_table
+from docgraph.llm.text import U, character_numbers, column_bytes, mix, normalise, slices, small_batches, text_blocks
 
 WINDOW = 80
 STRIDE = 40
@@ -38,28 +37,11 @@ SHORTEST = 40
 BAND = 8
 BLOCK_BYTES = 4_000_000
 
-_KEPT = np.zeros(256, bool)
-_KEPT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _FLAG_BITS = 23
 
 PASSAGE = "struct<item_id:bigint,item_start:int,item_end:int,doc_start:int,doc_end:int,edits:int>"
 
 
-def normalise(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Normalised bytes, the positions in ``raw`` they come from, and the offsets of the rows in them."""
-    kept = _KEPT[raw]
-    first = np.zeros(len(raw), bool)
-    first[offsets[:-1][offsets[:-1] < len(raw)]] = True
-    before = np.ones(len(raw), bool)
-    before[1:] = kept[:-1]
-    at = np.flatnonzero(kept | (before & ~first))  # a row does not start with a space
-    lower = ((raw >= 65) & (raw <= 90)).astype(np.uint8) << 5
-    # Capitals of U+00C0 to U+00DE, two bytes of which the first is C3.
-    lower[1:] |= ((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)).astype(np.uint8) << 5
-    out = np.where(kept[at], raw[at] | lower[at], np.uint8(32))
-    return out, at, np.searchsorted(at, offsets)
-
-
 def qgram_hashes(text: np.ndarray) -> np.ndarray:
     n = len(text) - Q + 1
     if n <= 0:
@@ -106,9 +88,8 @@ class Block:
             places.append(np.arange(len(found)))
             self.ids.append(item)
             self.items.append(own)
-            # Characters of the item's text before each normalised byte.
-            chars = np.cumsum((raw[offsets[k] : offsets[k + 1]] & 0xC0) != 0x80)
-            self.starts.append(chars[at[bounds[k] : bounds[k] + len(own)] - offsets[k]] - 1)
+            chars = character_numbers(raw[offsets[k] : offsets[k + 1]])
+            self.starts.append(chars[at[bounds[k] : bounds[k] + len(own)] - offsets[k]])
         hashes = np.concatenate(hashes) if hashes else np.zeros(0, U)
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.first, self.times = np.unique(hashes[order], return_index=True, return_counts=True)
@@ -227,7 +208,7 @@ def passages(block: Block, texts: pa.Array) -> list[list[tuple]]:
                 merged[-1] = [merged[-1][0], max(last, merged[-1][1]), min(start, merged[-1][2]), max(end, merged[-1][3]), max(edits, merged[-1][4])]
             else:
                 merged.append([first, last, start, end, edits])
-        chars = np.cumsum((raw[offsets[row] : offsets[row + 1]] & 0xC0) != 0x80) - 1
+        chars = character_numbers(raw[offsets[row] : offsets[row + 1]])
         places = at[bounds[row] : bounds[row + 1]] - offsets[row]
         spots = block.starts[item]
         for first, last, start, end, edits in merged:
@@ -236,18 +217,6 @@ def passages(block: Block, texts: pa.Array) -> list[list[tuple]]:
     return results
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Block]:
-    """The items in blocks of about ``BLOCK_BYTES`` of text, one at a time on the driver."""
-    items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = write_table(items, "items")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-total // BLOCK_BYTES)
-    for k in range(count):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()
-        rows = sorted((row.item_id, row.text) for row in rows)
-        yield Block([r[0] for r in rows], [r[1] for r in rows])
-
-
 def _finder(shared) -> callable:
     @F.arrow_udf(f"array<{PASSAGE}>")
     def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -267,7 +236,9 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, into: str = "passa
     spark = docs.sparkSession
     small_batches(spark)
     found: Column = F.array().cast(f"array<{PASSAGE}>")
-    for block in _blocks(benchmark):
+    benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    for items in text_blocks(benchmark, "item_id", BLOCK_BYTES):
+        block = Block([i for i, _ in items], [t for _, t in items])
         own = _finder(spark.sparkContext.broadcast(block))(F.col("text"))
         found = F.concat(found, own)
     return docs.withColumn(into, found)

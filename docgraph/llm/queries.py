@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from docgraph.fixtures import table
 from docgraph.llm.decontamination import benchmark_passages
 from docgraph.llm.language import identify_language, train_language_model
+from docgraph.llm.license_texts import TEMPLATES
+from docgraph.llm.licenses import scan_licenses
 from docgraph.llm.near_duplicates import near_duplicates
 from docgraph.llm.nearest import top_k
 from docgraph.llm.packing import pack_documents
@@ -112,10 +114,19 @@ OP5_SQL = """with v as (select vec_id, list_transform(embedding, lambda x: floor
  window w as (partition by query_id order by score desc, vec_id) qualify row_number() over w <= 10"""
 
 
+def op3_license_scan(spark, sf_dir):
+    """A row per license template found in a document."""
+    texts = F.create_map(*[F.lit(x) for pair in TEMPLATES.items() for x in pair])
+    templates = spark.range(1).select(F.explode(texts).alias("template_id", "text"))
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), templates)
+    return found.select("doc_id", F.inline("licenses"))
+
+
 QUERIES = {
     "op1_warc": (op1_warc, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
+    "op3_license_scan": (op3_license_scan, None),
     "op5_nearest": (op5_nearest, OP5_SQL),
     "op6_language_id": (op6_language_id, None),
     "op7_toxicity": (op7_toxicity, None),

@@ -6,7 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docgraph.plans.scratch import write_table
 
 U = np.uint64
 
@@ -119,3 +122,40 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
         else:
             sets.append(run_hashes(words[first:last], count) if count else np.zeros(0, U))
     return sets
+
+
+# Bytes that stay in normalised texts: letters and digits, and all of longer characters.
+_KEPT = np.zeros(256, bool)
+_KEPT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def normalise(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case letters and digits of the rows, any run of other ASCII characters as one space.
+
+    Returns the bytes, the positions in ``raw`` they come from, and the offsets of the rows in them.
+    """
+    kept = _KEPT[raw]
+    first = np.zeros(len(raw), bool)
+    first[offsets[:-1][offsets[:-1] < len(raw)]] = True
+    before = np.ones(len(raw), bool)
+    before[1:] = kept[:-1]
+    at = np.flatnonzero(kept | (before & ~first))  # a row does not start with a space
+    lower = ((raw >= 65) & (raw <= 90)).astype(np.uint8) << 5
+    # Capitals of U+00C0 to U+00DE, two bytes of which the first is C3.
+    lower[1:] |= ((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)).astype(np.uint8) << 5
+    return np.where(kept[at], raw[at] | lower[at], np.uint8(32)), at, np.searchsorted(at, offsets)
+
+
+def character_numbers(raw: np.ndarray) -> np.ndarray:
+    """For each byte of a UTF-8 text the number of the character it belongs to."""
+    return np.cumsum((raw & 0xC0) != 0x80) - 1
+
+
+def text_blocks(rows: DataFrame, key: str, most: int) -> Iterator[list[tuple]]:
+    """All (``key``, text) pairs on the driver, in sorted blocks of about ``most`` bytes of text, one block at a time."""
+    rows = write_table(rows.filter(F.col(key).isNotNull() & F.col("text").isNotNull()).select(key, "text"), "reference")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = -(-total // most)
+    for k in range(count):
+        block = rows.filter(F.pmod(F.xxhash64(key, "text"), F.lit(count)) == k)
+        yield sorted(map(tuple, block.collect()))
