@@ -13,6 +13,7 @@ from docgraph.llm.licenses import scan_licenses
 from docgraph.llm.near_duplicates import near_duplicates
 from docgraph.llm.nearest import top_k
 from docgraph.llm.packing import pack_documents
+from docgraph.llm.token_counts import token_counts
 from docgraph.llm.toxicity import score_toxicity, train_toxicity_model
 from docgraph.llm.training import held_out
 from docgraph.llm.url_filter import judge_urls, url_host
@@ -92,6 +93,14 @@ def op7_toxicity(spark, sf_dir):
     return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+# Fixed value: the end-of-document id of the tokenizer.
+END_OF_TEXT = 49407
+
+
+def op9_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_OF_TEXT)
+
+
 def op10_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -130,6 +139,7 @@ QUERIES = {
     "op5_nearest": (op5_nearest, OP5_SQL),
     "op6_language_id": (op6_language_id, None),
     "op7_toxicity": (op7_toxicity, None),
+    "op9_token_counts": (op9_token_counts, None),
     "op10_packing": (op10_packing, None),
     "op8_decontamination": (op8_decontamination, None),
 }

@@ -24,17 +24,15 @@ import base64
 import bisect
 import gzip
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docgraph.llm.files import open_store, own_file
 from docgraph.llm.text import slices, small_batches
 from docgraph.llm.url_filter import url_host
 from docgraph.plans.scratch import scratch_path, write_table
@@ -48,12 +46,6 @@ GZIP_LEVEL = 4
 MIN_PAYLOAD = 0
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    if ":" not in path.split("/", 1)[0]:
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
-
-
 def payload_digest(payload: bytes) -> str:
     """Bare upper-case base32 of the SHA-1."""
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
@@ -107,14 +99,6 @@ def _number(urn: str) -> int | None:
     return None if text == "none" else int(text)
 
 
-def _own_file(folder: str, ending: str) -> tuple[fs.FileSystem, str, str]:
-    task = TaskContext.get()
-    name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}{ending}"
-    system, root = _open(folder)
-    system.create_dir(root, recursive=True)
-    return system, f"{root}/{name}", name
-
-
 def _archive(folder: str):
     """Writes a task's records to an archive of its own; returns where each one stands."""
 
@@ -122,7 +106,7 @@ def _archive(folder: str):
         out, name, at = None, "", 0
         for batch in slices(batches, "html", READ_BYTES):
             if out is None:
-                system, path, name = _own_file(folder, ".warc.gz")
+                system, path, name = own_file(folder, ".warc.gz")
                 out = system.open_output_stream(path, compression=None)
             places = []
             for page_id, url, payload, refers_to in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to"))):
@@ -159,7 +143,7 @@ def _index(folder: str):
         for batch in batches:
             for line in zip(*(batch.column(c).to_pylist() for c in ("capture", "file", "at", "bytes"))):
                 if out is None:
-                    system, path, name = _own_file(folder, ".cdx.gz")
+                    system, path, name = own_file(folder, ".cdx.gz")
                     out, first = system.open_output_stream(path, compression=None), line[0]
                 held.append(line)
                 last = line[0]
@@ -242,7 +226,7 @@ class _Lookup:
     """One index file: its directory in memory, and the block read last."""
 
     def __init__(self, folder: str, name: str):
-        system, root = _open(folder)
+        system, root = open_store(folder)
         with system.open_input_stream(f"{root}/{name}.dir", compression=None) as beside:
             lines = [line.rsplit(" ", 2) for line in beside.read().decode().splitlines()]
         self.first = [line[0] for line in lines]
@@ -276,7 +260,7 @@ def _read(index: CaptureIndex, with_payload: bool):
     """Records of the captures of a task (``n``: number of the index file, ``capture``), sorted by both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _open(index.archives)
+        system, root = open_store(index.archives)
         lookup, number = None, -1
         wanted: list[tuple[str, int, int]] = []
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
