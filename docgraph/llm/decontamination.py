@@ -231,14 +231,17 @@ def _finder(shared) -> callable:
     return find
 
 
-def benchmark_passages(docs: DataFrame, benchmark: DataFrame, into: str = "passages") -> DataFrame:
-    """``docs`` with an array of the passages each text shares with ``benchmark`` (``item_id``, ``text``)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    found: Column = F.array().cast(f"array<{PASSAGE}>")
+def passages_of(text: Column, benchmark: DataFrame) -> Column:
+    """An array of the passages that each text shares with ``benchmark`` (``item_id``, ``text``)."""
+    found = F.array().cast(f"array<{PASSAGE}>")
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     for items in text_blocks(benchmark, "item_id", BLOCK_BYTES):
         block = Block([i for i, _ in items], [t for _, t in items])
-        own = _finder(spark.sparkContext.broadcast(block))(F.col("text"))
-        found = F.concat(found, own)
-    return docs.withColumn(into, found)
+        found = F.concat(found, _finder(benchmark.sparkSession.sparkContext.broadcast(block))(text))
+    return found
+
+
+def benchmark_passages(docs: DataFrame, benchmark: DataFrame, into: str = "passages") -> DataFrame:
+    """``docs`` with the column ``into``, an array of the passages each text shares with ``benchmark``."""
+    small_batches(docs.sparkSession)
+    return docs.withColumn(into, passages_of(F.col("text"), benchmark))

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgraph.llm.ngrams import hashed_ngrams, letters_only, row_sums
@@ -135,30 +135,36 @@ def _fit(found: list, shares: list, target: np.ndarray, languages: list[str], ra
     return LanguageModel(languages, table.astype(np.float32), bias, temperature, threshold)
 
 
-def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``lang_accepted`` (the score reaches the calibrated threshold)."""
-    spark = docs.sparkSession
-    small_batches(spark)
+def language_of(text: Column, model: LanguageModel | None) -> Column:
+    """A struct of ``lang``, ``score`` and ``accepted`` for each text."""
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "lang_accepted": F.lit(False)})
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS x MOST_LANGUAGES floats at most
+        return F.struct(F.lit("und").alias("lang"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
+    # BUCKETS x MOST_LANGUAGES floats at most.
+    shared = SparkSession.active().sparkContext.broadcast(model)
+    kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())])
 
     @F.arrow_udf("struct<lang:string,score:double,accepted:boolean>")
     def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = shared.value
         names = np.array(known.languages, object)
         for column in columns:
-            parts = []
+            parts = [pa.array([], kind)]
             for part in slices([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
                 texts = part.column("text")
                 lettered = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()])
                 chances = known.probabilities(texts)
                 best = chances.argmax(axis=1)
                 score = np.where(lettered, np.minimum(chances[np.arange(len(best)), best], 1.0), 0.0)
-                picked = np.where(lettered, names[best], "und")
-                columns_out = [pa.array(picked, pa.string()), pa.array(score), pa.array(lettered & (score >= known.threshold))]
-                parts.append(pa.StructArray.from_arrays(columns_out, ["lang", "score", "accepted"]))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("lang", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())]))
+                lang = pa.array(np.where(lettered, names[best], "und"), pa.string())
+                parts.append(pa.StructArray.from_arrays([lang, pa.array(score), pa.array(lettered & (score >= known.threshold))], fields=list(kind)))
+            yield pa.concat_arrays(parts)
+
+    return predict(text)
+
 
-    told = docs.withColumn("_told", predict(F.col("text")))
-    return told.withColumns({"lang_pred": F.col("_told.lang"), "score": F.col("_told.score"), "lang_accepted": F.col("_told.accepted")}).drop("_told")
+def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``lang_accepted`` (the score reaches the calibrated threshold)."""
+    small_batches(docs.sparkSession)
+    names = {"lang": "lang_pred", "score": "score", "accepted": "lang_accepted"}
+    told = docs.select(F.struct(*docs.columns).alias("row"), language_of(F.col("text"), model).alias("told"))
+    return told.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in names.values()], *[F.col("told")[k].alias(v) for k, v in names.items()])

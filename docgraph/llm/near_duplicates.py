@@ -326,3 +326,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     alone = alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
     return grouped.union(alone).select("doc_id", "n_shingles", "component_id", kept, "class_id")
+
+
+def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay if each group of near duplicates keeps its smallest ``doc_id``; all columns.
+
+    Of rows that share a ``doc_id`` one stays; rows without one all stay.
+    """
+    found = near_duplicates(docs, shingle_words, percent).filter("kept and doc_id is not null")
+    counts = write_table(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    once = docs.join(counts.filter("rows = 1"), "doc_id", "left_semi")
+    repeated = docs.join(counts.filter("rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.union(repeated).select(docs.columns).union(docs.filter("doc_id is null"))

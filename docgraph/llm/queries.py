@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -141,5 +142,6 @@ QUERIES = {
     "op7_toxicity": (op7_toxicity, None),
     "op9_token_counts": (op9_token_counts, None),
     "op10_packing": (op10_packing, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op8_decontamination": (op8_decontamination, None),
 }

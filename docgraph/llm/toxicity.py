@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgraph.llm.ngrams import hashed_ngrams, letters_only, row_sums
@@ -143,11 +143,9 @@ def _calibrate(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[floa
     return (float(at[0]), float(at[1])) if np.isfinite(at).all() and at[0] > 0 else (1.0, 0.0)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if the score reaches the threshold)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # one float per bucket
+def toxicity_of(text: Column, model: ToxicityModel) -> Column:
+    """The score of each text."""
+    shared = SparkSession.active().sparkContext.broadcast(model)  # one float per bucket
 
     @F.arrow_udf("double")
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -155,5 +153,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
             batches = slices([pa.RecordBatch.from_arrays([column], ["text"])], "text")
             yield pa.array(np.concatenate([np.zeros(0), *(shared.value.scores(part.column("text")) for part in batches)]))
 
-    scored = docs.withColumn("score", score(F.col("text")))
+    return score(text)
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if the score reaches the threshold)."""
+    small_batches(docs.sparkSession)
+    scored = docs.withColumn("score", toxicity_of(F.col("text"), model))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
