@@ -1,8 +1,8 @@
 """Toxicity: a linear classifier on character n-grams whose features are scaled by naive Bayes log-count ratios.
 
 A text's features are the distinct hashed n-grams of letters within a word and its bounds, over the whole text. A feature's value
-is the logarithm of the ratio of its (smoothed) shares of toxic and other texts; features of fewer than ``RARE`` texts are left
-out. Logistic regression on these values is fitted by stochastic gradient descent with adaptive steps on a sample of bounded
+is the logarithm of the ratio of its (smoothed) shares of toxic and other texts. Features of fewer than ``RARE`` texts are left
+out, and those with a ratio of ``LEAST_RATIO`` or less, as otherwise many words of plain text would outweigh a toxic passage in a long one. Logistic regression on these values is fitted by stochastic gradient descent with adaptive steps on a sample of bounded
 size, and part of the sample is kept to calibrate slope and intercept of the score, with the classes weighted
 as in all labelled rows. Scoring needs one weight per bucket.
 
@@ -32,6 +32,7 @@ OTHER_TEXTS = 4000
 SIZES = (5, 7, 9, 11)
 BUCKETS = 1 << 21
 RARE = 3
+LEAST_RATIO = 1.0
 EPOCHS = 10
 BATCH = 64
 # Scores from here on count as toxic.
@@ -100,7 +101,7 @@ def _fit(found: list[np.ndarray], y: np.ndarray, share: float, random: np.random
         counts[y[i], found[i]] += 1
     of = np.bincount(y[training], minlength=2)
     ratio = np.log((counts[1] + 1) / (of[1] + 2)) - np.log((counts[0] + 1) / (of[0] + 2))
-    common = np.flatnonzero(counts.sum(axis=0) >= RARE)
+    common = np.flatnonzero((counts.sum(axis=0) >= RARE) & (ratio > LEAST_RATIO))
     place = np.full(BUCKETS, -1, np.int32)
     place[common] = np.arange(len(common))
     value = ratio[common]

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from docgraph.llm import decontamination as dc
+from tests.llm.helpers import documents, sentence
+
+
+def fewest_edits(window, text):
+    """Fewest edits between the window and any region of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(window, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def noisy(rng, text, edits):
+    out = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        kind = rng.randrange(3)
+        if kind == 0:
+            out[at] = rng.choice("qxz")
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, rng.choice("qxz"))
+    return "".join(out)
+
+
+def find(spark, rows, items):
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    return dc.benchmark_passages(documents(spark, rows), benchmark, into="found").collect()
+
+
+def test_exact_noisy_and_clean_documents(spark):
+    rng = random.Random(2)
+    items = [(k, sentence(rng, rng.randrange(12, 60), 900)) for k in range(40)]
+    rows, want = [], {}
+    for k, text in items:
+        before, after = sentence(rng, 40, 900), sentence(rng, 40, 900)
+        rows.append((k, f"{before}. É {text.upper()}! {after}"))
+        want[k] = (k, len(f"{before}. É "), len(f"{before}. É {text}"))
+        rows.append((100 + k, f"{before} {noisy(rng, text, 2)} {after}"))
+        rows.append((200 + k, f"{before} {after}"))
+        if len(text) > 180:  # two thirds of an item
+            rows.append((300 + k, f"{before} {text[len(text) // 6 : len(text) * 5 // 6]} {after}"))
+    rows += [(900, None), (901, ""), (902, sentence(rng, 100_000, 900) + " " + items[3][1])]
+    found = {r.doc_id: r.found for r in find(spark, rows, items)}
+    for k, (item, start, end) in want.items():
+        assert [(p.item_id, p.doc_start, p.doc_end, p.edits) for p in found[k]] == [(item, start, end, 0)]
+        assert [p.item_id for p in found[100 + k]] == [k]
+        assert found[200 + k] == []
+        if 300 + k in found:
+            assert [p.item_id for p in found[300 + k]] == [k]
+    assert found[900] == [] and found[901] == [] and [p.item_id for p in found[902]] == [3]
+
+
+def test_same_windows_as_brute_force():
+    """Every window within its budget is found, and none beyond, with edits as by full dynamic programming."""
+    rng = random.Random(8)
+    target = sentence(rng, 16, 900)[: dc.WINDOW]
+    block = dc.Block([1], [target])
+    texts = [sentence(rng, 10, 900) + " " + noisy(rng, target, e) + " " + sentence(rng, 10, 900) for e in list(range(12)) * 8]
+    found = dc.passages(block, pa.array(texts))
+    for text, passages in zip(texts, found):
+        raw, offsets = dc.column_bytes(pa.array([text]))
+        normal = dc.normalise(raw, offsets)[0]
+        least = fewest_edits(block.items[0].tolist(), normal.tolist())
+        if least <= dc.budget(len(block.items[0])):
+            assert [p[5] for p in passages] == [least]
+        else:
+            assert passages == []
+
+
+@pytest.mark.parametrize("length", range(dc.SHORTEST, dc.WINDOW + 1))
+def test_the_lemma_asks_for_something(length):
+    assert dc.least_shared(length) >= 1
+
+
+def test_windows_cover_an_item():
+    for length in (40, 80, 81, 119, 120, 121, 400):
+        windows = dc.windows_of(length)
+        assert windows[0][0] == 0 and sum(windows[-1]) == length
+        assert all(b[0] - a[0] <= dc.STRIDE for a, b in zip(windows, windows[1:]))
+
+
+def test_repeats_ties_short_items_and_empty_tables(spark):
+    rng = random.Random(3)
+    text = sentence(rng, 30, 900)
+    items = [(1, text), (2, text), (3, "too short"), (None, text), (4, None)]
+    rows = [(1, f"{text} and then {sentence(rng, 30, 900)} {text}"), (2, text), (2, text), (None, text), (5, "too short"), (6, ("no " * 5000))]
+    found = sorted((str(r.doc_id), sorted(p.item_id for p in r.found)) for r in find(spark, rows, items))
+    assert found == [("1", [1, 1, 2, 2]), ("2", [1, 2]), ("2", [1, 2]), ("5", []), ("6", []), ("None", [1, 2])]
+    assert find(spark, [], items) == []
+    assert all(r.found == [] for r in find(spark, rows, []))
+
+
+def test_several_blocks_give_the_same(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(k, sentence(rng, 30, 900)) for k in range(12)]
+    rows = [(k, " ".join(t for _, t in rng.sample(items, 3))) for k in range(20)]
+    whole = {r.doc_id: sorted(map(tuple, r.found)) for r in find(spark, rows, items)}
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 500)
+    assert {r.doc_id: sorted(map(tuple, r.found)) for r in find(spark, rows, items)} == whole
+
+
+def test_alignment_inside_a_band():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        window = rng.integers(97, 103, 40).astype(np.uint8)
+        text = np.concatenate([rng.integers(97, 103, 30), np.delete(window, rng.integers(0, 40, 2)), rng.integers(97, 103, 30)]).astype(np.uint8)
+        hit = dc.align(window, text, 28, 32, 4)
+        assert hit and hit[0] == fewest_edits(window.tolist(), text.tolist())
+        assert fewest_edits(window.tolist(), text[hit[1] : hit[2]].tolist()) == hit[0]
