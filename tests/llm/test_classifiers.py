@@ -115,7 +115,7 @@ def test_whole_texts_are_scored(spark, labelled):
     docs, labels = labelled
     frame = documents(spark, docs)
     model = toxicity.train_toxicity_model(frame, spark.createDataFrame(labels, LABELS))
-    clean = prose(random.Random(1), "aa", 400)
+    clean = prose(random.Random(1), "aa", 100)
     texts = [clean, clean + " quibzot", None, "quibzot snarfle", prose(random.Random(1), "aa", 200_000)]
     scores = model.scores(pa.array(texts, pa.string()))
     assert scores[0] < 0.3 <= scores[1] and scores[2] < 0.3 <= scores[3] and scores[4] < 0.3
