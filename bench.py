@@ -35,6 +35,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoints-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -56,7 +56,8 @@ def clean_value(column: Column, kind: T.DataType) -> Column:
         entries = F.transform(
             F.map_entries(column),
             lambda e: F.struct(
-                clean_value(e["key"], kind.keyType).cast("string").alias("key"),
+                # A key that has no clean value, like NaN, stays as its text.
+                F.coalesce(clean_value(e["key"], kind.keyType).cast("string"), e["key"].cast("string")).alias("key"),
                 clean_value(e["value"], kind.valueType).alias("value"),
             ),
         )

@@ -63,13 +63,12 @@ def date_multi_format(column: Column) -> Column:
     padded = F.regexp_replace(padded, r"(T\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
     padded = F.when(has_zone, F.regexp_replace(padded, r"([+-]\d{2})(\d{2})$", "$1:$2")).otherwise(padded)
     local = padded.try_cast("timestamp_ntz")
-    shifted = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), padded.try_cast("timestamp").cast("timestamp_ntz")
-    )
-    millis = text.try_cast("bigint")
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    seconds = F.when(F.abs(millis.try_cast("decimal(20,0)")) <= LAST_MILLI, millis / F.lit(1000))
-    since_epoch = epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    after_epoch = lambda seconds: epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    # By the instant: the session's wall time skips or repeats an hour twice a year.
+    shifted = after_epoch(F.unix_micros(padded.try_cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000))
+    millis = text.try_cast("bigint")
+    since_epoch = after_epoch(F.when(F.abs(millis.try_cast("decimal(20,0)")) <= LAST_MILLI, millis / F.lit(1000)))
     return F.when(text.rlike(ISO_DATE), F.when(has_zone, shifted).otherwise(local)).when(
         text.rlike(EPOCH_MILLIS), since_epoch
     )
@@ -99,22 +98,25 @@ def _coerced(column: Column, kind: T.DataType, wanted: T.DataType) -> Column:
     return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
 
 
-def apply_mapping(documents: DataFrame, mapping: dict) -> DataFrame:
-    """Coerce ``_source`` to the mapping and add ``_errors``, one entry per value that does not fit.
+def conform(documents: DataFrame, wanted: T.StructType, names: dict[str, str] | None = None) -> DataFrame:
+    """Coerce the fields of ``_source`` to the wanted types and add ``_errors``, one entry per value that does not fit.
 
-    Mapped fields that the documents lack become null; unmapped fields pass as they are. A document
-    without errors has an empty array; one with errors keeps its original text in ``_given``.
+    Wanted fields that the documents lack become null; other fields pass as they are. A document without errors has an empty array; one with
+    errors keeps its original text in ``_given``. ``names`` are the names of the types in errors. Errors that are there already stay.
     """
-    wanted = mapping_to_schema(mapping)
     present = {field.name: field.dataType for field in documents.schema["_source"].dataType}
     result, errors = {}, []
     for name, kind in present.items():
         value = F.col("_source")[name]
-        if name not in wanted.names:
+        if name not in wanted.names or wanted[name].dataType == kind:
             result[name] = value
             continue
         to = wanted[name].dataType
-        if isinstance(kind, T.ArrayType):
+        nested = (T.ArrayType, T.StructType, T.MapType)
+        if isinstance(to, nested):
+            coerced = F.lit(None).cast(to)
+            bad = value.isNotNull()
+        elif isinstance(kind, T.ArrayType):
             coerced = F.transform(value, lambda item: _coerced(item, kind.elementType, to))
             bad = F.exists(value, lambda item: item.isNotNull() & _coerced(item, kind.elementType, to).isNull())
             bad = F.coalesce(bad, F.lit(False))
@@ -122,27 +124,27 @@ def apply_mapping(documents: DataFrame, mapping: dict) -> DataFrame:
             coerced = _coerced(value, kind, to)
             bad = value.isNotNull() & coerced.isNull()
         result[name] = coerced
-        shown = F.to_json(value) if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else value.cast("string")
-        errors.append(
-            F.when(
-                bad,
-                F.struct(
-                    F.lit(name).alias("field"),
-                    F.lit(mapping["properties"][name]["type"]).alias("type"),
-                    shown.alias("value"),
-                ),
-            )
-        )
+        shown = F.to_json(value) if isinstance(kind, nested) else value.cast("string")
+        called = (names or {}).get(name, to.simpleString())
+        errors.append(F.when(bad, F.struct(F.lit(name).alias("field"), F.lit(called).alias("type"), shown.alias("value"))))
     for field in wanted:
         if field.name not in present:
             result[field.name] = F.lit(None).cast(field.dataType)
     source = F.struct(*[column.alias(name) for name, column in result.items()])
-    found = F.array_compact(F.array(*errors)) if errors else F.array().cast(ERRORS)
-    return (
-        documents.withColumn("_errors", found.cast(ERRORS))
-        .withColumn("_given", F.when(F.size("_errors") > 0, source_json()))
-        .withColumn("_source", source)
-    )
+    found = F.array_compact(F.array(*errors)) if errors else F.array()
+    found = found.cast(ERRORS)
+    given = F.when(F.size(found) > 0, source_json())
+    if "_errors" in documents.columns:
+        found = F.concat("_errors", found)
+    if "_given" in documents.columns:
+        given = F.coalesce("_given", given)
+    return documents.withColumns({"_errors": found, "_given": given, "_source": source})
+
+
+def apply_mapping(documents: DataFrame, mapping: dict) -> DataFrame:
+    """Coerce ``_source`` to the mapping and add ``_errors``; see ``conform``."""
+    names = {name: settings["type"] for name, settings in mapping["properties"].items()}
+    return conform(documents, mapping_to_schema(mapping), names)
 
 
 ERRORS = T.ArrayType(

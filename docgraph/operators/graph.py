@@ -316,16 +316,14 @@ def nest_reports(
     """The edges of each start as an array of structs; a start without edges has an empty array.
 
     A start with more than ``page_rows`` edges gets several rows, numbered by ``page``, so that no
-    array grows with the graph. Edges are dealt to the pages evenly, and sorted within a page.
+    array grows with the graph. Edges are in the order of their fields.
     """
     fields = [c for c in flat.columns if c != "start"]
     nested = collect_pages(flat, ["start"], F.struct(*fields), as_field, page_rows)
     empty = F.array().cast(nested.schema[as_field].dataType)
-    return (
-        starts.select("start")
-        .join(nested, "start", "left")
-        .select("start", F.coalesce("page", F.lit(0)).alias("page"), F.coalesce(as_field, empty).alias(as_field))
-    )
+    # The pages stay where they are; only keys are compared.
+    without = starts.select("start").join(nested.filter("page = 0").select("start"), "start", "left_anti")
+    return nested.unionByName(without.select("start", F.lit(0).alias("page"), empty.alias(as_field)))
 
 
 def edge_count(flat: DataFrame, starts: DataFrame) -> DataFrame:

@@ -6,10 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
-
-# Longer value lists become a join instead of a predicate.
-LONGEST_IN_LIST = 1000
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def project_fields(df: DataFrame, *fields: str) -> DataFrame:
@@ -21,6 +18,7 @@ def eval_alias(df: DataFrame, new: str, old: str) -> DataFrame:
 
 
 def eval_rand(df: DataFrame, name: str, seed: int | None = None) -> DataFrame:
+    """A random number from 0 (included) to 1 (excluded) in each row."""
     return df.withColumn(name, F.rand(seed))
 
 
@@ -29,11 +27,19 @@ def filter_eq(df: DataFrame, field: str, value) -> DataFrame:
 
 
 def filter_in(df: DataFrame, field: str, values: Iterable) -> DataFrame:
-    values = list(values)
-    if len(values) <= LONGEST_IN_LIST:
-        return df.filter(F.col(field).isin(values))
-    layout = StructType([StructField(field, df.schema[field].dataType)])
-    return df.join(df.sparkSession.createDataFrame([(v,) for v in values], layout), field, "left_semi")
+    """Rows whose field equals one of the values, however many these are; texts are read as the field's type.
+
+    Null, and a text that the type does not allow, equal nothing.
+    """
+    values = [v for v in values if v is not None]
+    kind = df.schema[field].dataType
+    if len({type(v) for v in values}) > 1 and any(isinstance(v, str) for v in values):
+        values = [str(v) for v in values]
+    spark = df.sparkSession
+    given = spark.createDataFrame([(v,) for v in values], ["_value"] if values else StructType([StructField("_value", kind)]))
+    if isinstance(given.schema["_value"].dataType, StringType):
+        given = given.select(F.col("_value").try_cast(kind).alias("_value"))
+    return df.join(given, df[field] == given["_value"], "left_semi")
 
 
 def stats_count_by(df: DataFrame, by: str, as_field: str = "cnt") -> DataFrame:

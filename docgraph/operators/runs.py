@@ -79,9 +79,29 @@ def run_summary_multi(medians: DataFrame, order: str = "first_run") -> DataFrame
     )
 
 
-def run_details(medians: DataFrame, keys: list[str] = SINGLE) -> DataFrame:
-    """All records, flat."""
-    return medians.select(*keys, "median_latency_ms", "edge_count", "node_count", "error")
+def run_details(
+    medians: DataFrame, runs: DataFrame | None = None, keys: list[str] = SINGLE, ranked: DataFrame | None = None, page_rows: int = 10_000
+) -> DataFrame:
+    """All records, flat.
+
+    With the log ``runs`` also ``all_latencies_ms`` in run order, in pages (a record with more than ``page_rows`` latencies has several rows,
+    one without any an empty page 0). With ``ranked`` (``start``, ``rank``) also ``start_values``, the starts of a batch.
+    """
+    shown = [*keys, "median_latency_ms", "edge_count", "node_count", "error"]
+    details = medians.select(*shown)
+    if ranked is not None:
+        batches = details.select("num_start_values").distinct()
+        starts = batches.join(ranked, F.col("rank") <= F.col("num_start_values")).groupBy("num_start_values")
+        starts = starts.agg(F.sort_array(F.collect_list(F.struct("rank", "start"))).alias("_starts"))
+        starts = starts.select("num_start_values", F.transform("_starts", lambda s: s["start"]).alias("start_values"))
+        details = details.join(starts, "num_start_values", "left").select(*shown, "start_values")
+        shown.append("start_values")
+    if runs is not None:
+        none = F.array().cast("array<double>")
+        details = details.join(run_latencies(runs, keys, page_rows=page_rows), keys, "left").select(
+            *shown, F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("all_latencies_ms", none).alias("all_latencies_ms")
+        )
+    return details
 
 
 def summary_table(summary: DataFrame, directions: Iterable[str], sizes: Iterable[int]) -> DataFrame:
@@ -106,8 +126,10 @@ def summary_table(summary: DataFrame, directions: Iterable[str], sizes: Iterable
     )
 
 
-def json_report(summary: DataFrame, details: DataFrame, path: str) -> None:
-    """Summary nested by direction and depth (or number of starts), and details, as JSON files."""
+def json_report(summary: DataFrame, details: DataFrame, path: str, config: dict | None = None) -> None:
+    """The report of a benchmark as JSON files: timestamp and settings of the benchmark, the summary nested by direction and depth (or
+    number of starts), and all details."""
+    spark = summary.sparkSession
     size = "max_depth" if "max_depth" in summary.columns else "num_start_values"
     values = F.struct(*[c for c in summary.columns if c not in ("direction", size)])
     entry = F.struct(F.col(size).cast("string").alias("key"), values.alias("value"))
@@ -118,3 +140,6 @@ def json_report(summary: DataFrame, details: DataFrame, path: str) -> None:
         .json(f"{path}/summary")
     )
     details.write.mode("overwrite").json(f"{path}/details")
+    settings = [F.lit(value).alias(name) for name, value in (config or {}).items()]
+    head = [F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), *[F.struct(*settings).alias("config")] * bool(settings)]
+    spark.range(1).select(*head).write.mode("overwrite").json(f"{path}/benchmark")

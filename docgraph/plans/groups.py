@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from docgraph.plans.scratch import write_table
 
-# Up to this many rows a group's values fit one task's aggregation buffer.
-LARGEST_GROUP = 1_000_000
-
 
 def _on(keys: list[str], other: str) -> Column:
     condition = F.lit(True)
@@ -18,19 +15,13 @@ def _on(keys: list[str], other: str) -> Column:
     return condition
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, largest_group: int | None = None) -> DataFrame:
-    """``keys`` and the exact ``median`` of the non-null values (mean of the middle two if even).
+def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys`` and the exact ``median`` of the non-null values as a double (mean of the middle two if even).
 
-    Small groups use the built-in aggregate. If any group is large, equal values are counted first
-    and the rest is range-partitioned by group and value, so that a large group is spread over as
-    many tasks as it has shares; ranks come from the counts of the pieces before.
+    Equal values are counted first, and the rest is range-partitioned by group and value, so that a large group is spread
+    over as many tasks as it has shares; ranks come from the counts of the pieces before.
     """
     values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
-    if largest <= (LARGEST_GROUP if largest_group is None else largest_group):
-        return values.groupBy(*keys).agg(F.median("_value").alias("median"))
-
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = values.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_copies"))
     pieces = write_table(
@@ -66,20 +57,26 @@ def exact_median(df: DataFrame, keys: list[str], value: str, largest_group: int
             F.max(F.when(holds(low), F.col("_value"))).alias("_low"),
             F.max(F.when(holds(high), F.col("_value"))).alias("_high"),
         )
-        .select(*keys, ((F.col("_low") + F.col("_high")) / 2).alias("median"))
+        # Halved first: the sum of two large values need not fit.
+        .select(*keys, (F.col("_low").cast("double") / 2 + F.col("_high").cast("double") / 2).alias("median"))
     )
 
 
 def collect_pages(df: DataFrame, keys: list[str], item: Column, as_field: str, page_rows: int) -> DataFrame:
-    """The items of each group as sorted arrays of about ``page_rows`` entries, numbered by ``page``.
+    """The items of each group in their order, as arrays of ``page_rows`` entries (fewer on the last page) numbered by ``page``.
 
-    A group's rows are dealt evenly over as many pages as it needs, so no array grows with the data.
-    The rows are written first: they are read twice, and their numbers must not change in between.
+    Items are range-partitioned by group and value, so a large group is spread over many tasks; their ranks come from the counts of the
+    pieces before.
     """
-    items = write_table(df.select(*keys, item.alias("_item"), F.monotonically_increasing_id().alias("_at")), "pages")
-    sizes = items.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(page_rows)).cast("long").alias("_pages"))
-    # One row per group. Its written size decides: broadcast, so that the items stay where they are, or
-    # a shuffle in which adaptive execution splits the large groups.
-    sizes = write_table(sizes.withColumnsRenamed({k: f"_of_{k}" for k in keys}), "sizes")
-    dealt = items.join(sizes, _on(keys, "_of_")).withColumn("page", F.pmod(F.xxhash64("_at"), F.col("_pages")).cast("int"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = df.select(*keys, item.alias("_item")).repartitionByRange(partitions, *keys, "_item")
+    items = write_table(items.withColumn("_piece", F.spark_partition_id()), "pages")
+    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # At most one row per group and partition here.
+    offsets = items.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_in_piece"))
+    offsets = offsets.withColumn("_before", F.coalesce(F.sum("_in_piece").over(earlier), F.lit(0)))
+    offsets = offsets.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_piece").alias("_of_piece"), "_before")
+    within = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy("_item"))
+    ranked = items.join(offsets, _on(keys, "_of_") & (F.col("_piece") == F.col("_of_piece")))
+    dealt = ranked.withColumn("page", F.floor((F.col("_before") + within - 1) / page_rows).cast("int"))
     return dealt.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_item")).alias(as_field))

@@ -12,31 +12,6 @@ from docgraph.sinks.index import Load, bulk_index, create_index, index_mapping
 from docgraph.sources import csv, parquet
 
 
-def _with_place_in_list(rows: DataFrame, paths: str | list[str]) -> DataFrame:
-    """Add ``_listed``, the position of a record's file, or of its folder, in the caller's list."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if len(paths) == 1:
-        return rows.withColumn("_listed", F.lit(0))
-    spark = rows.sparkSession
-    configuration, names = spark._jsc.hadoopConfiguration(), []
-    for path in paths:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        names.append(hadoop_path.getFileSystem(configuration).makeQualified(hadoop_path).toUri().getRawPath())
-    # As long as the list that the caller holds.
-    listed = F.broadcast(spark.createDataFrame(list(zip(names, range(len(names)))), "_path string, _listed int"))
-    file = F.regexp_replace("_file", "^[a-z0-9]+:(//[^/]*)?", "")
-    folder = F.regexp_replace(file, "/[^/]*$", "")
-    as_file = listed.toDF("_path", "_as_file")
-    return (
-        rows.withColumn("_path", file)
-        .join(as_file, "_path", "left")
-        .withColumn("_path", folder)
-        .join(listed, "_path", "left")
-        .withColumn("_listed", F.coalesce("_as_file", "_listed"))
-        .drop("_path", "_as_file")
-    )
-
-
 def _load(
     rows: DataFrame,
     root: str,
@@ -45,19 +20,20 @@ def _load(
     chunk_size: int | None,
     mapping: dict | None,
     mode: str,
-    paths: str | list[str],
     position: list[str],
     extra: list[str],
 ) -> Load:
     spark = rows.sparkSession
     create_index(spark, root, index_name, mapping)
-    rows = _with_place_in_list(rows, paths)
     # An index that already exists keeps its mapping; a new one given here has no effect.
     in_force = index_mapping(spark, root, index_name)
     # Timestamps that become date fields need no way through text.
     dates = {f.name for f in mapping_to_schema(in_force) if isinstance(f.dataType, TimestampNTZType)} if in_force else set()
     dates &= {f.name for f in rows.schema if isinstance(f.dataType, TimestampNTZType)}
-    documents = prepare_documents(rows, index_name, doc_id_column, keep=[*position, *extra, "_listed"], as_is=dates)
+    # A column without values declares no type.
+    declared = mapping_to_schema(in_force).names if in_force else []
+    rows = rows.drop(*[f.name for f in rows.schema if f.metadata.get("empty") and f.name not in declared])
+    documents = prepare_documents(rows, index_name, doc_id_column, keep=[*position, *extra], as_is=dates)
     if in_force:
         documents = apply_mapping(documents, in_force)
     if extra:
@@ -69,7 +45,7 @@ def _load(
         documents = documents.withColumns(
             {"_errors": F.when(lost, unread).otherwise(known), "_given": F.when(lost, F.col(csv.RAW)).otherwise(given)}
         )
-    return bulk_index(documents, root, index_name, ["_listed", *position], chunk_size, mode)
+    return bulk_index(documents, root, index_name, position, chunk_size, mode)
 
 
 def import_parquet(
@@ -84,7 +60,7 @@ def import_parquet(
 ) -> Load:
     """Import one or more Parquet files into an index."""
     rows = parquet.read_parquet(spark, paths, position=True)
-    return _load(rows, root, index_name, doc_id_column, chunk_size, mapping, mode, paths, parquet.POSITION, [])
+    return _load(rows, root, index_name, doc_id_column, chunk_size, mapping, mode, parquet.POSITION, [])
 
 
 def import_csv(
@@ -101,4 +77,4 @@ def import_csv(
     """Import one or more delimited files into an index; ``settings`` as for ``read_csv``."""
     rows = csv.parse_csv(spark, paths, position=True, **settings)
     extra = [csv.RAW, csv.PROBLEM]
-    return _load(rows, root, index_name, doc_id_column, chunk_size, mapping, mode, paths, csv.POSITION, extra)
+    return _load(rows, root, index_name, doc_id_column, chunk_size, mapping, mode, csv.POSITION, extra)

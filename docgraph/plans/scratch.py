@@ -6,7 +6,6 @@ its own) and can be bucketed, none of which holds for a checkpointed RDD under a
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,18 +16,11 @@ ROWS_PER_BUCKET = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session that names none gets a temporary folder; a cluster must name a folder
-    that every executor can reach.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``; every executor must reach it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docgraph-"))
-    return spark.sparkContext.getCheckpointDir()
+    return named
 
 
 def _own_folder(spark: SparkSession) -> str:

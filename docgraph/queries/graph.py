@@ -66,13 +66,18 @@ def graph_depth_field(spark, sf_dir):
     return flat.groupBy("start", "hops").agg(F.count(F.lit(1)).alias("edges"), F.sum("edge_id").alias("edge_ids"))
 
 
+# Pages so short that the test tables have starts with several.
+REPORT_ROWS = 5
+
+
 def graph_reports(spark, sf_dir):
     vertices, edges, starts = _graph(spark, sf_dir)
     flat = graph.graph_lookup(vertices, edges, starts.select("start"), max_depth=1)
     shown = lambda r: F.concat_ws(" ", r["edge_id"], r["source"], r["target"], r["depth"])
-    nested = graph.nest_reports(flat, starts)
+    nested = graph.nest_reports(flat, starts, page_rows=REPORT_ROWS)
     return nested.select(
         "start",
+        "page",
         F.size("reports").cast("long").alias("edges"),
         F.array_join(F.transform("reports", shown), ", ").alias("reports"),
     )
@@ -186,7 +191,9 @@ def eval_alias(spark, sf_dir):
 
 
 def eval_rand(spark, sf_dir):
-    return relational.eval_rand(fixtures.vertices(spark, sf_dir).select("id"), "a")
+    """The numbers differ from run to run; their range does not."""
+    drawn = relational.eval_rand(fixtures.vertices(spark, sf_dir).select("id"), "a")
+    return drawn.select("id", ((F.col("a") >= 0) & (F.col("a") < 1)).alias("in_range"))
 
 
 def filter_eq(spark, sf_dir):
@@ -197,6 +204,11 @@ def filter_in(spark, sf_dir):
     return relational.filter_in(fixtures.edges(spark, sf_dir), "source", [1, 7, 30, 42])
 
 
+def filter_in_long(spark, sf_dir):
+    """A long list, of texts for a field of whole numbers."""
+    return relational.filter_in(fixtures.edges(spark, sf_dir), "source", [str(k) for k in range(0, 3000, 2)] + ["none"])
+
+
 def stats_count_by(spark, sf_dir):
     return relational.stats_count_by(fixtures.edges(spark, sf_dir), "source")
 
@@ -232,9 +244,11 @@ QUERIES = {
     ),
     "graph_reports": (
         graph_reports,
-        f"""{_reach_sql('uni', 1)} select st.start, count(flat.start) as edges,
+        f"""{_reach_sql('uni', 1)},
+ paged as (select *, ((row_number() over (partition by start order by edge_id) - 1) // {REPORT_ROWS})::integer as page from flat)
+ select st.start, coalesce(page, 0) as page, count(paged.start) as edges,
  coalesce(string_agg(edge_id || ' ' || source || ' ' || target || ' ' || depth, ', ' order by edge_id), '') as reports
- from st left join flat using (start) group by st.start""",
+ from st left join paged using (start) group by st.start, page""",
     ),
     "graph_multi_start": (graph_multi_start, f"{_reach_sql('uni', 1, ALL_STARTS_SQL)} select * from flat"),
     "graph_batch_mode": (
@@ -283,9 +297,10 @@ select degree, round(sum(n) over (order by degree desc) / sum(n) over (), 9)::do
     "degrees_json": (degrees_json, f"{DEGREES_SQL} select cnt from deg"),
     "project_fields": (project_fields, "select l_orderkey, l_linenumber, l_shipdate from lineitem"),
     "eval_alias": (eval_alias, E + "select edge_id, target as source from e"),
-    "eval_rand": (eval_rand, None),
+    "eval_rand": (eval_rand, "select c_custkey as id, true as in_range from customer"),
     "filter_eq": (filter_eq, E + "select * from e where source = 7"),
     "filter_in": (filter_in, E + "select * from e where source in (1, 7, 30, 42)"),
+    "filter_in_long": (filter_in_long, E + "select * from e where source < 3000 and source % 2 = 0"),
     "stats_count_by": (stats_count_by, E + "select source, count(*) as cnt from e group by source"),
     "sort_asc_limit": (
         sort_asc_limit,

@@ -61,17 +61,17 @@ def csv_delimiter(spark, sf_dir):
 
 def csv_encoding(spark, sf_dir):
     path = _csv_files(table(spark, sf_dir, "documents"), encoding="ISO-8859-1")
-    return read_csv(spark, path, encoding="latin-1", multiline=True).rows
+    return read_csv(spark, path, encoding="latin-1").rows
 
 
 def csv_quote(spark, sf_dir):
     path = _csv_files(table(spark, sf_dir, "pages"), quote="'", escape="'", quoteAll=True)
-    return read_csv(spark, path, quotechar="'", multiline=True).rows
+    return read_csv(spark, path, quotechar="'").rows
 
 
 def csv_escape(spark, sf_dir):
     path = _csv_files(table(spark, sf_dir, "pages"), escape="\\", quoteAll=True)
-    return read_csv(spark, path, escapechar="\\", multiline=True).rows
+    return read_csv(spark, path, escapechar="\\").rows
 
 
 def csv_header(spark, sf_dir):
@@ -140,11 +140,16 @@ def csv_rejects(spark, sf_dir):
 
 
 def _line_files_ragged(df: DataFrame) -> str:
-    """Comma-separated lines of unequal length: null fields are left out. Complete rows come first."""
+    """Comma-separated lines of unequal length: null fields are left out. Complete rows come first in every file."""
     path = scratch_path(df.sparkSession, "ragged")
-    short = F.col(df.columns[-1]).isNotNull()
-    lines = df.orderBy(short, df.columns[0]).select(F.concat_ws(",", *df.columns).alias("value"))
-    lines.write.text(path)
+    lines = df.select(
+        (F.col(df.columns[0]) % FOLDERS).cast("int").alias("folder"),
+        F.col(df.columns[-1]).isNotNull().alias("short"),
+        F.col(df.columns[0]).alias("at"),
+        F.concat_ws(",", *df.columns).alias("value"),
+    )
+    lines = lines.repartition(FOLDERS, "folder").sortWithinPartitions("folder", "short", "at")
+    lines.select("folder", "value").write.partitionBy("folder").text(path)
     return path
 
 
@@ -154,19 +159,107 @@ def _split_files(df: DataFrame, key: str, parts: int = 3) -> list[str]:
     return [f"{path}/part={i}" for i in range(parts)]
 
 
+def _listed_twice(spark, sf_dir) -> list[str]:
+    """Three folders of files: the first one, a glob of the other two, and the first one again."""
+    parts = _split_files(table(spark, sf_dir, "orders"), "o_orderkey")
+    return [parts[0], parts[1].replace("part=1", "part=[12]") + "/*.parquet", f"{parts[0]}/*.parquet"]
+
+
 def multi_file_scan(spark, sf_dir):
-    return read_parquet(spark, _split_files(table(spark, sf_dir, "orders"), "o_orderkey"))
+    return read_parquet(spark, _listed_twice(spark, sf_dir))
 
 
 def batch_stats(spark, sf_dir):
     root = scratch_path(spark, "index")
-    load = import_parquet(spark, _split_files(table(spark, sf_dir, "orders"), "o_orderkey"), root, "orders")
-    part = F.regexp_extract("file", r"part=(\d)", 1)
-    return load.batch_stats.groupBy(F.coalesce(part, F.lit("all")).alias("part")).agg(
-        *[F.sum(c).alias(c) for c in ("total_documents", "successful", "failed")]
+    load = import_parquet(spark, _listed_twice(spark, sf_dir), root, "orders")
+    part = F.when(F.col("is_total"), "all").otherwise(F.regexp_extract("file", r"part=(\d)", 1))
+    return load.batch_stats.groupBy(part.alias("part")).agg(
+        *[F.sum(c).alias(c) for c in ("total_documents", "successful", "failed")], F.count_if("is_total").alias("total_rows")
     )
 
 
+def import_list_order(spark, sf_dir):
+    """The file listed last wins: finished orders come as a glob, then all orders with another status."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "orders")
+    orders.write.parquet(f"{path}/z")
+    orders.filter("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("done")).write.parquet(f"{path}/a")
+    root = scratch_path(spark, "index")
+    import_parquet(spark, [f"{path}/z/*.parquet", f"{path}/a/*.parquet"], root, "orders", "o_orderkey")
+    return index.index_scan(spark, root, "orders").select("_id", "_source.*")
+
+
+def csv_quoted_newline(spark, sf_dir):
+    """Texts with line breaks, quotes and separators, with the default settings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit('a "quoted",\nword: '), "text").alias("text"), "lang")
+    return read_csv(spark, _csv_files(docs)).rows
+
+
+def csv_split_rejects(spark, sf_dir):
+    """Files that are split: a record over two lines is rejected, not broken in two."""
+    customers = table(spark, sf_dir, "customer")
+    name = F.when(F.col("c_custkey") % 10 == 0, F.concat("c_name", F.lit("\n2nd line"))).otherwise(F.col("c_name"))
+    path = scratch_path(spark, "lines")
+    customers.select(F.concat(F.col("c_custkey"), F.lit(',"'), name, F.lit('"')).alias("value")).write.text(path)
+    read = read_csv(spark, path, header=None, multiline=False)
+    good = read.rows.select(F.col("0").cast("string").alias("key"), F.col("1").alias("name"), F.lit("").alias("problem"))
+    return good.unionByName(read.rejects.select(F.col("_raw").alias("key"), F.lit(None).cast("string").alias("name"), F.col("_problem").alias("problem")))
+
+
+def csv_file_headers(spark, sf_dir):
+    """Files with the same columns in another order, and one with a column less."""
+    parts = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    by = lambda n, *c: _csv_files(parts.filter(F.col("s_suppkey") % 3 == n).select(*c))
+    paths = [by(0, "s_suppkey", "s_name", "s_acctbal"), by(1, "s_acctbal", "s_name", "s_suppkey"), by(2, "s_name", "s_suppkey")]
+    return read_csv(spark, paths).rows
+
+
+def csv_big_keys(spark, sf_dir):
+    """Keys of 20 digits that differ in the last ones only."""
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("99999999990"), F.lpad(F.col("o_orderkey"), 9, "0")).alias("key"), "o_custkey")
+    root = scratch_path(spark, "index")
+    load = import_csv(spark, _csv_files(orders), root, "orders", doc_id_column="key")
+    assert load.rejects.isEmpty()
+    return index.index_scan(spark, root, "orders").select("_id", "_source.*")
+
+
+def import_two_loads(spark, sf_dir):
+    """A column that is empty first and text later, and whole numbers first and fractions later."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    early, late = parts.filter("p_partkey % 2 = 0"), parts.filter("p_partkey % 2 = 1")
+    first = early.select("p_partkey", F.lit(None).cast("string").alias("note"), F.col("p_size").cast("long").alias("amount"))
+    second = late.select("p_partkey", F.col("p_name").alias("note"), F.col("p_retailprice").alias("amount"))
+    third = late.select((-F.col("p_partkey") - 1).alias("p_partkey"), F.lit("x").alias("note"), F.when(F.col("p_size") > 25, "much").otherwise("7").alias("amount"))
+    root = scratch_path(spark, "index")
+    for rows in (first, second, third):
+        import_csv(spark, _csv_files(rows), root, "parts", doc_id_column="p_partkey")
+    return index.index_scan(spark, root, "parts").select("_id", "_source.*")
+
+
+def upsert_ties(spark, sf_dir):
+    """Documents with the same key and the same order: one stays."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.lit(1).alias("at"))
+    root = scratch_path(spark, "index")
+    for _ in range(2):
+        index.bulk_index(documents.prepare_documents(orders, "latest", "o_custkey", keep=["at"]), root, "latest", ["at"])
+    return index.index_scan(spark, root, "latest").select("_id", "_source.*")
+
+
+def date_zoned(spark, sf_dir):
+    """Zoned text, whatever the session's zone is."""
+    events = table(spark, sf_dir, "events")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 2 == 0, "Z").otherwise("-05:00"))
+    return events.select("event_id", mapping.date_multi_format(text).alias("moment"))
+
+
+def doc_map_keys(spark, sf_dir):
+    """Numbers as keys, NaN and the infinities among them."""
+    key = F.when(F.col("p_size") == 1, F.lit(float("nan"))).when(F.col("p_size") == 2, F.lit(float("-inf"))).otherwise(F.col("p_size").cast("double"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.create_map(key, "p_name").alias("sizes"))
+    docs = documents.prepare_documents(parts, "docs", "p_partkey")
+    return docs.select("_id", documents.source_json().alias("doc"))
+
+
 def _imported(spark, sf_dir, name: str, key: str | None, **settings):
     root = scratch_path(spark, "index")
     load = import_parquet(spark, f"{sf_dir}/{name}.parquet", root, name, doc_id_column=key, **settings)
@@ -479,11 +572,49 @@ QUERIES = {
         """select case when event_type = 'error' then event_id || ',' || user_id || ',error,x' else event_id::varchar end as line,
  case when event_type = 'error' then 'more than 3 fields' else '' end as problem from events""",
     ),
-    "multi_file_scan": (multi_file_scan, "select * from orders"),
+    "multi_file_scan": (multi_file_scan, "select * from orders union all select * from orders where o_orderkey % 3 = 0"),
     "batch_stats": (
         batch_stats,
-        """select (o_orderkey % 3)::varchar as part, count(*) as total_documents, count(*) as successful, 0::bigint as failed
- from orders group by o_orderkey % 3 union all select 'all', count(*), count(*), 0 from orders""",
+        """with listed as (select * from orders union all select * from orders where o_orderkey % 3 = 0)
+ select (o_orderkey % 3)::varchar as part, count(*) as total_documents, count(*) as successful, 0::bigint as failed, 0::bigint as total_rows
+ from listed group by o_orderkey % 3 union all select 'all', count(*), count(*), 0, 1 from listed""",
+    ),
+    "import_list_order": (
+        import_list_order,
+        """select o_orderkey::varchar as _id, o_orderkey, case when o_orderstatus = 'F' then 'done' else o_orderstatus end as o_orderstatus
+ from orders""",
+    ),
+    "csv_quoted_newline": (csv_quoted_newline, "select doc_id, 'a \"quoted\",' || chr(10) || 'word: ' || text as text, lang from documents"),
+    "csv_split_rejects": (
+        csv_split_rejects,
+        """select c_custkey::varchar as key, c_name as name, '' as problem from customer where c_custkey % 10 <> 0
+ union all select c_custkey || ',"' || c_name, null, 'a quote is not closed' from customer where c_custkey % 10 = 0
+ union all select '2nd line"', null, '' from customer where c_custkey % 10 = 0""",
+    ),
+    "csv_file_headers": (
+        csv_file_headers,
+        "select s_suppkey, s_name, case when s_suppkey % 3 <> 2 then s_acctbal end as s_acctbal from supplier",
+    ),
+    "csv_big_keys": (
+        csv_big_keys,
+        """select '99999999990' || lpad(o_orderkey::varchar, 9, '0') as _id, '99999999990' || lpad(o_orderkey::varchar, 9, '0') as key, o_custkey
+ from orders""",
+    ),
+    "import_two_loads": (
+        import_two_loads,
+        """select p_partkey::varchar as _id, p_partkey, p_size::double as amount, null as note from part where p_partkey % 2 = 0
+ union all select p_partkey::varchar, p_partkey, p_retailprice, p_name from part where p_partkey % 2 = 1
+ union all select (-p_partkey - 1)::varchar, -p_partkey - 1, 7, 'x' from part where p_partkey % 2 = 1 and p_size <= 25""",
+    ),
+    "upsert_ties": (upsert_ties, "select distinct o_custkey::varchar as _id, o_custkey from orders"),
+    "date_zoned": (
+        date_zoned,
+        "select event_id, date_trunc('second', ts) + case when event_id % 2 = 0 then interval 0 hour else interval 5 hour end as moment from events",
+    ),
+    "doc_map_keys": (
+        doc_map_keys,
+        """select p_partkey::varchar as _id, '{"p_partkey":' || p_partkey || ',"sizes":{"' || case p_size when 1 then 'NaN' when 2 then '-Infinity'
+ else p_size || '.0' end || '":"' || p_name || '"}}' as doc from part""",
     ),
     "index_scan": (
         index_scan,

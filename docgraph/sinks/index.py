@@ -1,23 +1,27 @@
 """Named document collections in a folder.
 
 An index is a folder of segments, each a Parquet folder written once and never changed, and of
-numbered manifests, each a small text file that lists the segments in force. A load writes its
-segments first and then the next manifest; readers see the old or the new state. Two loads that
-finish at the same time cannot both write the same number: the second fails and can be repeated.
+numbered manifests, each a small text file that lists the segments in force with their fields. A load writes its
+segments first, then the next manifest aside, and renames it into place; readers see the old or the new state. Two loads that
+finish at the same time cannot both take the same number: the second fails and can be repeated.
+
+A field keeps the type of its first value; only whole numbers become doubles when a fraction comes. Values of another type are converted,
+and a document with a value that doesn't convert is rejected. A field that has had no value yet has no type.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from docgraph.functions.documents import source_json
-from docgraph.functions.mapping import ERRORS, mapping_to_schema
-from docgraph.plans.scratch import remove_path
+from docgraph.functions.mapping import ERRORS, conform, mapping_to_schema
+from docgraph.plans.scratch import remove_path, write_table
 
 
 REJECTED = "_rejected"
@@ -39,7 +43,8 @@ class IndexFolder:
         folder = self._hadoop(f"{self.path}/manifests")
         if not self._files.exists(folder):
             return []
-        return sorted(int(status.getPath().getName()) for status in self._files.listStatus(folder))
+        names = [status.getPath().getName() for status in self._files.listStatus(folder)]
+        return sorted(int(name) for name in names if name.isdigit())
 
     def manifest(self) -> dict | None:
         versions = self._versions()
@@ -51,26 +56,46 @@ class IndexFolder:
         finally:
             stream.close()
 
-    def commit(self, version: int, mapping: dict | None, segments: list[str], schema: StructType | None) -> None:
-        state = {"mapping": mapping, "segments": segments, "schema": schema and schema.jsonValue()}
-        target = self._hadoop(f"{self.path}/manifests/{version:09d}")
-        stream = self._files.create(target, False)
+    def commit(self, version: int, mapping: dict | None, segments: dict[str, StructType], schema: StructType | None) -> None:
+        state = {"mapping": mapping, "segments": {p: s.jsonValue() for p, s in segments.items()}, "schema": schema and schema.jsonValue()}
+        aside = self._files.makeQualified(self._hadoop(f"{self.path}/manifests/.{uuid4().hex}"))
+        stream = self._files.create(aside, False)
         stream.write(bytearray(json.dumps(state).encode()))
         stream.close()
+        # A rename that does not replace: the number is taken once.
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), self.spark._jsc.hadoopConfiguration())
+        no_options = self.spark.sparkContext._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(aside, self._files.makeQualified(self._hadoop(f"{self.path}/manifests/{version:09d}")), no_options)
+        except Exception:
+            self._files.delete(aside, False)
+            raise
 
     def new_segment(self) -> str:
         return f"{self.path}/segments/{uuid4().hex}"
 
-    def read(self, segments: list[str], schema: StructType) -> DataFrame:
-        """The accepted documents of some segments.
+    def read(self, segments: dict[str, StructType], schema: StructType) -> DataFrame:
+        """The accepted documents of some segments, with the fields of ``schema``.
 
         A segment as first written also holds the rejected documents, as text in a column of their
         own; it is null for accepted ones, and absent in segments written anew.
         """
-        layout = [StructField("_id", StringType()), StructField("_source", schema), StructField(REJECTED, StringType())]
-        if not segments:
-            return self.spark.createDataFrame([], StructType(layout[:2]))
-        return self.spark.read.schema(StructType(layout)).parquet(*segments).filter(F.col(REJECTED).isNull()).drop(REJECTED)
+        alike: dict[str, list[str]] = {}
+        for path, fields in segments.items():
+            alike.setdefault(fields.json(), []).append(path)
+        frames = []
+        for fields, paths in alike.items():
+            own = StructType.fromJson(json.loads(fields))
+            layout = [StructField("_id", StringType()), StructField("_source", own), StructField(REJECTED, StringType())]
+            rows = self.spark.read.schema(StructType(layout)).parquet(*paths).filter(F.col(REJECTED).isNull()).drop(REJECTED)
+            if own != schema:
+                known = {f.name: F.col("_source")[f.name] for f in own}
+                source = F.struct(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+                rows = rows.withColumn("_source", source)
+            frames.append(rows)
+        if not frames:
+            return self.spark.createDataFrame([], StructType([StructField("_id", StringType()), StructField("_source", schema)]))
+        return functools.reduce(DataFrame.unionByName, frames)
 
 
 def _source_schema(state: dict) -> StructType:
@@ -79,16 +104,18 @@ def _source_schema(state: dict) -> StructType:
     return mapping_to_schema(state["mapping"]) if state["mapping"] else StructType([])
 
 
+def _segments(state: dict) -> dict[str, StructType]:
+    return {path: StructType.fromJson(fields) for path, fields in state["segments"].items()}
+
+
 def _merged(old: StructType | None, new: StructType) -> StructType:
-    """All fields of both; a field must keep its type, as in any index with declared types."""
-    if old is None:
-        return new
-    fields = {f.name: f for f in old}
+    """All fields of both; a field keeps its type, but whole numbers next to fractions become doubles."""
+    fields = {f.name: f.dataType for f in old or []}
     for f in new:
-        known = fields.setdefault(f.name, f)
-        if known.dataType != f.dataType:
-            raise ValueError(f"field {f.name!r} is {known.dataType.simpleString()}, not {f.dataType.simpleString()}")
-    return StructType([StructField(f.name, f.dataType) for f in fields.values()])
+        known = fields.setdefault(f.name, f.dataType)
+        if isinstance(known, LongType) and isinstance(f.dataType, DoubleType):
+            fields[f.name] = f.dataType
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
 def create_index(spark: SparkSession, root: str, name: str, mapping: dict | None = None) -> bool:
@@ -97,7 +124,7 @@ def create_index(spark: SparkSession, root: str, name: str, mapping: dict | None
     if folder.manifest() is None:
         if mapping:
             mapping_to_schema(mapping)
-        folder.commit(1, mapping, [], None)
+        folder.commit(1, mapping, {}, None)
     return True
 
 
@@ -112,7 +139,7 @@ def index_scan(spark: SparkSession, root: str, name: str) -> DataFrame:
     state = folder.manifest()
     if state is None:
         raise ValueError(f"no such index: {name}")
-    return folder.read(state["segments"], _source_schema(state))
+    return folder.read(_segments(state), _source_schema(state))
 
 
 def index_info(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -123,11 +150,11 @@ def index_info(spark: SparkSession, root: str, name: str) -> DataFrame:
     if state is None:
         return spark.createDataFrame([(name, None, None, "error", f"no such index: {name}")], layout)
     count = F.count(F.lit(1)).alias("document_count")
-    counted = folder.read(state["segments"], _source_schema(state)).agg(count)
+    counted = folder.read(_segments(state), _source_schema(state)).agg(count)
     parts = counted.withColumn("size_in_bytes", F.lit(0).cast(LongType()))
     if state["segments"]:
         # Only the listing is read: the content column is never selected.
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(state["segments"])
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(state["segments"]))
         size = F.sum("length").alias("size_in_bytes")
         parts = parts.unionByName(files.agg(size).withColumn("document_count", F.lit(0).cast(LongType())))
     return parts.agg(
@@ -151,8 +178,9 @@ class Load:
 
     @property
     def batch_stats(self) -> DataFrame:
-        """Statistics per input file, and in total (``file`` null)."""
-        return self._staged.rollup(F.col("_file").alias("file")).agg(*_tallies())
+        """Statistics per input file, and in total: the row that ``is_total``."""
+        tallies = self._staged.rollup("_file").agg(*_tallies(), (F.grouping("_file") == 1).alias("is_total"))
+        return tallies.withColumnRenamed("_file", "file")
 
     @property
     def rejects(self) -> DataFrame:
@@ -182,7 +210,8 @@ def bulk_index(
     """Write documents to an index; a known ``_id`` replaces the earlier document.
 
     ``documents`` has ``_id`` and ``_source``, and may have ``_errors`` (documents with errors are
-    rejected) and ``_file``. Among documents with the same ``_id`` the last by ``order`` wins.
+    rejected) and ``_file``. Among documents with the same ``_id`` the last by ``order`` wins, and of equally late ones the last
+    by a number written with them. Fields are converted to the types that the index has, see above.
     ``chunk_size`` limits the records per written file. ``mode="failfast"`` raises on any rejected
     document and leaves the index as it was.
     """
@@ -193,10 +222,14 @@ def bulk_index(
     old_schema = StructType.fromJson(state["schema"]) if state["schema"] else None
     fields = StructType([StructField(f.name, f.dataType) for f in documents.schema["_source"].dataType])
     schema = _merged(old_schema, fields)
+    own = StructType([f for f in schema if f.name in fields.names])
+    if own != fields:
+        documents = conform(documents, own)
+        documents = documents.withColumn("_source", F.struct(*[F.col("_source")[f.name].alias(f.name) for f in own]))
 
     errors = F.col("_errors") if "_errors" in documents.columns else F.array().cast(ERRORS)
     rejected = F.size(errors) > 0
-    place = F.struct(*order) if order else F.monotonically_increasing_id()
+    place = F.struct(*(order or []), F.monotonically_increasing_id().alias("_written"))
     staged_path = folder.new_segment()
     limit = {"maxRecordsPerFile": chunk_size} if chunk_size else {}
     # One write for accepted and rejected documents, so that the input is read once.
@@ -218,11 +251,12 @@ def bulk_index(
             remove_path(spark, staged_path)
             raise ValueError(f"{failed} documents rejected")
 
-    segments, new = list(state["segments"]), staged_path
+    segments, new = _segments(state), staged_path
     accepted = staged.filter(F.col(REJECTED).isNull())
     keyed = accepted.filter("_keyed")
     last = keyed.groupBy("_id").agg(F.max("_place").alias("_place"), F.count(F.lit(1)).alias("_n"))
     if not accepted.isEmpty():
+        last = write_table(last, "last") if segments else last
         if not last.filter(F.col("_n") > 1).isEmpty():
             new = folder.new_segment()
             # Joined on key and place together, a key with many documents spreads over all tasks.
@@ -230,27 +264,40 @@ def bulk_index(
             kept.select("_id", "_source").write.options(**limit).parquet(new)
         if segments:
             segments = _without(folder, segments, schema, last.select("_id"), limit)
-        segments.append(new)
+        segments[new] = StructType([f for f in own])
     folder.commit(state["version"] + 1, state["mapping"], segments, schema)
     return load
 
 
-def _without(folder: IndexFolder, segments: list[str], schema: StructType, ids: DataFrame, limit: dict) -> list[str]:
-    """The segments without the given keys; only those that hold one of them are written anew."""
-    segment = F.regexp_extract("_metadata.file_path", r"segments/([0-9a-f]+)", 1)
-    stored = folder.read(segments, schema).select("_id", segment.alias("segment"))
-    hit = stored.join(ids, "_id", "left_semi").select("segment").distinct()
+def _without(folder: IndexFolder, segments: dict[str, StructType], schema: StructType, ids: DataFrame, limit: dict) -> dict[str, StructType]:
+    """The segments without the given keys: those that hold one of them are written anew, as one segment and by one job."""
+    layout = f"_id string, {REJECTED} string"
+    stored = folder.spark.read.schema(layout).parquet(*segments).filter(F.col(REJECTED).isNull())
+    stored = stored.select("_id", F.regexp_extract("_metadata.file_path", r"segments/([0-9a-f]+)", 1).alias("segment"))
     # At most one row per segment.
-    touched = {row["segment"] for row in hit.collect()}
-    result = []
-    for path in segments:
-        if path.split("segments/")[1].split("/")[0] not in touched:
-            result.append(path)
-            continue
+    touched = {row["segment"] for row in stored.join(ids, "_id", "left_semi").select("segment").distinct().collect()}
+    hit = {p: s for p, s in segments.items() if p.split("segments/")[1].split("/")[0] in touched}
+    kept = {p: s for p, s in segments.items() if p not in hit}
+    if hit:
         rewritten = folder.new_segment()
-        folder.read([path], schema).join(ids, "_id", "left_anti").write.options(**limit).parquet(rewritten)
-        result.append(rewritten)
-    return result
+        folder.read(hit, schema).join(ids, "_id", "left_anti").write.options(**limit).parquet(rewritten)
+        kept[rewritten] = schema
+    return kept
+
+
+def remove_old(spark: SparkSession, root: str, name: str) -> None:
+    """Delete the segments and manifests that the newest manifest does not need; readers of older states and running loads
+    must have ended."""
+    folder = IndexFolder(spark, root, name)
+    state = folder.manifest()
+    if state is None:
+        return
+    needed = {path.rsplit("/", 1)[1] for path in state["segments"]} | {f"{state['version']:09d}"}
+    for part in ("segments", "manifests"):
+        path = folder._hadoop(f"{folder.path}/{part}")
+        for status in folder._files.listStatus(path) if folder._files.exists(path) else []:
+            if status.getPath().getName() not in needed:
+                folder._files.delete(status.getPath(), True)
 
 
 def bulk_ndjson(documents: DataFrame, path: str, chunk_size: int = 1000) -> None:

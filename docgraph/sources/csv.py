@@ -1,14 +1,21 @@
 """Delimited files to typed tables, with the options of the usual single-machine CSV reader.
 
-Plain files go straight through Spark's CSV scan. ``skiprows``, ``nrows`` and header rows other than
-the first need line numbers, which a distributed scan does not have: these take the line path, which
-counts lines per input split, turns the counts into offsets, and parses the kept lines.
+Every file is read by its own header; columns are matched by name, and a column that a file lacks is null there. Files, folders and
+globs count in the caller's order, and what is listed twice is read twice.
+
+A quoted field may hold line breaks, so by default a file is read by one task. ``multiline=False`` splits large files; then a record is
+a line, and a line whose quotes do not close is rejected. ``nrows`` and header rows other than the first number the records of each file.
+``skiprows`` speaks of lines, so with it a record is a line, too: lines are counted per input split, and the counts turned into offsets.
 """
 
 from __future__ import annotations
 
 import codecs
 import csv
+import functools
+import itertools
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -19,6 +26,7 @@ from pyspark.sql import types as T
 from docgraph.functions.columns import undotted
 from docgraph.functions.documents import quoted
 from docgraph.plans.scratch import write_table
+from docgraph.sources.files import escaped, first_lines, listed_files
 
 # Texts read as missing.
 NA_TEXTS = [
@@ -45,16 +53,25 @@ WHOLE = r"^\s*[+-]?\d+\s*$"
 NUMBER = r"^\s*[+-]?((\d+[.]?\d*|[.]\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 TRUTH = ["true", "True", "TRUE", "false", "False", "FALSE"]
 
-# Date formats tried in this order; the first under which no value fails is taken.
-DATE_FORMATS = ["iso", "M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]"]
+# Date formats tried in this order, with a pattern that goes before each; the first under which no value fails is taken.
+DATE_FORMATS = {
+    "iso": r"^\d{4}-",
+    "M/d/yyyy[ H:mm[:ss]]": "/",
+    "yyyy/M/d[ H:mm[:ss]]": "/",
+    "yyyyMMdd": r"^\d{8}$",
+    "d-MMM-yyyy[ H:mm[:ss]]": r"^\d{1,2}-[A-Za-z]{3}-\d{4}",
+    "d MMM yyyy[ H:mm[:ss]]": r"^\d{1,2} [A-Za-z]{3} \d{4}",
+    "d MMMM yyyy[ H:mm[:ss]]": r"^\d{1,2} [A-Za-z]+ \d{4}",
+    "MMMM d, yyyy[ H:mm[:ss]]": r"^[A-Za-z]+ \d{1,2}, \d{4}",
+}
 
 RAW, PROBLEM = "_raw", "_problem"
 
-# Place of a record: its file, its input split in the file, and a rising number within the split.
-POSITION = ["_file", "_split", "_at"]
+# Place of a record: its file's position in the caller's list, its file, its input split there, and a rising number within the split.
+POSITION = ["_listed", "_file", "_split", "_at"]
 
-# The split table is broadcast up to this many rows of some hundred bytes.
-MOST_SPLITS = 1_000_000
+# Metadata of a column in which no record has a value.
+EMPTY = {"empty": True}
 
 
 class CsvRead(NamedTuple):
@@ -79,7 +96,7 @@ class CsvOptions:
     escapechar: str | None = None
     replace_dots: bool = False
     column_names: list[str] | None = None
-    multiline: bool = False
+    multiline: bool = True
 
     @property
     def charset(self) -> str:
@@ -93,7 +110,7 @@ class CsvOptions:
         return [self.header] if isinstance(self.header, int) else list(self.header)
 
     @property
-    def needs_lines(self) -> bool:
+    def needs_numbers(self) -> bool:
         return bool(self.skiprows) or self.nrows is not None or self.header_rows not in ([], [0])
 
     def spark_options(self) -> dict:
@@ -106,15 +123,16 @@ class CsvOptions:
             "columnNameOfCorruptRecord": RAW,
         }
 
-    def split_line(self, line: str) -> list[str]:
-        return next(
-            csv.reader(
-                [line.lstrip("﻿")],
-                delimiter=self.delimiter,
-                quotechar=self.quotechar,
-                escapechar=self.escapechar,
-            )
-        )
+    def records(self, lines: Iterable[str]) -> Iterator[list[str]]:
+        """The records of a file's first lines, without blank ones."""
+        skipped = set(range(self.skiprows)) if isinstance(self.skiprows, int) else set(self.skiprows or [])
+        kept = (line.removeprefix("\ufeff") if n == 0 else line for n, line in enumerate(lines) if n not in skipped)
+        settings = dict(delimiter=self.delimiter, quotechar=self.quotechar, escapechar=self.escapechar)
+        if self.multiline and not skipped:
+            found = csv.reader((line + "\n" for line in kept), **settings)
+        else:
+            found = (next(csv.reader([line], **settings), []) for line in kept)
+        return (record for record in found if record and (len(record) > 1 or record[0].strip()))
 
 
 def column_names(header: list[list[str]], width: int) -> list[str]:
@@ -138,100 +156,99 @@ def _layout(width: int) -> T.StructType:
     return T.StructType([*fields, T.StructField(RAW, T.StringType())])
 
 
-def _whole_lines(spark: SparkSession, paths: list[str], options: CsvOptions) -> DataFrame:
-    """Lines as one decoded column ``value``; empty lines are dropped."""
-    return (
-        spark.read.schema("value string")
-        .options(sep="\u0001", quote="", escape="\u0000", encoding=options.charset)
-        .csv(paths)
-    )
+def _heads(spark: SparkSession, file: str, options: CsvOptions) -> tuple[str, ...]:
+    """The column names of a file, from its header rows, or the width of its first record."""
+    wanted = options.header_rows or [0]
+    tops = list(itertools.islice(options.records(first_lines(spark, file, options.charset)), wanted[-1] + 1))
+    if len(tops) <= wanted[-1]:
+        raise ValueError(f"no columns to read from {file}")
+    fields = [tops[n] for n in wanted]
+    return tuple(column_names(fields if options.header_rows else [], len(fields[0])))
+
+
+def _place() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split")]
 
 
-def _from_scan(spark: SparkSession, paths: list[str], options: CsvOptions) -> tuple[DataFrame, list[str]]:
-    first = _whole_lines(spark, paths[:1], options).filter(F.trim("value") != "").head(1)
-    if not first:
-        raise ValueError(f"no columns to read from {paths[0]}")
-    fields = options.split_line(first[0]["value"])
-    names = column_names([fields] if options.header_rows else [], len(fields))
+def _records(spark: SparkSession, files: list[str], width: int, options: CsvOptions) -> DataFrame:
+    """Records that may span lines: one task reads a file, so its records have rising numbers."""
+    numbered = options.needs_numbers
     lines = (
-        spark.read.schema(_layout(len(fields)))
-        .options(**options.spark_options(), header=bool(options.header_rows), multiLine=options.multiline)
+        spark.read.schema(_layout(width))
+        .options(**options.spark_options(), header=bool(options.header_rows) and not numbered, multiLine=True)
         # The corrupt-record column is only filled when whole records are parsed.
         .option("columnPruning", False)
-        .csv(paths)
+        .csv([escaped(f) for f in files])
         .select("*", *_place(), F.monotonically_increasing_id().alias("_at"))
     )
-    return lines, names
+    if not numbered:
+        return lines
+    starts = write_table(lines.groupBy("_file").agg(F.min("_at").alias("_start")), "starts")
+    lines = lines.join(starts, "_file").withColumn("_record", F.col("_at") - F.col("_start"))
+    return _wanted_records(lines, options).drop("_start", "_record")
 
 
-def _place() -> list[Column]:
-    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split")]
+def _wanted_records(lines: DataFrame, options: CsvOptions) -> DataFrame:
+    first = options.header_rows[-1] + 1 if options.header_rows else 0
+    lines = lines.filter(F.col("_record") >= first)
+    return lines if options.nrows is None else lines.filter(F.col("_record") < first + options.nrows)
 
 
-def _number(lines: DataFrame, name: str, in_order: bool) -> tuple[DataFrame, bool]:
-    """Number the lines of each file from 0, in file order.
-
-    While the lines are in scan order, a running id gives the place within an input split; the
-    splits' line counts give the offset of each split. The split table, one short row per split, is
-    broadcast up to a size: that leaves the lines in scan order, and they can be numbered again after
-    a filter. With more splits the lines are shuffled by split, and later ranked within each.
-    """
-    if in_order:
-        placed = lines.withColumn("_at", F.monotonically_increasing_id())
-    else:
-        within = Window.partitionBy("_file", "_split").orderBy("_at")
-        placed = lines.withColumn("_at", F.row_number().over(within).cast("long"))
-    counts = placed.groupBy("_file", "_split").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_lines"))
+def _number(lines: DataFrame, name: str) -> DataFrame:
+    """Number the lines of each file from 0, in file order: ranks within an input split, plus the counts of the splits before."""
+    within = Window.partitionBy("_file", "_split").orderBy("_at")
     before = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_from")
-    splits = write_table(counts.select("_file", "_split", offset.alias("_offset")), "splits")
-    few = splits.count() <= MOST_SPLITS
-    numbered = placed.join(F.broadcast(splits) if few else splits, ["_file", "_split"])
-    return numbered.withColumn(name, F.col("_at") + F.col("_offset")).drop("_offset"), in_order and few
+    counts = lines.groupBy("_file", "_split").agg(F.count(F.lit(1)).alias("_lines"))
+    splits = counts.select("_file", "_split", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset"))
+    numbered = lines.withColumn("_rank", F.row_number().over(within) - 1).join(splits, ["_file", "_split"])
+    return numbered.withColumn(name, F.col("_rank") + F.col("_offset")).drop("_rank", "_offset")
 
 
-def _from_lines(spark: SparkSession, paths: list[str], options: CsvOptions) -> tuple[DataFrame, list[str]]:
-    if options.multiline:
-        raise ValueError("skiprows, nrows and header rows need one record per line")
-    text = spark.read.text(paths).select("value", *_place())
+def _lines(spark: SparkSession, files: list[str], width: int, options: CsvOptions) -> DataFrame:
+    """Records of one line each, from files that are split."""
+    text = spark.read.text([escaped(f) for f in files]).select("value", *_place(), F.monotonically_increasing_id().alias("_at"))
     if options.charset != "utf-8":
         text = text.withColumn("value", F.decode(F.col("value").cast("binary"), options.charset))
-    in_order = True
+    if options.needs_numbers:
+        # The numbers within a split must not change when the lines are read again.
+        text = write_table(text, "lines")
     if options.skiprows:
-        text, in_order = _number(text, "_line", in_order)
-        if isinstance(options.skiprows, int):
-            text = text.filter(F.col("_line") >= options.skiprows)
-        else:
-            text = text.filter(~F.col("_line").isin(list(options.skiprows)))
-    text, _ = _number(text.filter(F.trim("value") != ""), "_record", in_order)
-
-    headers = options.header_rows
-    wanted = headers or [0]
-    tops = text.filter(F.col("_record").isin(wanted)).select("_file", "_record", "value").orderBy("_file", "_record")
-    # The header rows of the first file only: as many rows as the caller listed.
-    tops = [row["value"] for row in tops.head(len(wanted))]
-    if len(tops) < len(wanted):
-        raise ValueError(f"no columns to read from {paths[0]}")
-    fields = [options.split_line(line) for line in tops]
-    names = column_names(fields if headers else [], len(fields[0]))
-
-    first = headers[-1] + 1 if headers else 0
-    kept = text.filter(F.col("_record") >= first)
-    if options.nrows is not None:
-        kept = kept.filter(F.col("_record") < first + options.nrows)
+        text = _number(text, "_line")
+        skipped = F.col("_line") < options.skiprows if isinstance(options.skiprows, int) else F.col("_line").isin(list(options.skiprows))
+        text = text.filter(~skipped)
+    text = text.filter(F.trim("value") != "")
+    if options.needs_numbers:
+        text = _wanted_records(_number(text, "_record"), options)
+    elif options.header_rows:
+        text = text.join(text.filter("_split = 0").groupBy("_file").agg(F.min("_at").alias("_at")), ["_file", "_at"], "left_anti")
     settings = {k: v for k, v in options.spark_options().items() if k != "encoding"}
-    ddl = ", ".join(f"{f.name} string" for f in _layout(len(names)))
-    parsed = kept.select(
-        F.from_csv("value", F.lit(ddl), settings).alias("_csv"), "_file", "_split", F.col("_record").alias("_at")
-    )
-    return parsed.select("_csv.*", *POSITION), names
+    ddl = ", ".join(f"{f.name} string" for f in _layout(width))
+    parsed = text.select(F.from_csv("value", F.lit(ddl), settings).alias("_csv"), "value", "_file", "_split", "_at")
+    return parsed.select("_csv.*", "value", "_file", "_split", "_at")
+
+
+def _fields_pattern(options: CsvOptions) -> tuple[str, str]:
+    """Patterns of a whole quoted field, and of one that does not close."""
+    quote = f"\\x{ord(options.quotechar):02x}"
+    if options.escapechar and options.escapechar != options.quotechar:
+        escape = f"\\x{ord(options.escapechar):02x}"
+        inner = f"[^{quote}{escape}]*+(?:(?:{quote}{quote}|{escape}.)[^{quote}{escape}]*+)*+"
+    else:
+        inner = f"[^{quote}]*+(?:{quote}{quote}[^{quote}]*+)*+"
+    return f"{quote}{inner}{quote}", f"{quote}{inner}"
+
+
+def _unclosed(raw: Column, options: CsvOptions) -> Column:
+    """Whether the last field of a line opens a quote and does not close it."""
+    closed, opened = _fields_pattern(options)
+    separator, quote = re.escape(options.delimiter), f"\\x{ord(options.quotechar):02x}"
+    bare = f"(?!{quote})(?:(?!{separator}).)*+"
+    return raw.rlike(f"(?s)^(?:(?:{closed}|{bare}){separator})*+{opened}$")
 
 
 def _field_count(raw: Column, options: CsvOptions) -> Column:
     """Fields of a line: separators outside quotes, plus one."""
-    quote, escape = f"\\x{ord(options.quotechar):02x}", options.escapechar
-    inner = f"[^{quote}]|{quote}{quote}" + (f"|\\x{ord(escape):02x}." if escape else "")
-    bare = F.regexp_replace(raw, f"{quote}({inner})*{quote}", "")
+    bare = F.regexp_replace(raw, f"(?s){_fields_pattern(options)[0]}", "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(options.delimiter))) + 1
 
 
@@ -246,9 +263,8 @@ def _fits(column: Column, kind: T.DataType) -> Column:
 
 
 def _date(column: Column, form: str) -> Column:
-    if form == "iso":
-        return F.when(column.rlike(r"^\d{4}-"), column.try_cast("timestamp_ntz"))
-    return F.when(column.contains("/"), F.try_to_timestamp(column, F.lit(form)).cast("timestamp_ntz"))
+    parsed = column.try_cast("timestamp_ntz") if form == "iso" else F.try_to_timestamp(column, F.lit(form)).cast("timestamp_ntz")
+    return F.when(column.rlike(DATE_FORMATS[form]), parsed)
 
 
 def _converted(column: Column, kind: T.DataType | str) -> Column:
@@ -256,22 +272,30 @@ def _converted(column: Column, kind: T.DataType | str) -> Column:
         return _date(column, kind)
     if isinstance(kind, T.TimestampNTZType):
         return F.coalesce(*[_date(column, form) for form in DATE_FORMATS])
-    return column if isinstance(kind, T.StringType) else column.try_cast(kind)
+    return column if isinstance(kind, (T.StringType, T.NullType)) else column.try_cast(kind)
+
 
+# Whole numbers that do not fit a long stay exact up to so many digits, and are text beyond.
+BIG_TYPE = T.DecimalType(38, 0)
 
 # Bits that say which kinds of value a column has: narrowest type of each value.
-LONG, DOUBLE, BOOLEAN, TEXT = 1, 2, 4, 8
+LONG, DOUBLE, BOOLEAN, TEXT, BIG = 1, 2, 4, 8, 16
 
 
 def _kind_of(column: Column) -> Column:
-    kind = F.when(_fits(column, T.LongType()), LONG).when(column.rlike(NUMBER), DOUBLE).when(column.isin(TRUTH), BOOLEAN)
+    whole = F.when(column.try_cast("bigint").isNotNull(), LONG).when(column.try_cast(BIG_TYPE).isNotNull(), BIG).otherwise(TEXT)
+    kind = F.when(column.rlike(WHOLE), whole).when(column.rlike(NUMBER), DOUBLE).when(column.isin(TRUTH), BOOLEAN)
     return F.when(column.isNotNull(), kind.otherwise(TEXT))
 
 
 def _type_for(kinds: int | None) -> T.DataType:
+    if kinds is None:
+        return T.NullType()
     if kinds == LONG:
         return T.LongType()
-    if kinds is None or not kinds & (BOOLEAN | TEXT):
+    if not kinds & ~(LONG | BIG):
+        return BIG_TYPE
+    if not kinds & ~(LONG | DOUBLE):
         return T.DoubleType()
     return T.BooleanType() if kinds == BOOLEAN else T.StringType()
 
@@ -280,8 +304,8 @@ def _infer(texts: DataFrame, names: list[str], dates: list[str]) -> dict[str, T.
     """Type of each named column, from one aggregate over the whole table.
 
     A date column takes the first format under which no value fails, or stays text; any other column
-    takes the first of whole number, number, truth value and text that all its values are. A column
-    without values is a column of doubles.
+    takes the first of whole number, number, truth value and text that all its values are; whole numbers beyond a long next
+    to fractions stay text, as a double would not keep them apart. A column without values has no type.
     """
     if not names:
         return {}
@@ -299,7 +323,7 @@ def _infer(texts: DataFrame, names: list[str], dates: list[str]) -> dict[str, T.
         if name not in dates:
             result[name] = _type_for(found[str(i)])
         elif found[str(i)]["values"] == 0:
-            result[name] = T.DoubleType()
+            result[name] = T.NullType()
         else:
             fitting = [form for form, misfits in zip(DATE_FORMATS, found[str(i)]["misfits"]) if misfits == 0]
             result[name] = fitting[0] if fitting else T.StringType()
@@ -312,34 +336,55 @@ def _dtype(name: str, wanted: str) -> T.DataType:
     return DTYPES[wanted]
 
 
-def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = False, **settings) -> DataFrame:
-    """All records in one frame, with ``_raw`` and ``_problem`` set for the lines that are none.
-
-    A line with too few fields is filled with nulls; one with too many, or with a value that its
-    ``dtype`` does not allow, is a problem. ``position`` adds the place of each record.
-    """
-    options = CsvOptions(**settings)
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    lines, names = (_from_lines if options.needs_lines else _from_scan)(spark, paths, options)
-    kept = list(range(len(names)))
+def _texts(spark: SparkSession, files: list[str], head: tuple[str, ...], options: CsvOptions) -> tuple[DataFrame, list[str]]:
+    """The wanted columns of files with the same header as text, and the problems of their records."""
+    by_line = bool(options.skiprows) or not options.multiline
+    lines = (_lines if by_line else _records)(spark, files, len(head), options)
+    kept = list(range(len(head)))
     if options.usecols:
-        missing = [c for c in options.usecols if c not in names]
+        missing = [c for c in options.usecols if c not in head]
         if missing:
             raise ValueError(f"no such columns: {missing}")
-        kept = [i for i in kept if names[i] in options.usecols]
+        kept = [i for i in kept if head[i] in options.usecols]
 
     def text(i: int) -> Column:
         extra = options.na_values or []
-        extra = extra.get(names[i], []) if isinstance(extra, dict) else extra
+        extra = extra.get(head[i], []) if isinstance(extra, dict) else extra
         return F.when(~F.col(f"c{i}").isin(NA_TEXTS + [str(v) for v in extra]), F.col(f"c{i}"))
 
-    last = F.col(f"c{len(names) - 1}")
-    too_long = F.col(RAW).isNotNull() & (last.isNotNull() | (_field_count(F.col(RAW), options) > len(names)))
-    problem = F.when(too_long, F.lit(f"more than {len(names)} fields"))
+    last = F.col(f"c{len(head) - 1}")
+    too_long = F.col(RAW).isNotNull() & (last.isNotNull() | (_field_count(F.col(RAW), options) > len(head)))
+    problem = F.when(too_long, F.lit(f"more than {len(head)} fields"))
+    raw = F.col(RAW)
+    if by_line:
+        unclosed = _unclosed(F.col("value"), options)
+        problem = F.when(unclosed, "a quote is not closed").otherwise(problem)
+        raw = F.when(unclosed, F.col("value")).otherwise(raw)
+    place = [F.col(c) for c in POSITION if c != "_listed"]
+    return lines.select(*[text(i).alias(head[i]) for i in kept], raw.alias(RAW), problem.alias(PROBLEM), *place), [head[i] for i in kept]
+
+
+def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = False, **settings) -> DataFrame:
+    """All records in one frame, with ``_raw`` and ``_problem`` set for the lines that are none.
+
+    A line with too few fields is filled with nulls; one with too many, or with a value that its
+    ``dtype`` does not allow, is a problem. ``position`` adds the place of each record.
+    """
+    options = CsvOptions(**settings)
     place = POSITION if position else []
-    texts = lines.select(*[text(i).alias(names[i]) for i in kept], RAW, problem.alias(PROBLEM), *place)
+    frames, names = [], []
+    for number, path in enumerate([paths] if isinstance(paths, str) else paths):
+        by_head: dict[tuple[str, ...], list[str]] = {}
+        for file in listed_files(spark, path):
+            by_head.setdefault(_heads(spark, file, options), []).append(file)
+        if not by_head:
+            raise ValueError(f"no columns to read from {path}")
+        for head, files in by_head.items():
+            frame, kept = _texts(spark, files, head, options)
+            frames.append(frame.withColumn("_listed", F.lit(number)).select(*[quoted(c) for c in kept], RAW, PROBLEM, *place))
+            names += [c for c in kept if c not in names]
+    texts = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
-    names = [names[i] for i in kept]
     forced = {c: _dtype(c, t) for c, t in (options.dtype or {}).items() if c in names}
     dates = options.parse_dates if isinstance(options.parse_dates, list) else []
     free = [c for c in names if c not in forced]
@@ -364,8 +409,11 @@ def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = Fals
         shown = list(options.column_names)
     if options.replace_dots:
         shown = undotted(shown)
+    # A column without values is shown as doubles, and marked.
+    empty = [isinstance(kinds[c], T.NullType) for c in names]
+    typed = [F.lit(None).cast("double").alias(n, metadata=EMPTY) if e else c.alias(n) for c, n, e in zip(typed, shown, empty)]
     return texts.select(
-        *[c.alias(n) for c, n in zip(typed, shown)],
+        *typed,
         F.when(found.isNotNull(), again).alias(RAW),
         found.alias(PROBLEM),
         *place,

@@ -40,10 +40,10 @@ def test_upsert(spark, tmp_path):
     root = str(tmp_path)
     index.bulk_index(_docs(spark, [(1, "a"), (2, "b")]), root, "i")
     index.bulk_index(_docs(spark, [(3, "c")]), root, "i")
-    before = index.IndexFolder(spark, root, "i").manifest()["segments"]
+    before = list(index.IndexFolder(spark, root, "i").manifest()["segments"])
     index.bulk_index(_docs(spark, [(2, "B"), (4, "d")]), root, "i")
     assert _content(spark, root) == {"1": "a", "2": "b".upper(), "3": "c", "4": "d"}
-    after = index.IndexFolder(spark, root, "i").manifest()["segments"]
+    after = list(index.IndexFolder(spark, root, "i").manifest()["segments"])
     # The segment with key 2 was written anew, the other one was not touched.
     assert before[1] in after and before[0] not in after and len(after) == 3
     assert index.index_info(spark, root, "i").first().document_count == 4
@@ -68,15 +68,37 @@ def test_documents_without_key_always_add(spark, tmp_path):
     assert sorted(_content(spark, root).values()) == ["a", "a", "b", "b", "d"]
 
 
-def test_fields_may_be_added_but_not_change_type(spark, tmp_path):
+def test_loads_of_other_types(spark, tmp_path):
+    """Fields are added, whole numbers widen, values convert, and a document that does not fit is rejected alone."""
     root = str(tmp_path)
-    index.bulk_index(_docs(spark, [(1, "a")]), root, "i")
-    index.bulk_index(_docs(spark, [(2, "b", 1.5)], layout="id long, v string, w double"), root, "i")
+    index.bulk_index(_docs(spark, [(1, 4)], layout="id long, v long"), root, "i")
+    index.bulk_index(_docs(spark, [(2, 1.5, "x")], layout="id long, v double, w string"), root, "i")
+    load = index.bulk_index(_docs(spark, [(3, "7", 8), (4, "much", 9)], layout="id long, v string, w long"), root, "i")
     got = {r._id: (r._source.v, r._source.w) for r in index.index_scan(spark, root, "i").collect()}
-    assert got == {"1": ("a", None), "2": ("b", 1.5)}
-    with pytest.raises(ValueError, match="field 'v' is string"):
-        index.bulk_index(_docs(spark, [(3, 4)], layout="id long, v long"), root, "i")
-    assert len(_content(spark, root)) == 2
+    assert got == {"1": (4.0, None), "2": (1.5, "x"), "3": (7.0, "8")}
+    reject = load.rejects.first()
+    assert (reject._id, [tuple(e) for e in reject.errors]) == ("4", [("v", "double", "much")])
+    index.bulk_index(_docs(spark, [(1, [1])], layout="id long, z array<long>"), root, "i")
+    load = index.bulk_index(_docs(spark, [(9, "t")], layout="id long, z string"), root, "i")
+    assert load.stats.first() == (1, 0, 1) and index.index_scan(spark, root, "i").count() == 3
+
+
+def test_equal_places_leave_one_document(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.range(90).selectExpr("id % 3 AS id", "0 AS pos", "CAST(id AS STRING) AS v").repartition(4)
+    index.bulk_index(prepare_documents(df, "i", "id", keep=["pos"]), root, "i", order=["pos"])
+    assert sorted(_content(spark, root)) == ["0", "1", "2"] and index.index_scan(spark, root, "i").count() == 3
+
+
+def test_old_states_can_be_removed(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        index.bulk_index(_docs(spark, [(1, str(n)), (10 + n, "x")]), root, "i")
+    index.remove_old(spark, root, "i")
+    assert len(list((tmp_path / "i" / "manifests").glob("[0-9]*"))) == 1
+    state = index.IndexFolder(spark, root, "i").manifest()
+    assert len(list((tmp_path / "i" / "segments").iterdir())) == len(state["segments"])
+    assert _content(spark, root) == {"1": "2", "10": "x", "11": "x", "12": "x"}
 
 
 def test_chunks_and_bulk_files(spark, tmp_path):
@@ -141,7 +163,7 @@ def test_files_count_in_list_order(spark, tmp_path):
     content = {r._id: r._source.v for r in index.index_scan(spark, root, "i").collect()}
     assert content == {"1": "second", "2": "a", "3": None}
     assert load.stats.first() == (8, 6, 2)
-    by_file = {r.file and r.file.rsplit("/", 1)[1]: (r.total_documents, r.successful, r.failed) for r in load.batch_stats.collect()}
+    by_file = {None if r.is_total else r.file.rsplit("/", 1)[1]: (r.total_documents, r.successful, r.failed) for r in load.batch_stats.collect()}
     assert by_file == {"z%201.csv": (4, 3, 1), "a.csv": (4, 3, 1), None: (8, 6, 2)}
     assert {(r._source, r.errors[0].type) for r in load.rejects.collect()} == {("4,5,6", "more than 2 fields")}
 
@@ -172,7 +194,7 @@ def test_a_load_based_on_an_older_state_fails(spark, tmp_path):
     folder = index.IndexFolder(spark, root, "i")
     state = folder.manifest()
     with pytest.raises(Exception, match="exists"):
-        folder.commit(state["version"], None, [], None)
+        folder.commit(state["version"], None, {}, None)
 
 
 def test_scan_reads_only_wanted_fields(spark, tmp_path):
