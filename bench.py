@@ -60,8 +60,10 @@ def main() -> None:
     depths = fixtures.PUBLISHED_DEPTHS
     new_index = iter(range(10**6))
 
-    def lookup(**settings):
-        return lambda: drain(graph.graph_lookup(vertices, links, keys, **settings))
+    one = write_table(keys.limit(1), "one")
+
+    def lookup(starts=keys, **settings):
+        return lambda: drain(graph.graph_lookup(vertices, links, starts, **settings))
 
     def degrees():
         frequencies = degree.degree_frequencies(degree.degree_distribution(edges))
@@ -89,6 +91,9 @@ def main() -> None:
         "lookup_uni_depth50": lookup(max_depth=50),
         "lookup_bi_depth3": lookup(max_depth=3, direction="bi"),
         "lookup_bi_depth50": lookup(max_depth=50, direction="bi"),
+        "one_start_uni_depth0": lookup(one, max_depth=0),
+        "one_start_uni_depth3": lookup(one, max_depth=3),
+        "one_start_bi_depth3": lookup(one, max_depth=3, direction="bi"),
         "depth_sweep": lambda: drain(graph.depth_sweep(vertices, links, keys, depths, DIRECTIONS)),
         "multivalue_sweep": lambda: drain(graph.multivalue_sweep(vertices, links, starts, 3, DIRECTIONS)),
         "degree_statistics": degrees,

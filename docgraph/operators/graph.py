@@ -26,7 +26,7 @@ the combined candidates move.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
@@ -84,7 +84,7 @@ class EdgeList:
 class Links:
     """An edge table prepared for traversal; reusable for any number of lookups.
 
-    ``edges`` are the rows that lookups return; they have the column ``SPREAD`` if a vertex is hot.
+    ``edges`` are the rows that lookups return.
     """
 
     edges: DataFrame
@@ -92,11 +92,28 @@ class Links:
     to_field: str
     forward: EdgeList
     reverse: EdgeList | None
+    _placed: DataFrame | None = field(default=None, repr=False)
 
     @property
     def node_type(self):
         return self.edges.schema[self.to_field].dataType
 
+    def placed(self) -> DataFrame:
+        """The edge rows with their first end as ``node``, bucketed by it like the forward list, and a number that was written with
+        each row as ``SPREAD``. Written by the first lookup; sweeps don't need it."""
+        if self._placed is None:
+            hot = self.forward.hot
+            rows = self.edges.withColumn("node", F.coalesce(self.to_field, self.from_field)).filter(F.col("node").isNotNull())
+            # Copies of one edge agree in every field; a number written with each row tells them apart.
+            rows = write_table(rows.withColumn(SPREAD, F.monotonically_increasing_id()), "edges") if hot.salted else rows.withColumn(SPREAD, F.monotonically_increasing_id())
+            self._placed, _ = write_bucketed(hot.scatter(rows, "node", by=SPREAD), hot.keys("node"), hot.rows, "edges")
+        return self._placed
+
+    def rows_at(self, vertices: DataFrame) -> DataFrame:
+        """The edge rows with the columns that ``vertices`` has for their ``node``; only ``vertices`` moves."""
+        keys = self.forward.hot.keys("node")
+        return self.placed().join(self.forward.hot.copy(vertices, "node"), keys).drop(*keys[1:])
+
     def lists(self, direction: str) -> list[EdgeList]:
         if direction not in DIRECTIONS:
             raise ValueError(f"direction must be one of {DIRECTIONS}, not {direction!r}")
@@ -132,11 +149,7 @@ def prepare_links(
     forward, *reverse = run_together(
         spark, [lambda: edge_list(to_field, from_field)] + [lambda: edge_list(from_field, to_field)] * both_ways
     )
-    links = Links(edges, from_field, to_field, forward, *reverse or [None])
-    if any(edge_list.hot.salted for edge_list in [forward, *reverse]):
-        # Copies of one edge agree in every field; a number written with each row tells them apart.
-        links.edges = write_table(edges.withColumn(SPREAD, F.monotonically_increasing_id()), "edges")
-    return links
+    return Links(edges, from_field, to_field, forward, *reverse or [None])
 
 
 def _word_and_flag(position: str) -> tuple[Column, Column]:
@@ -151,7 +164,8 @@ def _bit(flag: str | Column) -> Column:
 def _flag_position(rows: DataFrame, flags: int) -> DataFrame:
     """One row per set bit, its number in column ``flag``; ``flags`` numbers are in use."""
     positions = F.array(*[F.lit(i) for i in range(flags)])
-    return rows.withColumn("flag", F.explode(positions)).filter(F.getbit("bits", F.col("flag")) == 1)
+    # Chosen within the array, so that no row is made for a bit that is not set.
+    return rows.withColumn("flag", F.explode(F.filter(positions, lambda i: F.getbit("bits", i) == 1)))
 
 
 def _lowest_position(word: Column, bits: Column) -> Column:
@@ -210,11 +224,9 @@ def reached_edges(links: Links, reached: DataFrame, direction: str, max_depth: i
     to_end, from_end = links.to_field, links.from_field
     if direction == "uni":
         near = reached.filter(F.col("dist") <= max_depth)
-        placed = join_skewed(links.edges.withColumn("node", F.col(to_end)), near, "node", links.forward.hot, SPREAD)
+        placed = links.rows_at(near).filter(F.col(to_end).isNotNull())
         return placed.drop("node", SPREAD).withColumnRenamed("dist", depth_field)
-    ends = links.edges.withColumn("node", F.coalesce(to_end, from_end))
-    placed = join_skewed(ends, _near(reached), "node", links.forward.hot, SPREAD)
-    placed = placed.withColumn("node", F.coalesce(from_end, to_end))
+    placed = links.rows_at(_near(reached)).withColumn("node", F.coalesce(from_end, to_end))
     return _at_both_ends(links, placed, reached, max_depth, depth_field)
 
 
@@ -250,19 +262,23 @@ def start_keys(
     return keys.join(wanted, "start", "left_semi").distinct()
 
 
+# Words that the starts of one partition may take: monotonically increasing ids leave 2**33 for each.
+_WORDS_PER_PARTITION = -(-(1 << 33) // FLAGS)
+
+
 def number_starts(starts: DataFrame) -> tuple[DataFrame, int]:
     """Give every start a word and a flag: ``(start, word, flag)``, written so that it stays fixed.
 
-    Also returns how many flags of a word are in use.
+    Also returns how many flags of a word are in use. One job counts and numbers; few starts share one partition of the
+    shuffle, as adaptive execution joins small ones, so that their words are full.
     """
-    keys = write_table(starts.select("start").distinct(), "starts")
-    # Few starts share one partition, so that their words are full; many spread out by the million.
-    count = keys.count()
-    parts = max(1, -(-count // 1_000_000))
-    position = F.monotonically_increasing_id().alias("position")
-    word, flag = _word_and_flag("position")
-    numbered = keys.repartition(parts).select("start", position).select("start", word.alias("word"), flag.alias("flag"))
-    return write_table(numbered, "starts"), max(1, min(FLAGS, count))
+    row = F.monotonically_increasing_id()
+    numbered = starts.select("start").distinct().select("start", F.shiftright(row, 33).alias("part"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
+    word, flag = _word_and_flag("at")
+    numbered = numbered.select("start", (F.col("part") * _WORDS_PER_PARTITION + word).alias("word"), flag.alias("flag"))
+    path = scratch_path(starts.sparkSession, "starts")
+    count = write_counted(numbered, path)
+    return starts.sparkSession.read.schema(numbered.schema).parquet(path), max(1, min(FLAGS, count))
 
 
 def _seeds(numbered: DataFrame) -> DataFrame:
@@ -327,7 +343,7 @@ def nest_reports(
 
 
 def edge_count(flat: DataFrame, starts: DataFrame) -> DataFrame:
-    """Number of returned edges per start, 0 if none."""
+    """Number of edges per start in the rows of a lookup, 0 if none; ``lookup_counts`` counts without making the rows."""
     counts = flat.groupBy("start").agg(F.count(F.lit(1)).alias("edge_count"))
     return starts.select("start").join(counts, "start", "left").fillna(0, ["edge_count"])
 
@@ -335,12 +351,25 @@ def edge_count(flat: DataFrame, starts: DataFrame) -> DataFrame:
 def node_count(
     flat: DataFrame, starts: DataFrame, from_field: str = "target", to_field: str = "source"
 ) -> DataFrame:
-    """Distinct ends of the returned edges per start; the start counts only if it is on an edge."""
+    """Distinct ends of the edges per start in the rows of a lookup; the start counts only if it is on an edge."""
     ends = flat.select("start", F.explode(F.array(to_field, from_field)).alias("node")).filter(F.col("node").isNotNull())
     counts = ends.distinct().groupBy("start").agg(F.count(F.lit(1)).alias("node_count"))
     return starts.select("start").join(counts, "start", "left").fillna(0, ["node_count"])
 
 
+def lookup_counts(
+    vertices: DataFrame,
+    edges: DataFrame | Links,
+    starts: DataFrame | Iterable | None = None,
+    max_depth: int = 0,
+    direction: str = "uni",
+    **fields: str,
+) -> DataFrame:
+    """``start``, ``edge_count`` and ``node_count`` of the lookup from each start, without a row per start and edge."""
+    counts = depth_sweep(vertices, edges, starts, [max_depth], [direction], **fields)
+    return counts.select("start", "edge_count", "node_count")
+
+
 def _alive(links: Links, direction: str, reached: DataFrame) -> DataFrame:
     """Reached rows that lie on a returned edge: all but the starts without an edge to follow."""
     seeds = reached.filter(F.col("dist") == 0)
@@ -472,14 +501,22 @@ def multivalue_sweep(
     return _union(results).select("num_start_values", "max_depth", "direction", "edge_count", "node_count")
 
 
+# Ranks whose running totals one task makes.
+_RANKS = 4096
+
+
 def _running_totals(ranks: DataFrame, counts: DataFrame) -> DataFrame:
-    """Sum the counts of all ranks up to each rank; one row per start value, so a small window."""
-    so_far = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    total = lambda c: F.sum(F.coalesce(c, F.lit(0))).over(so_far)
-    return ranks.join(counts, "rank", "left").select(
-        F.col("rank").cast("int").alias("num_start_values"),
-        total("n").cast("long").alias("edge_count"),
-        total("nodes").cast("long").alias("node_count"),
+    """Sum the counts of all ranks up to each rank: within stretches of ``_RANKS``, plus the totals of the stretches before."""
+    rows = ranks.join(counts, "rank", "left").fillna(0, ["n", "nodes"]).withColumn("_stretch", F.floor(F.col("rank") / _RANKS))
+    rows = write_table(rows, "ranks")
+    within = Window.partitionBy("_stretch").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per stretch here.
+    before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    whole = rows.groupBy("_stretch").agg(F.sum("n").alias("n"), F.sum("nodes").alias("nodes"))
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}")
+    total = lambda c: (F.col(f"_{c}") + F.sum(c).over(within)).cast("long")
+    return rows.join(whole.select("_stretch", earlier("n"), earlier("nodes")), "_stretch").select(
+        F.col("rank").cast("int").alias("num_start_values"), total("n").alias("edge_count"), total("nodes").alias("node_count")
     )
 
 

@@ -11,8 +11,10 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a narrow table that one bucket should hold (some tens of MB once encoded).
+# Rows of a narrow table that one bucket should hold at most (some tens of MB once encoded), and at least while there are
+# fewer buckets than shuffle partitions.
 ROWS_PER_BUCKET = 1_000_000
+LEAST_PER_BUCKET = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,12 +60,13 @@ def write_counted(df: DataFrame, path: str) -> int:
 def write_bucketed(df: DataFrame, keys: list[str], rows: int, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` hash-bucketed and sorted on ``keys``; joins on ``keys`` then leave it in place.
 
-    The number of buckets follows the row count; it is also returned. The table name is only needed while writing: the
+    The number of buckets follows the row count and the parallelism; it is also returned. The table name is only needed while writing: the
     entry is dropped from the catalog at once and the returned frame keeps reading the files.
     """
     spark = df.sparkSession
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-    buckets = min(most, max(1, -(-rows // ROWS_PER_BUCKET)))
+    parallel = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // LEAST_PER_BUCKET))
+    buckets = min(most, max(1, -(-rows // ROWS_PER_BUCKET), parallel))
     # Bucketed tables belong to the session catalog, whatever the default catalog is.
     name = f"spark_catalog.default.docgraph_{label}_{uuid4().hex}"
     (

@@ -93,16 +93,18 @@ def graph_batch_mode(spark, sf_dir):
     return _lookup(spark, sf_dir, max_depth=2, direction="bi", batch=True)
 
 
-def graph_edge_count(spark, sf_dir):
+def _counts(spark, sf_dir) -> DataFrame:
+    """Every vertex is a start."""
     vertices, edges, _ = _graph(spark, sf_dir)
-    flat = graph.graph_lookup(vertices, edges, max_depth=1)
-    return graph.edge_count(flat, vertices.select(F.col("id").alias("start")))
+    return graph.lookup_counts(vertices, edges, max_depth=1)
+
+
+def graph_edge_count(spark, sf_dir):
+    return _counts(spark, sf_dir).select("start", "edge_count")
 
 
 def graph_node_count(spark, sf_dir):
-    vertices, edges, _ = _graph(spark, sf_dir)
-    flat = graph.graph_lookup(vertices, edges, max_depth=1)
-    return graph.node_count(flat, vertices.select(F.col("id").alias("start")))
+    return _counts(spark, sf_dir).select("start", "node_count")
 
 
 def edge_report_parse(spark, sf_dir):
