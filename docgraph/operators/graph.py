@@ -28,8 +28,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import partial
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -190,30 +191,57 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
         ]
     )
 
-    none = F.lit(None).cast("long")
-
     def reached() -> DataFrame:
         return spark.read.schema(layout).parquet(path)
 
-    fresh = seeds.groupBy("node", "word").agg(F.bit_or("bits").alias("bits"))
-    rows = write_counted(fresh, f"{path}/dist=0")
+    # One way, a neighbour may lie in any earlier round. All reached rows then form a table bucketed by node and word, to which each
+    # round appends, so that they are compared where they are.
+    name = f"spark_catalog.default.docgraph_reached_{uuid4().hex}" if direction == "uni" else None
+
+    def written(fresh: DataFrame, dist: int) -> int:
+        if name is None:
+            return write_counted(fresh, f"{path}/dist={dist}")
+        seen = Observation()
+        placed = fresh.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("dist", F.lit(dist))
+        writer = placed.write.format("parquet").partitionBy("dist").bucketBy(links.forward.buckets, "node", "word")
+        writer.option("path", path).mode("append").saveAsTable(name)
+        return seen.get["rows"]
+
+    rows = written(seeds.groupBy("node", "word").agg(F.bit_or("bits").alias("bits")), 0)
     for dist in range(1, rounds + 1):
         if rows == 0:
             break
-        done = reached()
-        frontier = done.filter(F.col("dist") == dist - 1)
-        # Both ways, a neighbour of round k-1 lies in round k-2, k-1 or k: older rounds need no check.
-        seen = done.filter(F.col("dist") >= dist - 2) if direction == "bi" else done
-        moved = seen.select("node", "word", none.alias("bits"), F.col("bits").alias("seen"))
-        for edge_list in lists:
-            moved = moved.union(edge_list.neighbours(frontier, rows).select("*", none))
-        # One shuffle combines the candidates and removes what a start has reached before.
-        new_bits = F.bit_or("bits").bitwiseAND(F.bitwise_not(F.coalesce(F.bit_or("seen"), F.lit(0).cast("long"))))
-        fresh = moved.groupBy("node", "word").agg(new_bits.alias("bits")).filter(F.col("bits") != 0)
-        rows = write_counted(fresh, f"{path}/dist={dist}")
+        frontier = reached().filter(F.col("dist") == dist - 1)
+        sent = [edge_list.neighbours(frontier, rows) for edge_list in lists]
+        if name is None:
+            # Both ways, a neighbour of round k-1 lies in round k-2, k-1 or k: older rounds need no check.
+            fresh = _not_in_last_rounds(sent, reached().filter(F.col("dist") >= dist - 2))
+        else:
+            fresh = _not_reached(sent[0], spark.table(name), links.forward.buckets)
+        rows = written(fresh, dist)
+    if name is not None:
+        spark.sql(f"DROP TABLE {name}")
     return reached()
 
 
+def _not_in_last_rounds(sent: list[DataFrame], last: DataFrame) -> DataFrame:
+    """The new bits of the candidates; one shuffle combines the candidates and removes what a start has reached before."""
+    none = F.lit(None).cast("long")
+    moved = last.select("node", "word", none.alias("bits"), F.col("bits").alias("seen"))
+    for candidates in sent:
+        moved = moved.union(candidates.select("*", none))
+    new_bits = F.bit_or("bits").bitwiseAND(F.bitwise_not(F.coalesce(F.bit_or("seen"), F.lit(0).cast("long"))))
+    return moved.groupBy("node", "word").agg(new_bits.alias("bits")).filter(F.col("bits") != 0)
+
+
+def _not_reached(sent: DataFrame, reached: DataFrame, buckets: int) -> DataFrame:
+    """The new bits of the candidates; only the combined candidates move, to the buckets of the reached rows."""
+    candidates = sent.groupBy("node", "word").agg(F.bit_or("bits").alias("bits")).repartition(buckets, "node", "word")
+    seen = reached.groupBy("node", "word").agg(F.bit_or("bits").alias("seen"))
+    new_bits = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("seen", F.lit(0).cast("long"))))
+    return candidates.join(seen, ["node", "word"], "left").select("node", "word", new_bits.alias("bits")).filter(F.col("bits") != 0)
+
+
 def reached_edges(links: Links, reached: DataFrame, direction: str, max_depth: int, depth_field: str = "depth") -> DataFrame:
     """Rows of the edge table with ``word``, ``bits`` and their depth.
 

@@ -248,3 +248,53 @@ def test_degrees_double_the_edges(shapes):
     _, links, edges = shapes
     degrees = degree.degree_distribution(links.edges)
     assert degrees.agg(F.sum("cnt")).first()[0] == sum((s is not None) + (t is not None) for s, t in edges)
+
+
+def _without_broadcast(spark, make):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_edges_stay_in_place(spark):
+    """The final join of a lookup moves the reached vertices, never the edge rows."""
+    edges = spark.range(200_000).selectExpr("id AS edge_id", "id % 1000 AS source", "id % 777 AS target")
+    links = graph.prepare_links(edges)
+    reached = spark.createDataFrame([(5, 0, 1, 0)], "node long, word long, bits long, dist int")
+    plan = _without_broadcast(spark, lambda: links.rows_at(reached))
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert links.rows_at(reached).count() == 200
+
+
+def test_reached_vertices_stay_in_place(spark):
+    """One way, a round moves its candidates; what was reached before is joined where it is, however long the path is."""
+    name = "docgraph_test_reached"
+    reached = spark.range(400).selectExpr("id AS node", "0L AS word", "1L AS bits", "CAST(id AS INT) AS dist").repartition(4, "node", "word")
+    reached.write.format("parquet").bucketBy(4, "node", "word").mode("overwrite").saveAsTable(name)
+    sent = spark.createDataFrame([(399, 0, 1), (400, 0, 1), (400, 0, 2), (3, 0, 3)], "node long, word long, bits long")
+    try:
+        plan = _without_broadcast(spark, lambda: graph._not_reached(sent, spark.table(name), 4))
+        seen = plan[plan.index("docgraph_test_reached") - 2000 : plan.index("docgraph_test_reached")]
+        assert plan.count("Exchange") == 2 and "SortMergeJoin" in plan and "Bucketed: true" in plan, seen
+        fresh = graph._not_reached(sent, spark.table(name), 4)
+        assert sorted(map(tuple, fresh.collect())) == [(3, 0, 2), (400, 0, 3)]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_long_path(spark):
+    vertices = spark.range(130).toDF("id")
+    edges = spark.range(129).selectExpr("id AS edge_id", "id AS source", "id + 1 AS target")
+    flat = graph.graph_lookup(vertices, edges, [0], max_depth=60)
+    assert sorted((r.edge_id, r.depth) for r in flat.collect()) == [(k, k) for k in range(61)]
+
+
+def test_running_totals_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_RANKS", 4)
+    ranks = spark.range(1, 31).selectExpr("CAST(id AS INT) AS rank")
+    counts = spark.createDataFrame([(k, k * 10, 1) for k in range(2, 31, 3)], "rank int, n long, nodes long")
+    got = {r.num_start_values: (r.edge_count, r.node_count) for r in graph._running_totals(ranks, counts).collect()}
+    assert got == {k: (sum(j * 10 for j in range(2, k + 1, 3)), len(range(2, k + 1, 3))) for k in range(1, 31)}
