@@ -27,6 +27,20 @@ def op1_warc(spark, sf_dir):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# Base32 of the SHA-1: its hexadecimal digits as bits, five bits a letter.
+OP1_SQL = """with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hash from pages),
+ b as (select distinct hash, array_to_string(list_transform(string_split(hash, ''), lambda c:
+   ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', c)]), '')
+   as bits from p),
+ d as (select hash, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+   1 + 16 * substr(bits, 5 * i::int + 1, 1)::int + 8 * substr(bits, 5 * i::int + 2, 1)::int + 4 * substr(bits, 5 * i::int + 3, 1)::int
+   + 2 * substr(bits, 5 * i::int + 4, 1)::int + substr(bits, 5 * i::int + 5, 1)::int, 1)), '') as payload_digest from b),
+ k as (select hash, max(page_id) as keeper from p group by hash)
+ select page_id, octet_length(encode(html))::bigint as payload_bytes, payload_digest,
+  case when page_id < keeper then 'revisit' else 'response' end as record_type, case when page_id < keeper then keeper end as refers_to
+ from p join d using (hash) join k using (hash)"""
+
+
 # The rules on hosts and paths.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -133,7 +147,7 @@ def op3_license_scan(spark, sf_dir):
 
 
 QUERIES = {
-    "op1_warc": (op1_warc, None),
+    "op1_warc": (op1_warc, OP1_SQL),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
     "op3_license_scan": (op3_license_scan, None),
