@@ -18,8 +18,12 @@ def quoted(name: str) -> Column:
 
 def iso_text(column: Column, zoned: bool) -> Column:
     """ISO 8601 text: six fraction digits, or none if the fraction is zero."""
-    text = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + ("xxx" if zoned else ""))
-    return F.replace(text, F.lit(".000000"), F.lit(""))
+    if zoned:
+        return F.replace(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"), F.lit(".000000"), F.lit(""))
+    # Formatting a time without zone would take it for one of the session's zone, where it need not exist.
+    text = F.replace(column.cast("string"), F.lit(" "), F.lit("T"))
+    fraction = F.rpad(F.substring_index(text, ".", -1), 6, "0")
+    return F.when(text.contains("."), F.concat_ws(".", F.substring_index(text, ".", 1), fraction)).otherwise(text)
 
 
 def _is_plain(kind: T.DataType) -> bool:

@@ -92,3 +92,27 @@ def test_profile(spark):
         ("x", "double", 2),
     }
     assert profile.profile_head(df.filter(F.col("s").isNotNull()), "s", 1).first().s == "a"
+
+
+def test_filter_in_takes_any_list(spark):
+    df = spark.range(10).selectExpr("id AS x", "CAST(id AS STRING) AS k", "id * 2 AS y")
+    for values in (["1", "2", "none"], [1, "2", None], [1, 2], [1.0, 2.0, 2.5]):
+        found = relational.filter_in(df, "x", values)
+        assert found.columns == ["x", "k", "y"] and sorted(r.x for r in found.collect()) == [1, 2]
+    assert relational.filter_in(df, "x", []).count() == 0
+    assert relational.filter_in(df, "k", [str(n) for n in range(2, 5000)]).count() == 8
+
+
+def test_report_has_settings_and_latencies(spark, tmp_path):
+    log = spark.createDataFrame(
+        [(1, 0, "uni", n, float(n), 5, 6, None) for n in range(5)] + [(2, 0, "uni", 9, None, None, None, "failed")],
+        "start_value long, max_depth int, direction string, run_no long, latency_ms double, edge_count long, node_count long, error string",
+    )
+    medians = runs.run_config_median(log)
+    details = runs.run_details(medians, log, page_rows=2)
+    got = sorted((r.start_value, r.page, r.all_latencies_ms) for r in details.collect())
+    assert got == [(1, 0, [0.0, 1.0]), (1, 1, [2.0, 3.0]), (1, 2, [4.0]), (2, 0, [])]
+    runs.json_report(runs.run_summary(medians), details, str(tmp_path / "r"), {"depths": [0], "runs": 5})
+    head = spark.read.json(str(tmp_path / "r" / "benchmark")).first()
+    assert head.timestamp and head.config.depths == [0] and head.config.runs == 5
+    assert spark.read.json(str(tmp_path / "r" / "details")).count() == 4

@@ -168,3 +168,23 @@ def test_split(spark):
     accepted, rejected = mapping.split_accepted(docs)
     assert sorted([r._source.v for r in accepted.collect()], key=str) == [1, None]
     assert [(e.field, e.type, e.value) for r in rejected.collect() for e in r._errors] == [("v", "integer", "x")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_zoned_dates_do_not_depend_on_the_session(spark, zone):
+    texts = ["2024-11-03T06:30:00Z", "2024-11-03T05:30:00Z", "2024-03-10T02:30:00-05:00", "2024-03-10T02:30:00", "1710037800000"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in texts], "t string")
+        moments = documents.prepare_documents(frame.select(mapping.date_multi_format(F.col("t")).alias("at")), "i")
+        got = [json.loads(r.doc)["at"] for r in moments.select(documents.source_json().alias("doc")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == ["2024-11-03T06:30:00", "2024-11-03T05:30:00", "2024-03-10T07:30:00", "2024-03-10T02:30:00", "2024-03-10T02:30:00"]
+
+
+def test_map_keys_without_a_clean_value(spark):
+    frame = spark.sql("SELECT map(CAST('NaN' AS DOUBLE), 1, CAST('Infinity' AS DOUBLE), 2, 0.5D, 3) AS m")
+    doc = documents.prepare_documents(frame, "i").select(documents.source_json().alias("doc")).first().doc
+    assert json.loads(doc) == {"m": {"NaN": 1, "Infinity": 2, "0.5": 3}}
