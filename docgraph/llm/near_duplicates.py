@@ -333,8 +333,9 @@ def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: in
 
     Of rows that share a ``doc_id`` one stays; rows without one all stay.
     """
-    found = near_duplicates(docs, shingle_words, percent).filter("kept and doc_id is not null")
-    counts = write_table(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    once = docs.join(counts.filter("rows = 1"), "doc_id", "left_semi")
-    repeated = docs.join(counts.filter("rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.union(repeated).select(docs.columns).union(docs.filter("doc_id is null"))
+    found = near_duplicates(docs, shingle_words, percent).filter("doc_id is not null")
+    # Only what goes or repeats is joined: far fewer rows than stay.
+    told = found.groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    odd = write_table(told.filter("not stays or rows > 1").select("doc_id", "stays"), "odd")
+    repeated = docs.join(odd.filter("stays"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(odd, "doc_id", "left_anti").union(repeated)
