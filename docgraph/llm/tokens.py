@@ -132,10 +132,10 @@ class WordEncoder:
             # Each piece ends with the mark, and a space, which is a piece of its own, ends each word. Other white space is passed over.
             self.merger = tiktoken.Encoding("ranked", pat_str=r" |[^\x01\s]+\x01", mergeable_ranks=ranks, special_tokens={})
             self.space = ranks[b" "]
-        self._forget()
+        self._forget(MOST_WORDS)
 
-    def _forget(self) -> None:
-        self.table, self.count = WordTable(MOST_WORDS), 0
+    def _forget(self, most: int) -> None:
+        self.most, self.table, self.count = most, WordTable(most), 0
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
@@ -165,6 +165,8 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and the n + 1 offsets of the texts in them; a null text has none."""
+        if self.count > MOST_WORDS:
+            self._forget(MOST_WORDS)
         raw, offsets = column_bytes(texts)
         starts, ends, rows = word_spans(raw, offsets)
         hashes = np.maximum(span_hashes(raw, starts, ends), U(1))
@@ -172,11 +174,10 @@ class WordEncoder:
         unknown = np.flatnonzero(numbers < 0)
         if len(unknown):
             new, where = np.unique(hashes[unknown], return_index=True)
-            if self.count + len(new) > MOST_WORDS and self.count:
-                self._forget()
+            if self.count + len(new) > self.most:
+                # One text may have more new words than the bound; they are forgotten with the next texts.
+                self._forget(max(MOST_WORDS, len(new)))
                 return self.encode(texts)
-            if len(new) > MOST_WORDS:
-                raise ValueError("encode smaller slices")
             at = unknown[where]
             data = raw.tobytes()
             self._learn(new, [data[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())])

@@ -55,7 +55,7 @@ def texts():
 @pytest.mark.parametrize("short_way", [True, False])
 @pytest.mark.parametrize("specials_are_text", [True, False])
 def test_ids_equal_the_tokenizer(monkeypatch, ranks, short_way, specials_are_text):
-    monkeypatch.setattr(tokens, "MOST_WORDS", 3000)  # the cache is emptied on the way
+    monkeypatch.setattr(tokens, "MOST_WORDS", 1000)  # the cache is emptied on the way
     encoder = tokens.WordEncoder(PATH, ranks if short_way else None, specials_are_text)
     rows = texts()
     for _ in range(2):
@@ -66,6 +66,14 @@ def test_ids_equal_the_tokenizer(monkeypatch, ranks, short_way, specials_are_tex
                 assert found[offsets[k] : offsets[k + 1]].tolist() == ids(text, specials_are_text), ascii(text)
 
 
+def test_a_text_with_more_words_than_the_cache(monkeypatch, ranks):
+    monkeypatch.setattr(tokens, "MOST_WORDS", 50)
+    encoder = tokens.WordEncoder(PATH, ranks, False)
+    long = sentence(random.Random(2), 2000)
+    for text in (long, "short one", long, None):
+        assert encoder.encode(pa.array([text], pa.string()))[0].tolist() == ids(text)
+
+
 def test_the_vocabulary_may_be_merged_by_rank(ranks):
     assert ranks is not None and len(ranks) > 49_000
     assert tokens.ranked_merges(public_tokenizers.path("byte_bpe_50k.json")) is None  # no end-of-word mark
