@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 from docgraph.llm.text import U, column_bytes, span_hashes, word_spans
 
 # Words remembered by one Python worker (some 70 bytes each).
-MOST_WORDS = 2_000_000
+MOST_WORDS = 1_000_000
 
 # Below U+0250 a character is its own normal form and has a lower case that does not depend on its neighbours.
 _COMMON = regex.compile("[\0\x02-\u024f]*")
