@@ -1,16 +1,18 @@
 """Benchmark decontamination: passages of benchmark items inside documents, by q-gram lemma filtering and banded alignment.
 
 Texts are compared as UTF-8 bytes with A-Z and the capitals of Latin-1 in lower case and every run of other ASCII characters than letters
-and digits as one space. An item is covered by windows of ``WINDOW`` bytes that start every ``STRIDE`` bytes (and one at its end; a shorter item is one window). A
-document holds a window if some region of it can be turned into the window by at most ``ERRORS`` * length edits.
+and digits as one space. The windows of an item are its runs of ``WINDOW`` bytes, one from every start (a shorter item is one window), so a verbatim passage of
+``WINDOW`` bytes is a window wherever it stands in the item. A document holds a window if some region of it can be turned into the window by at
+most ``ERRORS`` * length edits.
 
 * Lemma: such a region shares at least length + 1 - Q * (edits + 1) q-grams with the window, and all of them lie on
   neighbouring diagonals (position in the document minus position in the item), as each edit moves the diagonal by one.
 * So shared q-grams are counted in bands of diagonals. Bands overlap by the edit budget, so every region lies within one band. A
   band with fewer shared q-grams than the lemma asks for cannot hold a region and is dropped.
-* In the bands left, the windows that still meet the bound are verified by an alignment restricted to the band.
+* In the bands left, the windows that still meet the bound are verified by an alignment restricted to the band, ``ALIGNED`` windows at once.
 
-Neighbouring windows found are joined to one passage. Every document is scanned whole, in one pass without a shuffle; the q-grams of
+Neighbouring windows found are joined to one passage; its edits are the most of any of its windows, and as windows over its ends are held too if
+the budget allows, it may reach some bytes over a verbatim fragment. Every document is scanned whole, in one pass without a shuffle; the q-grams of
 the benchmark are shared with all tasks in blocks of ``BLOCK_BYTES`` of text, and a larger benchmark takes one pass per block.
 
 Defined results: items of fewer than ``SHORTEST`` bytes after normalisation are too short to prove anything and are never found. Null and
@@ -30,11 +32,12 @@ from pyspark.sql import functions as F
 from docgraph.llm.text import U, character_numbers, column_bytes, mix, normalise, slices, small_batches, text_blocks
 
 WINDOW = 80
-STRIDE = 40
+STRIDE = 1
 ERRORS = 0.08
 Q = 10
 SHORTEST = 40
 BAND = 8
+ALIGNED = 2048
 BLOCK_BYTES = 4_000_000
 
 _FLAG_BITS = 23
@@ -147,42 +150,82 @@ def align(window: np.ndarray, text: np.ndarray, low: int, high: int, most: int)
 
     Returns edits, start and end of the region. Diagonal d at row i means position i + d of the text.
     """
-    if 0 <= low and low + len(window) <= len(text):
-        for start in range(low, min(high, len(text) - len(window)) + 1):
-            if np.array_equal(text[start : start + len(window)], window):
-                return 0, start, start + len(window)
-    far = len(window) + 1
-    low, high = low - most, high + most
-    diagonals = np.arange(low, high + 1)
-    steps = np.arange(len(diagonals))
-    padded = np.zeros(len(window) + len(diagonals) + 1, np.int16) - 1
-    first = max(0, low)
-    last = min(len(text), low + len(padded))
-    if first < last:
-        padded[first - low : last - low] = text[first:last]
-    at = diagonals  # position in the text on row 0
-    cost = np.where((at >= 0) & (at <= len(text)), 0, far)
-    origin = at.copy()
-    for i in range(1, len(window) + 1):
-        here = padded[i - 1 : i - 1 + len(diagonals)]
-        swap = cost + (here != window[i - 1])
-        skip = np.append(cost[1:], far) + 1
-        skipped = np.append(origin[1:], 0)
-        best = np.minimum(swap, skip)
-        source = np.where(swap <= skip, origin, skipped)
-        at = diagonals + i
-        best = np.where((at >= 0) & (at <= len(text)), best, far)
+    found, edits, first, last = align_all(window[:, None], text, np.zeros(1, np.int64), np.array([len(text)]), np.array([low]), high - low + 1, most)
+    return (int(edits[0]), int(first[0]), int(last[0])) if len(found) else None
+
+
+def align_all(
+    windows: np.ndarray, text: np.ndarray, begins: np.ndarray, lengths: np.ndarray, lows: np.ndarray, width: int, most: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``align`` for each column of ``windows`` with a text of its own, ``lengths`` bytes of ``text`` from ``begins``, on ``width`` diagonals from ``lows``.
+
+    Returns the columns found, their edits, and starts and ends of their regions.
+    """
+    size = len(windows)
+    lows = lows - most
+    width += 2 * most
+    # A cost and where its region starts are one number; of equal costs the shorter region counts.
+    unit = width
+    far = (size + 1) * unit
+    at = lows + np.arange(size + width)[:, None]
+    beyond = np.concatenate([(at < 0) | (at > lengths), (at[-1:] + 1 < 0) | (at[-1:] + 1 > lengths)])
+    real = (at >= 0) & (at < lengths)
+    around = np.where(real, text[np.where(real, begins + at, 0)] if len(text) else 0, -1).astype(np.int16)
+    steps = (np.arange(width, dtype=np.int32) * unit)[:, None]
+    cost = np.where(beyond[:width], far, np.arange(width, dtype=np.int32)[::-1, None]).astype(np.int32)
+    left = np.arange(len(lows))
+    for i in range(size):
+        best = cost + (around[i : i + width] != windows[i]) * np.int32(unit)
+        np.minimum(best[:-1], cost[1:] + unit, out=best[:-1])
+        np.copyto(best, far, where=beyond[i + 1 : i + 1 + width])
         # Extra characters of the text: from the left, one edit a step.
-        run = np.minimum.accumulate(best - steps)
-        extra = run + steps
-        came = np.maximum.accumulate(np.where(best - steps == run, steps, 0))
-        cost, origin = np.minimum(best, extra), np.where(extra < best, source[came], source)
-        if cost.min() > most:
-            return None
-    end = int(cost.argmin())
-    if cost[end] > most:
-        return None
-    return int(cost[end]), int(origin[end]), int(diagonals[end]) + len(window)
+        best -= steps
+        cost = np.minimum.accumulate(best, axis=0)
+        cost += steps
+        if i % 8 == 7:
+            keep = cost.min(axis=0) < (most + 1) * unit
+            if 4 * keep.sum() < 3 * len(keep):
+                left, windows, around, beyond, cost = left[keep], windows[:, keep], around[:, keep], beyond[:, keep], cost[:, keep]
+            if not len(left):
+                break
+    edits = cost // unit
+    end = edits.argmin(axis=0) if len(left) else np.zeros(0, np.int64)
+    here = np.arange(len(left))
+    good = np.flatnonzero(edits[end, here] <= most)
+    end, left = end[good], left[good]
+    first = lows[left] + unit - 1 - cost[end, good] % unit
+    return left, edits[end, good], first, lows[left] + end + size
+
+
+def held_windows(block: Block, text: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    """Row, item, start and end in the item, start and end in the text, and edits of the windows that the texts hold."""
+    waiting: dict[int, list[tuple]] = {}
+    for row, item, low, places in block.candidates(text, bounds):
+        length = min(WINDOW, len(block.items[item]))
+        starts = np.array([s for s, _ in windows_of(len(block.items[item]))])
+        shared = np.searchsorted(places, starts + length - Q, side="right") - np.searchsorted(places, starts)
+        starts = starts[shared >= least_shared(length)]
+        # A long item may have more windows than are aligned at once.
+        for k in range(0, len(starts), ALIGNED):
+            some = waiting.setdefault(length, [])
+            some.append((row, item, low, starts[k : k + ALIGNED]))
+            if sum(len(w[3]) for w in some) >= ALIGNED:
+                yield from _verified(block, text, bounds, length, waiting.pop(length))
+    for length, some in waiting.items():
+        yield from _verified(block, text, bounds, length, some)
+
+
+def _verified(block: Block, text: np.ndarray, bounds: np.ndarray, length: int, some: list[tuple]) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    counts = [len(starts) for *_, starts in some]
+    rows, items, lows = (np.repeat([w[k] for w in some], counts) for k in range(3))
+    starts = np.concatenate([w[3] for w in some])
+    windows = np.concatenate([block.items[item][starts + np.arange(length)[:, None]] for _, item, _, starts in some], axis=1)
+    begins = bounds[rows]
+    found, edits, first, last = align_all(
+        windows, text, begins, bounds[rows + 1] - begins, lows + starts, BAND + budget(WINDOW), budget(length)
+    )
+    start = starts[found]
+    yield from zip(*(x.tolist() for x in (rows[found], items[found], start, start + length, first, last, edits)))
 
 
 def passages(block: Block, texts: pa.Array) -> list[list[tuple]]:
@@ -190,15 +233,8 @@ def passages(block: Block, texts: pa.Array) -> list[list[tuple]]:
     raw, offsets = column_bytes(texts)
     text, at, bounds = normalise(raw, offsets)
     found: dict[tuple[int, int], set] = {}
-    for row, item, low, places in block.candidates(text, bounds):
-        own, target = text[bounds[row] : bounds[row + 1]], block.items[item]
-        for start, length in windows_of(len(target)):
-            shared = np.searchsorted(places, start + length - Q, side="right") - np.searchsorted(places, start)
-            if shared < least_shared(length):
-                continue
-            hit = align(target[start : start + length], own, low + start, low + start + BAND + budget(WINDOW) - 1, budget(length))
-            if hit:
-                found.setdefault((row, item), set()).add((hit[1], hit[2], start, start + length, hit[0]))
+    for row, item, start, end, first, last, edits in held_windows(block, text, bounds):
+        found.setdefault((row, item), set()).add((first, last, start, end, edits))
     results: list[list[tuple]] = [[] for _ in range(len(texts))]
     for (row, item), hits in sorted(found.items()):
         # Windows that meet in the text are one passage.

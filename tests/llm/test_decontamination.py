@@ -120,3 +120,39 @@ def test_alignment_inside_a_band():
         hit = dc.align(window, text, 28, 32, 4)
         assert hit and hit[0] == fewest_edits(window.tolist(), text.tolist())
         assert fewest_edits(window.tolist(), text[hit[1] : hit[2]].tolist()) == hit[0]
+
+
+def test_fragments_at_every_offset():
+    """A verbatim fragment of ``WINDOW`` bytes is found wherever it starts, and documents as brute force over all windows has them."""
+    rng = random.Random(6)
+    target = sentence(rng, 40, 900)
+    block = dc.Block([1], [target])
+    own = block.items[0].tolist()
+    before, after = sentence(rng, 12, 900), sentence(rng, 12, 900)
+    fragments = [target[k : k + dc.WINDOW] for k in range(len(target) - dc.WINDOW + 1)]
+    found = dc.passages(block, pa.array([f"{before} {f} {after}" for f in fragments]))
+    assert [[p[0] for p in passages] for passages in found] == [[1]] * len(fragments)
+    for k, ((_, item_start, item_end, start, end, _),) in enumerate(found):
+        assert item_start <= k and k + dc.WINDOW <= item_end
+        assert start <= len(before) + 1 and len(before) + 1 + dc.WINDOW <= end
+    texts = [f"{before} {noisy(rng, rng.choice(fragments), e)} {after}" for e in range(4, 11) for _ in range(2)]
+    texts += [f"{before} {target[k : k + n]} {after}" for k, n in ((7, 60), (33, 72), (50, 73), (61, 74), (80, 76))]
+    for text, passages in zip(texts, dc.passages(block, pa.array(texts))):
+        normal = dc.normalise(*dc.column_bytes(pa.array([text])))[0].tolist()
+        least = min(fewest_edits(own[k : k + dc.WINDOW], normal) for k in range(len(own) - dc.WINDOW + 1))
+        assert bool(passages) == (least <= dc.budget(dc.WINDOW))
+
+
+def test_alignment_of_many_windows_is_that_of_each():
+    rng = np.random.default_rng(9)
+    windows = rng.integers(97, 103, (40, 300)).astype(np.uint8)
+    parts = [np.delete(np.concatenate([rng.integers(97, 103, rng.integers(0, 9)), w, rng.integers(97, 103, 5)]), rng.integers(0, 44, k % 6)) for k, w in enumerate(windows.T)]
+    text, begins = np.concatenate(parts).astype(np.uint8), np.cumsum([0, *map(len, parts)])
+    lows = np.zeros(300, np.int64) - 2
+    found, edits, first, last = dc.align_all(windows, text, begins[:-1], np.diff(begins), lows, 12, 4)
+    assert {int(k): (int(e), int(a), int(b)) for k, e, a, b in zip(found, edits, first, last)} == {
+        k: hit for k in range(300) if (hit := dc.align(windows[:, k], text[begins[k] : begins[k + 1]], -2, 9, 4))
+    }
+    for k, e, a, b in zip(found, edits, first, last):
+        own = text[begins[k] : begins[k + 1]].tolist()
+        assert fewest_edits(windows[:, k].tolist(), own) == fewest_edits(windows[:, k].tolist(), own[a:b]) == e
