@@ -2,7 +2,8 @@
 
 Texts are sequences of words (letters and digits, lower case). Of every ``WINNOW`` neighbouring shingles of ``SHINGLE`` words the one with the
 smallest hash is a fingerprint, on both sides, so any run of ``SHINGLE + WINNOW - 1`` words that a document shares with a
-template shares a fingerprint. The templates' fingerprints are an inverted index (hash to template and position), shared with all tasks in
+template shares a fingerprint. Templates whose allowed gaps may leave shorter runs only are indexed without winnowing, by shingles of the longest run that
+is left in any case (``run_left``). The templates' fingerprints are an inverted index (hash to template and position), shared with all tasks in
 blocks of ``BLOCK_BYTES`` of text. Fingerprints of a document found in the index point to a template and a diagonal (position in the document minus
 position in the template); neighbouring diagonals are one candidate region. There the template is aligned with the document inside the band
 of diagonals, for the largest number of equal words. A region that covers at least ``COVERAGE`` of the template's words is reported.
@@ -54,11 +55,17 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return span_hashes(text, starts, ends), at[starts], at[ends - 1], np.searchsorted(rows, np.arange(len(offsets))), raw
 
 
-def fingerprints(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def run_left(length: int, coverage: float) -> int:
+    """The longest run of equal words that a template of ``length`` words has in any case, if words are missing or replaced up to the coverage."""
+    equal = next(k for k in range(length + 1) if k >= coverage * length or k == length)
+    return -(-equal // (length - equal + 1))
+
+
+def fingerprints(words: np.ndarray, bounds: np.ndarray, size: int = SHINGLE, winnow: int = WINNOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, place among all words, and row of the winnowed shingles."""
-    hashes = run_hashes(words, SHINGLE)
+    hashes = run_hashes(words, size)
     row = np.searchsorted(bounds, np.arange(len(hashes)), side="right") - 1
-    whole = np.arange(len(hashes)) + SHINGLE <= bounds[row + 1]
+    whole = np.arange(len(hashes)) + size <= bounds[row + 1]
     place, row, hashes = np.flatnonzero(whole), row[whole], hashes[whole]
     if not len(hashes):
         return hashes, place, row
@@ -67,42 +74,64 @@ def fingerprints(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     last = np.searchsorted(row, row, side="right")
     # The window that starts at each shingle; a short row is one window.
     best = np.arange(len(hashes))
-    for k in range(1, WINNOW):
+    for k in range(1, winnow):
         other = np.minimum(np.arange(len(hashes)) + k, last - 1)
         best = np.where(hashes[other] < hashes[best], other, best)
-    starts_window = (np.arange(len(hashes)) + WINNOW <= last) | (np.arange(len(hashes)) == first)
+    starts_window = (np.arange(len(hashes)) + winnow <= last) | (np.arange(len(hashes)) == first)
     picked[best[starts_window]] = True
     return hashes[picked], place[picked], row[picked]
 
 
-class Templates:
-    """The inverted index of some templates."""
+class Index:
+    """The inverted index of the templates that have the same kind of fingerprints."""
 
-    def __init__(self, ids: list[str], texts: list[str]):
-        words, _, _, bounds, _ = words_of(pa.array(texts, pa.string()))
-        self.ids = ids
-        self.words = [words[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-        hashes, place, row = fingerprints(words, bounds)
+    def __init__(self, words: np.ndarray, bounds: np.ndarray, members: list[int], size: int, winnow: int):
+        self.size, self.winnow = size, winnow
+        hashes, place, row = fingerprints(words, bounds, size, winnow)
+        own = np.isin(row, members)
+        hashes, place, row = hashes[own], place[own], row[own]
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.first, self.times = np.unique(hashes[order], return_index=True, return_counts=True)
         self.owners, self.places = row[order], (place - bounds[row])[order]
         self.flags = np.zeros(1 << _FLAG_BITS, bool)
         self.flags[(self.hashes >> U(64 - _FLAG_BITS)).astype(np.int64)] = True
 
+
+class Templates:
+    """The words and the inverted indexes of some templates."""
+
+    def __init__(self, ids: list[str], texts: list[str], coverage: float = COVERAGE):
+        words, _, _, bounds, _ = words_of(pa.array(texts, pa.string()))
+        self.ids = ids
+        self.words = [words[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        kinds: dict[tuple[int, int], list[int]] = {}
+        for k, own in enumerate(self.words):
+            if len(own) >= SHINGLE:
+                run = run_left(len(own), coverage)
+                kind = (SHINGLE, WINNOW) if run >= SHINGLE + WINNOW - 1 else (max(1, min(run, SHINGLE)), 1)
+                kinds.setdefault(kind, []).append(k)
+        self.indexes = [Index(words, bounds, members, *kind) for kind, members in sorted(kinds.items())]
+
     def candidates(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """Row, template, lowest and highest diagonal of the regions that share fingerprints."""
-        hashes, place, row = fingerprints(words, bounds)
-        maybe = np.flatnonzero(self.flags[(hashes >> U(64 - _FLAG_BITS)).astype(np.int64)])
-        if not len(maybe) or not len(self.hashes):
+        for index in self.indexes:
+            yield from self._candidates(index, words, bounds)
+
+    def _candidates(self, index: Index, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        hashes, place, row = fingerprints(words, bounds, index.size, index.winnow)
+        maybe = np.flatnonzero(index.flags[(hashes >> U(64 - _FLAG_BITS)).astype(np.int64)])
+        if not len(maybe) or not len(index.hashes):
             return
-        slot = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
-        sure = self.hashes[slot] == hashes[maybe]
+        slot = np.minimum(np.searchsorted(index.hashes, hashes[maybe]), len(index.hashes) - 1)
+        sure = index.hashes[slot] == hashes[maybe]
         maybe, slot = maybe[sure], slot[sure]
-        times = self.times[slot]
-        posting = np.arange(times.sum()) + np.repeat(self.first[slot] - (np.cumsum(times) - times), times)
-        template = self.owners[posting]
+        if not len(maybe):
+            return
+        times = index.times[slot]
+        posting = np.arange(times.sum()) + np.repeat(index.first[slot] - (np.cumsum(times) - times), times)
+        template = index.owners[posting]
         row = np.repeat(row[maybe], times)
-        diagonal = np.repeat(place[maybe], times) - bounds[row] - self.places[posting]
+        diagonal = np.repeat(place[maybe], times) - bounds[row] - index.places[posting]
         order = np.lexsort((diagonal, template, row))
         row, template, diagonal = row[order], template[order], diagonal[order]
         start = 0
@@ -148,6 +177,11 @@ def matches(templates: Templates, texts: pa.Array, coverage: float) -> list[list
     found: list[list[tuple]] = [[] for _ in range(len(texts))]
     for row, template, low, high in templates.candidates(words, bounds):
         own = words[bounds[row] : bounds[row + 1]]
+        # No more words can be equal than occur near the region at all.
+        size = len(templates.words[template])
+        near = own[max(0, low - slack(size)) : max(0, high + slack(size) + size)]
+        if np.isin(templates.words[template], near).sum() < coverage * size:
+            continue
         places = align(templates.words[template], own, low, high)
         if len(places) < coverage * len(templates.words[template]):
             continue
@@ -180,6 +214,6 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, coverage: float = COVER
     found = F.array().cast(f"array<{MATCH}>")
     templates = templates.select(F.col("template_id").cast("string").alias("template_id"), "text")
     for rows in text_blocks(templates, "template_id", BLOCK_BYTES):
-        block = Templates([i for i, _ in rows], [t for _, t in rows])
+        block = Templates([i for i, _ in rows], [t for _, t in rows], coverage)
         found = F.concat(found, _scanner(spark.sparkContext.broadcast(block), coverage)(F.col("text")))
     return docs.withColumn(into, found)

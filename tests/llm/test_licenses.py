@@ -82,3 +82,25 @@ def test_shared_runs_share_a_fingerprint():
             text = np.concatenate([before, run, after])
             marks.append(set(licenses.fingerprints(text, np.array([0, len(text)]))[0].tolist()))
         assert marks[0] & marks[1]
+
+
+def test_every_template_with_each_word_changed_or_left_out():
+    """Texts within the coverage are found wherever the change stands, also those of a few words."""
+    short = {"three": "All rights reserved.", "ten": "a1 b2 c3 d4 e5 f6 g7 h8 i9 j10"}
+    names, texts = zip(*{**TEMPLATES, **short}.items())
+    index = licenses.Templates(list(names), list(texts))
+    for name, text in zip(names, texts):
+        own = words(text)
+        changed = [own, *(own[:k] + ["changed"] + own[k + 1 :] for k in range(len(own))), *(own[:k] + own[k + 1 :] for k in range(len(own)))]
+        changed += [own[:i] + ["one"] + own[i + 1 : k] + ["two"] + own[k + 1 :] for i in range(min(12, len(own))) for k in range(i + 1, min(12, len(own)))]
+        changed = [c for c in changed if longest_common(own, c) >= licenses.COVERAGE * len(own)]
+        for around in ("x1 y2", "p q r s"):
+            found = licenses.matches(index, licenses.pa.array([f"{around} {' '.join(c)} {around}" for c in changed]), licenses.COVERAGE)
+            for c, hits in zip(changed, found):
+                assert longest_common(own, c) in [m[2] for m in hits if m[0] == name], (name, c)
+
+
+def test_run_left():
+    for length in range(3, 60):
+        equal = -(-8 * length // 10)
+        assert licenses.run_left(length, 0.8) == -(-equal // (length - equal + 1))
