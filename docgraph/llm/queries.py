@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docgraph.fixtures import table
 from docgraph.llm.decontamination import benchmark_passages
+from docgraph.llm.divergence import source_divergence
 from docgraph.llm.language import identify_language, train_language_model
 from docgraph.llm.license_texts import TEMPLATES
 from docgraph.llm.licenses import scan_licenses
@@ -146,6 +147,33 @@ def op3_license_scan(spark, sf_dir):
     return found.select("doc_id", F.inline("licenses"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as doc,
+   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+ e as (select lang, source, doc, unnest(terms) as term from d),
+ kept as (select lang, term, count(*) as in_lang from e group by all having count(distinct doc) >= 10),
+ v as (select lang, count(*) as v, sum(in_lang) as n from kept group by lang),
+ grp as (select distinct lang, source from d),
+ c as (select g.lang, g.source, k.term, k.in_lang, count(e.term) as c
+   from grp g join kept k on k.lang = g.lang left join e on e.lang = g.lang and e.source = g.source and e.term = k.term group by all),
+ n as (select lang, source, sum(c) as n from c group by all),
+ p as (select c.lang, c.source, c.term, c.c, 1 + (1000000000::hugeint * (c.c + 2)) // (n.n + 2 * v.v)::hugeint as p,
+   1 + (1000000000::hugeint * (c.in_lang + 2)) // (v.n + 2 * v.v)::hugeint as q from c join n using (lang, source) join v on v.lang = c.lang),
+ apart as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+   from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+ pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0)::bigint as value from grp a
+   join grp b on a.lang = b.lang and a.source <> b.source
+   left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+ terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // (p + q))::bigint as value from p where c > 0 and p > q),
+ ranked as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::integer as rank
+   from (select * from pairs union all select * from terms))
+ select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10"""
+
+
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
@@ -158,4 +186,5 @@ QUERIES = {
     "op10_packing": (op10_packing, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op8_decontamination": (op8_decontamination, None),
+    "op11_source_divergence": (op11_source_divergence, OP11_SQL),
 }
