@@ -16,6 +16,7 @@ from docgraph.llm.near_duplicates import near_duplicates
 from docgraph.llm.nearest import top_k
 from docgraph.llm.packing import pack_documents
 from docgraph.llm.token_counts import token_counts
+from docgraph.llm.periodic import collapse_runs
 from docgraph.llm.toxicity import score_toxicity, train_toxicity_model
 from docgraph.llm.training import held_out
 from docgraph.llm.url_filter import judge_urls, url_host
@@ -174,6 +175,31 @@ OP11_SQL = r"""with d as (select coalesce(lang, '') as lang, coalesce(source, ''
  select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10"""
 
 
+def op13_periodic_runs(spark, sf_dir):
+    # Every tenth document repeats a stretch of its own words from some word on.
+    h, words = F.crc32(F.col("doc_id").cast("string")), F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')")
+    found = collapse_runs(docs.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text")))
+    # Fractions are compared by cross products, so that no rounding decides.
+    better = "(b.length * r.period > r.length * b.period or b.length * r.period = r.length * b.period and (b.start < r.start or b.start = r.start and b.period < r.period))"
+    best = F.expr(f"reduce(runs, runs[0], (b, r) -> if({better}, b, r))")
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    found = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
@@ -187,4 +213,5 @@ QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op8_decontamination": (op8_decontamination, None),
     "op11_source_divergence": (op11_source_divergence, OP11_SQL),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
