@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docgraph.fixtures import table
 from docgraph.llm.decontamination import benchmark_passages
 from docgraph.llm.divergence import source_divergence
+from docgraph.llm.fingerprints import digits, document_fingerprints, likeness, with_near_counts
 from docgraph.llm.language import identify_language, train_language_model
 from docgraph.llm.license_texts import TEMPLATES
 from docgraph.llm.licenses import scan_licenses
@@ -175,6 +176,15 @@ OP11_SQL = r"""with d as (select coalesce(lang, '') as lang, coalesce(source, ''
  select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10"""
 
 
+def op12_fingerprints(spark, sf_dir):
+    """Every document; ``near_docs`` counts the others within three bits of those whose id is divisible by 20."""
+    found = document_fingerprints(table(spark, sf_dir, "documents"))
+    found = with_near_counts(found, F.col("doc_id") % 20 == 0)
+    told = [digits("simhash").alias("fingerprint"), digits("edited").alias("edited_fingerprint")]
+    near = [likeness("simhash", "edited").alias("near_edited"), likeness("simhash", "following").alias("near_next")]
+    return found.select("doc_id", "n_chars", "edited_sha256", *told, *near, "near_docs")
+
+
 def op13_periodic_runs(spark, sf_dir):
     # Every tenth document repeats a stretch of its own words from some word on.
     h, words = F.crc32(F.col("doc_id").cast("string")), F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
@@ -213,5 +223,6 @@ QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op8_decontamination": (op8_decontamination, None),
     "op11_source_divergence": (op11_source_divergence, OP11_SQL),
+    "op12_fingerprints": (op12_fingerprints, None),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
