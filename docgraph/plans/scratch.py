@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a narrow table that one bucket should hold at most (some tens of MB once encoded), and at least while there are
@@ -50,6 +50,12 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(df: DataFrame, label: str, told: Column) -> tuple[DataFrame, int]:
+    """Write ``df`` once; returns a frame that reads the files, and the aggregate ``told`` of its rows, from the same job."""
+    seen = Observation()
+    return write_table(df.observe(seen, told.alias("told")), label), seen.get["told"]
+
+
 def write_counted(df: DataFrame, path: str) -> int:
     """Write ``df`` and return its row count, counted by the same job."""
     seen = Observation()

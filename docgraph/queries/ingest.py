@@ -206,6 +206,37 @@ def csv_split_rejects(spark, sf_dir):
     return good.unionByName(read.rejects.select(F.col("_raw").alias("key"), F.lit(None).cast("string").alias("name"), F.col("_problem").alias("problem")))
 
 
+def csv_unclosed_quote(spark, sf_dir):
+    """One line of each file opens a quote that nothing closes: it alone is rejected."""
+    customers = table(spark, sf_dir, "customer")
+    open_ = F.col("c_custkey") % 500 == 7
+    line = F.concat(F.col("c_custkey"), F.when(open_, F.lit(',"')).otherwise(F.lit(",")), "c_name")
+    path = scratch_path(spark, "lines")
+    customers.select("c_custkey", line.alias("value")).repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey").select("value").write.text(path)
+    read = read_csv(spark, path, header=None, dtype={"0": "str", "1": "str"})
+    good = read.rows.select(F.col("0").alias("key"), F.col("1").alias("name"), F.lit("").alias("problem"))
+    return good.unionByName(read.rejects.select(F.col("_raw").alias("key"), F.lit(None).cast("string").alias("name"), F.col("_problem").alias("problem")))
+
+
+def csv_skiprows_quoted(spark, sf_dir):
+    """Skipped records before records that hold line breaks."""
+    nations = table(spark, sf_dir, "nation").orderBy("n_nationkey").coalesce(1)
+    line = F.concat(F.col("n_nationkey"), F.lit(',"'), "n_name", F.lit('\n2nd, line","'), F.col("n_regionkey"), F.lit('"'))
+    path = scratch_path(spark, "lines")
+    nations.select(line.alias("value")).write.text(path)
+    rows = read_csv(spark, path, header=None, skiprows=3).rows
+    return rows.toDF("n_nationkey", "name", "n_regionkey")
+
+
+def csv_case_names(spark, sf_dir):
+    """Headers that differ by case only, or are named like columns of the reader."""
+    path = scratch_path(spark, "lines")
+    parts = table(spark, sf_dir, "part").select(F.concat_ws(",", "p_partkey", "p_size", "p_type", "p_brand").alias("value"))
+    header = spark.range(1).select(F.lit("k,K,_raw,_problem").alias("value"))
+    header.unionByName(parts).coalesce(1).write.text(path)
+    return read_csv(spark, path).rows.toDF("p_partkey", "p_size", "p_type", "p_brand")
+
+
 def csv_file_headers(spark, sf_dir):
     """Files with the same columns in another order, and one with a column less."""
     parts = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
@@ -591,6 +622,16 @@ QUERIES = {
  union all select c_custkey || ',"' || c_name, null, 'a quote is not closed' from customer where c_custkey % 10 = 0
  union all select '2nd line"', null, '' from customer where c_custkey % 10 = 0""",
     ),
+    "csv_unclosed_quote": (
+        csv_unclosed_quote,
+        """select c_custkey::varchar as key, c_name as name, '' as problem from customer where c_custkey % 500 <> 7
+ union all select c_custkey || ',"' || c_name, null, 'a quote is not closed' from customer where c_custkey % 500 = 7""",
+    ),
+    "csv_skiprows_quoted": (
+        csv_skiprows_quoted,
+        """select n_nationkey::bigint as n_nationkey, n_name || chr(10) || '2nd, line' as name, n_regionkey::bigint as n_regionkey from nation where n_nationkey >= 3""",
+    ),
+    "csv_case_names": (csv_case_names, "select p_partkey, p_size::bigint as p_size, p_type, p_brand from part"),
     "csv_file_headers": (
         csv_file_headers,
         "select s_suppkey, s_name, case when s_suppkey % 3 <> 2 then s_acctbal end as s_acctbal from supplier",

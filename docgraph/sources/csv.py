@@ -3,9 +3,13 @@
 Every file is read by its own header; columns are matched by name, and a column that a file lacks is null there. Files, folders and
 globs count in the caller's order, and what is listed twice is read twice.
 
-A quoted field may hold line breaks, so by default a file is read by one task. ``multiline=False`` splits large files; then a record is
-a line, and a line whose quotes do not close is rejected. ``nrows`` and header rows other than the first number the records of each file.
-``skiprows`` speaks of lines, so with it a record is a line, too: lines are counted per input split, and the counts turned into offsets.
+Large files are split, and a quoted field may hold line breaks: see ``quotes``. A quote that is not closed rejects its line; the lines after it are read
+one by one. With ``multiline=False`` each line is a record. ``nrows``, ``skiprows`` and header rows other than the first number the records of each file:
+they are counted per input split, and the counts turned into offsets. Blank lines count for ``skiprows`` only. Only files in a character set in which a
+line break isn't the byte 10 (UTF-16, UTF-32) are read by one task each.
+
+The records are parsed once and written as texts of the wanted columns; inference and the typed result read these. Columns are known by
+their position until the result is named, so any header will do.
 """
 
 from __future__ import annotations
@@ -24,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docgraph.functions.columns import undotted
-from docgraph.functions.documents import quoted
-from docgraph.plans.scratch import write_table
+from docgraph.plans.scratch import write_observed, write_table
 from docgraph.sources.files import escaped, first_lines, listed_files
+from docgraph.sources.quotes import OPENS, joined_records, turn
 
 # Texts read as missing.
 NA_TEXTS = [
@@ -126,13 +130,13 @@ class CsvOptions:
     def records(self, lines: Iterable[str]) -> Iterator[list[str]]:
         """The records of a file's first lines, without blank ones."""
         skipped = set(range(self.skiprows)) if isinstance(self.skiprows, int) else set(self.skiprows or [])
-        kept = (line.removeprefix("\ufeff") if n == 0 else line for n, line in enumerate(lines) if n not in skipped)
+        lines = (line.removeprefix("\ufeff") if n == 0 else line for n, line in enumerate(lines))
         settings = dict(delimiter=self.delimiter, quotechar=self.quotechar, escapechar=self.escapechar)
-        if self.multiline and not skipped:
-            found = csv.reader((line + "\n" for line in kept), **settings)
+        if self.multiline:
+            found = csv.reader((line + "\n" for line in lines), **settings)
         else:
-            found = (next(csv.reader([line], **settings), []) for line in kept)
-        return (record for record in found if record and (len(record) > 1 or record[0].strip()))
+            found = (next(csv.reader([line], **settings), []) for line in lines)
+        return (record for n, record in enumerate(found) if n not in skipped and record and (len(record) > 1 or record[0].strip()))
 
 
 def column_names(header: list[list[str]], width: int) -> list[str]:
@@ -205,13 +209,25 @@ def _number(lines: DataFrame, name: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, files: list[str], width: int, options: CsvOptions) -> DataFrame:
-    """Records of one line each, from files that are split."""
-    text = spark.read.text([escaped(f) for f in files]).select("value", *_place(), F.monotonically_increasing_id().alias("_at"))
+    """The records of files that are split, parsed."""
+    text = spark.read.option("lineSep", "\n").text([escaped(f) for f in files]).select("value", *_place())
     if options.charset != "utf-8":
         text = text.withColumn("value", F.decode(F.col("value").cast("binary"), options.charset))
-    if options.needs_numbers:
-        # The numbers within a split must not change when the lines are read again.
+    # Line feeds with or without a carriage return end a line, and so do carriage returns alone.
+    parts = F.when(F.col("value").rlike(r"(?s)\r."), F.split("value", r"(?s)\r(?=.)")).otherwise(F.array("value"))
+    text = text.select(F.explode_outer(parts).alias("value"), "_file", "_split")
+    marked = (F.col("_split") == 0) & F.col("value").startswith("\ufeff")
+    text = text.withColumn("value", F.when(marked, F.substring("value", 2, 2**31 - 1)).otherwise(F.col("value")))
+    text = text.withColumn("_at", F.monotonically_increasing_id())
+    if options.multiline:
+        # Written, so that the lines' numbers within a split are the same whenever they are read.
+        text = text.withColumn("_turn", turn(F.col("value"), options.quotechar, *_open_patterns(options)))
+        text, opening = write_observed(text, "lines", F.count_if(F.col("_turn") >= OPENS))
+        # If no line leaves a quote open, each one is a record.
+        text = write_table(joined_records(text), "joined") if opening else text.drop("_turn")
+    elif options.needs_numbers:
         text = write_table(text, "lines")
+    text = text.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
     if options.skiprows:
         text = _number(text, "_line")
         skipped = F.col("_line") < options.skiprows if isinstance(options.skiprows, int) else F.col("_line").isin(list(options.skiprows))
@@ -223,7 +239,7 @@ def _lines(spark: SparkSession, files: list[str], width: int, options: CsvOption
         text = text.join(text.filter("_split = 0").groupBy("_file").agg(F.min("_at").alias("_at")), ["_file", "_at"], "left_anti")
     settings = {k: v for k, v in options.spark_options().items() if k != "encoding"}
     ddl = ", ".join(f"{f.name} string" for f in _layout(width))
-    parsed = text.select(F.from_csv("value", F.lit(ddl), settings).alias("_csv"), "value", "_file", "_split", "_at")
+    parsed = text.select(F.from_csv("value", F.lit(ddl), {**settings, "multiLine": "true"}).alias("_csv"), "value", "_file", "_split", "_at")
     return parsed.select("_csv.*", "value", "_file", "_split", "_at")
 
 
@@ -238,12 +254,14 @@ def _fields_pattern(options: CsvOptions) -> tuple[str, str]:
     return f"{quote}{inner}{quote}", f"{quote}{inner}"
 
 
-def _unclosed(raw: Column, options: CsvOptions) -> Column:
-    """Whether the last field of a line opens a quote and does not close it."""
+def _open_patterns(options: CsvOptions) -> tuple[str, str]:
+    """Patterns of lines that end inside quotes if they begin outside, and if they begin inside."""
     closed, opened = _fields_pattern(options)
     separator, quote = re.escape(options.delimiter), f"\\x{ord(options.quotechar):02x}"
-    bare = f"(?!{quote})(?:(?!{separator}).)*+"
-    return raw.rlike(f"(?s)^(?:(?:{closed}|{bare}){separator})*+{opened}$")
+    rest = f"[^{separator}]*+" if len(options.delimiter) == 1 else f"(?:(?!{separator}).)*+"
+    # A field begins with a quote or isn't quoted; what follows a closing quote belongs to the field.
+    fields = f"(?:(?:{closed}|(?!{quote})){rest}{separator})*+{opened}$"
+    return f"(?s)^{fields}", f"(?s)^{opened[len(quote):]}(?:$|{quote}{rest}{separator}{fields})"
 
 
 def _field_count(raw: Column, options: CsvOptions) -> Column:
@@ -311,7 +329,7 @@ def _infer(texts: DataFrame, names: list[str], dates: list[str]) -> dict[str, T.
         return {}
     tests = []
     for i, name in enumerate(names):
-        column = quoted(name)
+        column = F.col(name)
         if name in dates:
             misfits = [F.count_if(column.isNotNull() & _date(column, form).isNull()) for form in DATE_FORMATS]
             tests.append(F.struct(F.count(column).alias("values"), F.array(*misfits).alias("misfits")).alias(str(i)))
@@ -336,10 +354,10 @@ def _dtype(name: str, wanted: str) -> T.DataType:
     return DTYPES[wanted]
 
 
-def _texts(spark: SparkSession, files: list[str], head: tuple[str, ...], options: CsvOptions) -> tuple[DataFrame, list[str]]:
-    """The wanted columns of files with the same header as text, and the problems of their records."""
-    by_line = bool(options.skiprows) or not options.multiline
-    lines = (_lines if by_line else _records)(spark, files, len(head), options)
+def _texts(spark: SparkSession, files: list[str], head: tuple[str, ...], options: CsvOptions) -> tuple[DataFrame, dict[str, str]]:
+    """The wanted columns of files with the same header as text, the problems of their records, and the names of the columns."""
+    whole_files = options.charset.startswith(("utf-16", "utf-32"))
+    lines = (_records if whole_files else _lines)(spark, files, len(head), options)
     kept = list(range(len(head)))
     if options.usecols:
         missing = [c for c in options.usecols if c not in head]
@@ -356,22 +374,26 @@ def _texts(spark: SparkSession, files: list[str], head: tuple[str, ...], options
     too_long = F.col(RAW).isNotNull() & (last.isNotNull() | (_field_count(F.col(RAW), options) > len(head)))
     problem = F.when(too_long, F.lit(f"more than {len(head)} fields"))
     raw = F.col(RAW)
-    if by_line:
-        unclosed = _unclosed(F.col("value"), options)
+    if not whole_files:
+        unclosed = F.contains("value", F.lit(options.quotechar)) & F.col("value").rlike(_open_patterns(options)[0])
         problem = F.when(unclosed, "a quote is not closed").otherwise(problem)
         raw = F.when(unclosed, F.col("value")).otherwise(raw)
     place = [F.col(c) for c in POSITION if c != "_listed"]
-    return lines.select(*[text(i).alias(head[i]) for i in kept], raw.alias(RAW), problem.alias(PROBLEM), *place), [head[i] for i in kept]
+    return lines.select(*[text(i).alias(f"c{i}") for i in kept], raw.alias(RAW), problem.alias(PROBLEM), *place), {f"c{i}": head[i] for i in kept}
 
 
-def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = False, **settings) -> DataFrame:
-    """All records in one frame, with ``_raw`` and ``_problem`` set for the lines that are none.
+@dataclass
+class _Parsed:
+    """All records with columns known by their position: texts, problems and places, the result's columns, and what is wrong with a record."""
 
-    A line with too few fields is filled with nulls; one with too many, or with a value that its
-    ``dtype`` does not allow, is a problem. ``position`` adds the place of each record.
-    """
-    options = CsvOptions(**settings)
-    place = POSITION if position else []
+    texts: DataFrame
+    columns: list[Column]
+    names: list[str]
+    raw: Column
+    problem: Column
+
+
+def _parse(spark: SparkSession, paths: str | list[str], options: CsvOptions) -> _Parsed:
     frames, names = [], []
     for number, path in enumerate([paths] if isinstance(paths, str) else paths):
         by_head: dict[tuple[str, ...], list[str]] = {}
@@ -381,18 +403,24 @@ def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = Fals
             raise ValueError(f"no columns to read from {path}")
         for head, files in by_head.items():
             frame, kept = _texts(spark, files, head, options)
-            frames.append(frame.withColumn("_listed", F.lit(number)).select(*[quoted(c) for c in kept], RAW, PROBLEM, *place))
-            names += [c for c in kept if c not in names]
+            names += [c for c in kept.values() if c not in names]
+            columns = [F.col(c).alias(f"t{names.index(name)}") for c, name in kept.items()]
+            frames.append(frame.select(*columns, RAW, PROBLEM, F.lit(number).alias("_listed"), *[c for c in POSITION if c != "_listed"]))
     texts = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    at = {name: f"t{i}" for i, name in enumerate(names)}
 
     forced = {c: _dtype(c, t) for c, t in (options.dtype or {}).items() if c in names}
     dates = options.parse_dates if isinstance(options.parse_dates, list) else []
     free = [c for c in names if c not in forced]
-    kinds = {**_infer(texts.filter(F.col(PROBLEM).isNull()), free, dates), **forced}
-    typed = [_converted(quoted(c), kinds[c]) for c in names]
+    if free:
+        # Parsed once: the types are told from what the result is made of.
+        texts = write_table(texts, "records")
+    inferred = _infer(texts.filter(F.col(PROBLEM).isNull()), [at[c] for c in free], [at[c] for c in dates if c in free])
+    kinds = {**{c: inferred[at[c]] for c in free}, **forced}
+    typed = [_converted(F.col(at[c]), kinds[c]) for c in names]
     unfit = [
         F.when(
-            quoted(c).isNotNull() & (~_fits(quoted(c), kind) | _converted(quoted(c), kind).isNull()),
+            F.col(at[c]).isNotNull() & (~_fits(F.col(at[c]), kind) | _converted(F.col(at[c]), kind).isNull()),
             F.lit(f"{c}: not {options.dtype[c]}"),
         )
         for c, kind in forced.items()
@@ -400,7 +428,7 @@ def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = Fals
     ]
     # A line whose field count is right has no raw text; give the rejected ones theirs.
     found = F.coalesce(F.col(PROBLEM), *unfit)
-    again = F.coalesce(F.col(RAW), F.concat_ws(options.delimiter, *[F.coalesce(quoted(c), F.lit("")) for c in names]))
+    again = F.coalesce(F.col(RAW), F.concat_ws(options.delimiter, *[F.coalesce(at[c], F.lit("")) for c in names]))
 
     shown = names
     if options.column_names:
@@ -412,16 +440,27 @@ def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = Fals
     # A column without values is shown as doubles, and marked.
     empty = [isinstance(kinds[c], T.NullType) for c in names]
     typed = [F.lit(None).cast("double").alias(n, metadata=EMPTY) if e else c.alias(n) for c, n, e in zip(typed, shown, empty)]
-    return texts.select(
-        *typed,
-        F.when(found.isNotNull(), again).alias(RAW),
-        found.alias(PROBLEM),
-        *place,
-    )
+    return _Parsed(texts, typed, shown, F.when(found.isNotNull(), again), found)
+
+
+def parse_csv(spark: SparkSession, paths: str | list[str], position: bool = False, **settings) -> DataFrame:
+    """All records in one frame, with ``_raw`` and ``_problem`` set for the lines that are none.
+
+    A line with too few fields is filled with nulls; one with too many, or with a value that its
+    ``dtype`` does not allow, is a problem. ``position`` adds the place of each record. Columns of the file must not differ from
+    these or from each other by case only; ``read_csv`` takes any.
+    """
+    parsed = _parse(spark, paths, CsvOptions(**settings))
+    added = [RAW, PROBLEM, *(POSITION if position else [])]
+    taken = [n.lower() for n in [*parsed.names, *added]]
+    twice = sorted({n for n in parsed.names if taken.count(n.lower()) > 1})
+    if twice:
+        raise ValueError(f"columns that can't be told apart, rename them by column_names: {twice}")
+    return parsed.texts.select(*parsed.columns, parsed.raw.alias(RAW), parsed.problem.alias(PROBLEM), *added[2:])
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], **settings) -> CsvRead:
     """Records and rejected lines of one or more files; see ``CsvOptions`` for the settings."""
-    parsed = parse_csv(spark, paths, **settings)
-    rows = parsed.filter(F.col(PROBLEM).isNull()).drop(RAW, PROBLEM)
-    return CsvRead(rows, parsed.filter(F.col(PROBLEM).isNotNull()).select(RAW, PROBLEM))
+    parsed = _parse(spark, paths, CsvOptions(**settings))
+    rows = parsed.texts.filter(parsed.problem.isNull()).select(*parsed.columns)
+    return CsvRead(rows, parsed.texts.filter(parsed.problem.isNotNull()).select(parsed.raw.alias(RAW), parsed.problem.alias(PROBLEM)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import random
 from datetime import datetime
 
 import pytest
@@ -87,9 +90,46 @@ def test_records_over_several_lines(spark, write):
     assert rows(read_csv(spark, path).rows) == [("x\ny", 1), ("z", 2)]
     assert rows(read_csv(spark, path, nrows=1).rows) == [("x\ny", 1)]
     assert rows(read_csv(spark, write('top,\n"a\nb",c\n1,2\n', "u.csv"), header=1).rows.select("*")) == [(1, 2)]
-    for settings in ({"multiline": False}, {"skiprows": 1, "header": None}):
-        read = read_csv(spark, path, **settings)
-        assert ('"x', "a quote is not closed") in [tuple(r) for r in read.rejects.collect()]
+    assert sorted(rows(read_csv(spark, path, skiprows=1, header=None).rows)) == [("x\ny", 1), ("z", 2)]
+    assert rows(read_csv(spark, path, skiprows=[1]).rows) == [("z", 2)]
+    read = read_csv(spark, path, multiline=False)
+    assert ('"x', "a quote is not closed") in [tuple(r) for r in read.rejects.collect()]
+    crlf = write('a,b\r\n"x\r\n\r\ny",1\r\n"",2\r\n', "crlf.csv")
+    assert sorted(rows(read_csv(spark, crlf).rows), key=str) == [("x\r\n\r\ny", 1), (None, 2)]
+
+
+def test_unclosed_quotes_cost_one_line(spark, write):
+    read = read_csv(spark, write('a,b\n0,"p\nq"\n1,"abc\n2,def\n3,"g"\n4,"h\n5,i\n'))
+    # The quote of line 4 opens last, as that of line 1 ends at the next one.
+    assert sorted(r.a for r in read.rows.collect()) == [0, 1, 5]
+    assert [tuple(r) for r in read.rejects.collect()] == [('4,"h', "a quote is not closed")]
+    only = read_csv(spark, write('a,b\n1,"abc\n2,def\n3,ghi\n', "only.csv"))
+    assert sorted(rows(only.rows)) == [(2, "def"), (3, "ghi")]
+    assert [tuple(r) for r in only.rejects.collect()] == [('1,"abc', "a quote is not closed")]
+
+
+def test_names_of_any_kind(spark, write):
+    read = read_csv(spark, write("a,A,_raw,_problem,c0,t1\n1,2,3,4,5,6\n7,8,9,10,11,12,13\n"))
+    assert read.rows.columns == ["a", "A", "_raw", "_problem", "c0", "t1"] and rows(read.rows) == [(1, 2, 3, 4, 5, 6)]
+    assert [tuple(r) for r in read.rejects.collect()] == [("7,8,9,10,11,12,13", "more than 6 fields")]
+
+
+def test_records_over_many_splits_equal_one_task(spark, write):
+    """A file cut into splits of a few bytes, at all kinds of places of its records, against a plain reader."""
+    rng = random.Random(9)
+    pieces = ["x", "yy", "\n", '""', ",", "é", "\n\n", " ", "zzzz", '"",""\n']
+    field = lambda: f'"{"".join(rng.choice(pieces) for _ in range(rng.randrange(0, 12)))}"' if rng.random() < 0.5 else rng.choice(["p", 'q"r', "s t"])
+    text = "k,l,m\n" + "".join(f"{k},{field()},{field()}\n" for k in range(150))
+    expected = [tuple(v if v not in ("",) else None for v in r) for r in list(csv.reader(io.StringIO(text, newline="")))[1:]]
+    settings = {"spark.sql.files.maxPartitionBytes": "61", "spark.sql.files.openCostInBytes": "1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        read = read_csv(spark, write(text), dtype={"k": "str", "l": "str", "m": "str"})
+        assert sorted(rows(read.rows), key=str) == sorted(expected, key=str) and read.rejects.count() == 0
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
 
 
 def test_quotes_that_close(spark, write):
