@@ -228,7 +228,7 @@ class _Lookup:
     def __init__(self, folder: str, name: str):
         system, root = open_store(folder)
         with system.open_input_stream(f"{root}/{name}.dir", compression=None) as beside:
-            lines = [line.rsplit(" ", 2) for line in beside.read().decode().splitlines()]
+            lines = [line.rsplit(" ", 2) for line in beside.read().decode().split("\n")[:-1]]
         self.first = [line[0] for line in lines]
         self.spans = [(int(line[1]), int(line[2])) for line in lines]
         self.file = system.open_input_file(f"{root}/{name}")

@@ -91,3 +91,11 @@ def test_near_ranges_are_read_at_once():
     found = [("a", 0, 10), ("a", 10, 5), ("a", 10**9, 5), ("b", 3, 4)]
     ranges = list(warc._ranges(found))
     assert [(f, s, n, len(p)) for f, s, n, p in ranges] == [("a", 0, 15, 2), ("a", 10**9, 5, 1), ("b", 3, 4, 1)]
+
+
+def test_urls_with_unicode_line_ends(spark, monkeypatch):
+    """Every block starts with such a key."""
+    monkeypatch.setattr(warc, "LINES_PER_BLOCK", 1)
+    rows = [(k, f"http://a.com/a{end}x{k} y", f"<p>{k}</p>") for k, end in enumerate("\x85\u2028\u2029\x1c\x0b\x0c")]
+    pages = made(spark, rows, 2)
+    assert read_all(warc.write_archives(pages), pages) == expected(rows)
