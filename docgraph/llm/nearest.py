@@ -10,11 +10,13 @@
 4. Cells are dealt in blocks of about ``BLOCK`` vectors, chosen by a hash, so a crowded cell is many tasks. A task holds one block at a time, and
    its queries pass by in batches: scores are a matrix product, and only the k best of each query leave. The best of all blocks are merged.
 
-Inner products are exact: float64 matrix products where all sums stay below 2**53, integer ones otherwise.
+Inner products are exact: float64 matrix products where all sums stay below 2**53, integer ones below 2**62, else numbers of any size for all vectors
+that the float64 products, within their error, leave among the k best.
 
 Defined results: a vector that is null, empty, or has a null or non-finite component takes no part, as query or candidate; nor does a row
-without id, or a vector with a component beyond ``LARGEST`` after scaling, whose products could leave 64 bits. Only vectors of equal length are
-compared. Equal scores go to the smaller id. Rows that share an id count once, with the smallest of their vectors.
+without id, or a vector with a component beyond ``LARGEST`` after scaling, as its integers don't fit 64 bits. A score among the k best that doesn't fit a
+long ends the job. Only vectors of equal length are compared. Equal scores go to the smaller id. Rows that share an id count once, with the smallest of their vectors. Without
+rows, queries or candidates there is no result. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from docgraph.plans.scratch import write_table
 SCALE = 1024
 PIVOTS = 64
 BLOCK = 16_384
-LARGEST = 1 << 27
+LARGEST = 1 << 62
 
 _SCORES = "query_id bigint, vec_id bigint, score bigint"
 
@@ -50,12 +52,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), np.int64).reshape(len(column), -1)
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of both."""
+def _products(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
+    """Inner products of the rows of both, and by how much they may be wrong: 0, unless they could leave 64 bits."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2**53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64), 0
+    if most < 2**62:
+        return a @ b.T, 0
+    return a.astype(np.float64) @ b.T.astype(np.float64), most * (a.shape[1] + 2) * 2.0**-52
 
 
 class Pivots:
@@ -138,11 +142,13 @@ def _search(k: int):
 
 def _best(block: np.ndarray, ids: list[list[int]], queries: np.ndarray, query_ids: list[int], k: int) -> pa.RecordBatch:
     rows: list[tuple[int, int, int]] = []
-    scores = _products(queries, block)
-    for query, own in zip(scores, query_ids):
+    scores, error = _products(queries, block)
+    for vector, query, own in zip(queries, scores, query_ids):
         # Of k + 1 vectors at most one is the query's own.
         least = np.partition(query, -(k + 1))[-(k + 1)] if len(query) > k + 1 else query.min()
-        found = [(-int(query[at]), other) for at in np.flatnonzero(query >= least).tolist() for other in ids[at] if other != own]
+        near = np.flatnonzero(query >= least - 2 * error).tolist()
+        exact = {at: int(query[at]) if not error else sum(x * y for x, y in zip(vector.tolist(), block[at].tolist())) for at in near}
+        found = [(-exact[at], other) for at in near for other in ids[at] if other != own]
         rows += [(own, other, -score) for score, other in sorted(found)[:k]]
     columns = list(zip(*rows)) or [[], [], []]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])

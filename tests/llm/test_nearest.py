@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import random
 
 import numpy as np
@@ -64,3 +66,15 @@ def test_far_cells_are_not_visited(spark):
 def test_products_beyond_the_range_of_floats_are_exact():
     a = np.array([[2**27, 1], [3, -(2**27)]], np.int64)
     assert nearest._products(a, a).tolist() == [[2**54 + 1, 2 * 2**27], [2 * 2**27, 2**54 + 9]]
+
+
+def test_large_finite_components(spark):
+    vectors = {0: [1.0, 0.5], 1: [1.0, 200_000.0], 2: [-3.0e6, 4.0e6], 3: [1.0e12, -1.0e3], 4: [2.0**-10, 3.0], 5: [float("inf"), 1.0], 6: [1.0, None]}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>")
+    found = [(r.query_id, r["rank"], r.vec_id, r.score) for r in nearest.top_k(frame, F.col("vec_id") <= 1, k=3).collect()]
+    whole = {i: [math.floor(x * 1024) for x in v] for i, v in vectors.items() if i < 5}
+    expected = []
+    for q in (0, 1):
+        scores = sorted(((sum(a * b for a, b in zip(whole[q], v)), -i) for i, v in whole.items() if i != q), reverse=True)[:3]
+        expected += [(q, k + 1, -i, score) for k, (score, i) in enumerate(scores)]
+    assert sorted(found) == expected
