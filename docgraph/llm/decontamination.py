@@ -15,8 +15,9 @@ Neighbouring windows found are joined to one passage; its edits are the most of
 the budget allows, it may reach some bytes over a verbatim fragment. Every document is scanned whole, in one pass without a shuffle; the q-grams of
 the benchmark are shared with all tasks in blocks of ``BLOCK_BYTES`` of text, and a larger benchmark takes one pass per block.
 
-Defined results: items of fewer than ``SHORTEST`` bytes after normalisation are too short to prove anything and are never found. Null and
-empty texts hold nothing. Repeated rows of documents are reported each; items that share their ``item_id`` are reported under it;
+Defined results: items of fewer than ``SHORTEST`` bytes after normalisation are found where they stand verbatim and whole, from word to word; those of fewer
+than ``LEAST_WORDS`` words (or ``Q`` bytes) prove nothing and are never found. Without items or documents nothing is found. Null and
+empty texts hold nothing. Very long texts are treated whole. ``docs`` keep their columns but one named like the result. Repeated rows of documents are reported each; items that share their ``item_id`` are reported under it;
 items without id are left out. Positions are characters of the original text, the end exclusive.
 """
 
@@ -36,6 +37,7 @@ STRIDE = 1
 ERRORS = 0.08
 Q = 10
 SHORTEST = 40
+LEAST_WORDS = 4
 BAND = 8
 ALIGNED = 2048
 BLOCK_BYTES = 4_000_000
@@ -65,7 +67,7 @@ def windows_of(length: int) -> list[tuple[int, int]]:
 
 
 def budget(length: int) -> int:
-    return int(ERRORS * length)
+    return int(ERRORS * length) if length >= SHORTEST else 0
 
 
 def least_shared(length: int) -> int:
@@ -83,7 +85,7 @@ class Block:
         for k, item in enumerate(ids):
             own = text[bounds[k] : bounds[k + 1]]
             own = own[:-1] if len(own) and own[-1] == 32 else own
-            if len(own) < SHORTEST:
+            if len(own) < Q or len(own) < SHORTEST and (own == 32).sum() + 1 < LEAST_WORDS:
                 continue
             found = qgram_hashes(own)
             hashes.append(found)
@@ -224,6 +226,12 @@ def _verified(block: Block, text: np.ndarray, bounds: np.ndarray, length: int, s
     found, edits, first, last = align_all(
         windows, text, begins, bounds[rows + 1] - begins, lows + starts, BAND + budget(WINDOW), budget(length)
     )
+    if length < SHORTEST:
+        # A short item counts as whole words only.
+        padded = np.append(text, np.uint8(32))
+        row = rows[found]
+        free = ((first == 0) | (padded[bounds[row] + first - 1] == 32)) & ((bounds[row] + last == bounds[row + 1]) | (padded[bounds[row] + last] == 32))
+        found, edits, first, last = found[free], edits[free], first[free], last[free]
     start = starts[found]
     yield from zip(*(x.tolist() for x in (rows[found], items[found], start, start + length, first, last, edits)))
 

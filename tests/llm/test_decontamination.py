@@ -156,3 +156,17 @@ def test_alignment_of_many_windows_is_that_of_each():
     for k, e, a, b in zip(found, edits, first, last):
         own = text[begins[k] : begins[k + 1]].tolist()
         assert fewest_edits(windows[:, k].tolist(), own) == fewest_edits(windows[:, k].tolist(), own[a:b]) == e
+
+
+def test_short_items_are_found_whole(spark):
+    items = [(1, "What is the capital city of France?"), (2, "two words"), (3, "Name the largest ocean"), (4, "what is the cap")]
+    texts = [
+        "so: what is the CAPITAL city of France - Paris", "What is the capital city of Frances", "What is a capital city of France?", "two words",
+        "xname the largest ocean", "Name the  largest, ocean", "Name the largest ocean" + " more" * 50 + " name the largest ocean!",
+    ]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = dc.benchmark_passages(documents(spark, list(enumerate(texts))), benchmark, into="found").collect()
+    found = {r.doc_id: [(p.item_id, r.text[p.doc_start : p.doc_end], p.edits) for p in r.found] for r in rows}
+    assert found[0] == [(1, "what is the CAPITAL city of France", 0)]
+    assert found[1] == found[2] == found[3] == found[4] == []
+    assert [p[0] for p in found[5]] == [3] and [p[0] for p in found[6]] == [3, 3]
