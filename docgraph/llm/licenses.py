@@ -6,9 +6,12 @@ template shares a fingerprint. Templates whose allowed gaps may leave shorter ru
 is left in any case (``run_left``). The templates' fingerprints are an inverted index (hash to template and position), shared with all tasks in
 blocks of ``BLOCK_BYTES`` of text. Fingerprints of a document found in the index point to a template and a diagonal (position in the document minus
 position in the template); neighbouring diagonals are one candidate region. There the template is aligned with the document inside the band
-of diagonals, for the largest number of equal words. A region that covers at least ``COVERAGE`` of the template's words is reported.
+of diagonals, for the largest number of equal words. Coverage is their number by the words of the template or of the matched span, whichever is longer, so
+inserted words cost as much as missing ones; a match of at least ``COVERAGE`` is reported, and of matches that overlap the one with the most equal words less
+the others counts.
 
-Defined results: null and empty texts, and templates of fewer than ``SHINGLE`` words, match nothing. A document that holds a template several times has a
+Defined results: without templates or documents nothing is found. Very long texts are treated whole. ``docs`` keep their columns but one named like the
+result. Null and empty texts, and templates of fewer than ``SHINGLE`` words, match nothing. A document that holds a template several times has a
 row for each. Repeated rows are reported each. Templates with the same id are reported under it; those without id are left out. Positions
 are characters of the original text, the end exclusive.
 """
@@ -44,6 +47,7 @@ LEAST_SLACK = 3
 BLOCK_BYTES = 8_000_000
 _FLAG_BITS = 22
 
+_NAMES = ["template_id", "coverage", "matched_words", "start", "end"]
 MATCH = "struct<template_id:string,coverage:double,matched_words:int,start:int,end:int>"
 
 
@@ -142,7 +146,31 @@ class Templates:
 
 
 def slack(length: int) -> int:
-    return max(LEAST_SLACK, int(SLACK * length))
+    """Less than the template's length, so that a template and its repetition right behind it are two regions."""
+    return min(max(LEAST_SLACK, int(SLACK * length)), max(length - 1, 0))
+
+
+def best_apart(found: list[tuple]) -> list[tuple]:
+    """Of matches (template id, coverage, matched words, start, end) that overlap, the one with the most equal words less the others; in the order of
+    the text. Templates that match the same words as well as each other all stay."""
+    value = lambda m: 2 * m[2] - round(m[2] / m[1])
+    same = lambda m, n: m[3:] == n[3:] and value(m) == value(n)
+    kept: list[tuple] = []
+    for match in sorted(set(found), key=lambda m: (-value(m), -m[1], m[3], m[4], m[0])):
+        if all(match[4] <= other[3] or other[4] <= match[3] or same(match, other) for other in kept):
+            kept.append(match)
+    return sorted(kept, key=lambda m: (m[3], m[4], m[0]))
+
+
+def tightened(words: np.ndarray, places: list[int]) -> list[int]:
+    """Places of the same words with the same last one, each as late as possible."""
+    places = list(places)
+    for k in range(len(places) - 2, -1, -1):
+        at = places[k + 1] - 1
+        while words[at] != words[places[k]]:
+            at -= 1
+        places[k] = at
+    return places
 
 
 def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> list[int]:
@@ -171,7 +199,7 @@ def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> list[
 
 
 def matches(templates: Templates, texts: pa.Array, coverage: float) -> list[list[tuple]]:
-    """For each text (template id, coverage, matched words, start, end) of the templates found."""
+    """For each text (template id, coverage, matched words, start, end) of all templates found, also where they overlap."""
     words, firsts, lasts, bounds, raw = words_of(texts)
     offsets = column_bytes(texts)[1]
     found: list[list[tuple]] = [[] for _ in range(len(texts))]
@@ -182,18 +210,20 @@ def matches(templates: Templates, texts: pa.Array, coverage: float) -> list[list
         near = own[max(0, low - slack(size)) : max(0, high + slack(size) + size)]
         if np.isin(templates.words[template], near).sum() < coverage * size:
             continue
-        places = align(templates.words[template], own, low, high)
-        if len(places) < coverage * len(templates.words[template]):
+        places = tightened(own, align(templates.words[template], own, low, high))
+        # Words that stand between matched ones cost as much as words that are missing.
+        whole = max(size, places[-1] - places[0] + 1) if places else size
+        if len(places) < coverage * whole:
             continue
         chars = character_numbers(raw[offsets[row] : offsets[row + 1]])
         start = int(chars[firsts[bounds[row] + places[0]] - offsets[row]])
         end = int(chars[lasts[bounds[row] + places[-1]] - offsets[row]]) + 1
-        found[row].append((templates.ids[template], len(places) / len(templates.words[template]), len(places), start, end))
+        found[row].append((templates.ids[template], len(places) / whole, len(places), start, end))
     return [sorted(set(f), key=lambda m: (m[3], m[4], m[0], m[1])) for f in found]
 
 
 def _scanner(shared, coverage: float):
-    names = ["template_id", "coverage", "matched_words", "start", "end"]
+    names = _NAMES
     kind = pa.list_(pa.struct(list(zip(names, [pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]))))
 
     @F.arrow_udf(f"array<{MATCH}>")
@@ -201,19 +231,28 @@ def _scanner(shared, coverage: float):
         for column in columns:
             found: list = []
             for part in slices([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
-                found += [[dict(zip(names, m)) for m in row] for row in matches(shared.value, part.column("text"), coverage)]
+                found += [[dict(zip(names, m)) for m in best_apart(row)] for row in matches(shared.value, part.column("text"), coverage)]
             yield pa.array(found, kind)
 
     return scan
 
 
+def _best(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Matches of several blocks of templates may overlap, too."""
+    for column in columns:
+        best = [best_apart([tuple(m.values()) for m in row or []]) for row in column.to_pylist()]
+        yield pa.array([[dict(zip(_NAMES, m)) for m in row] for row in best], column.type)
+
+
 def scan_licenses(docs: DataFrame, templates: DataFrame, coverage: float = COVERAGE, into: str = "licenses") -> DataFrame:
     """``docs`` with an array of the templates (``template_id``, ``text``) that each text holds."""
     spark = docs.sparkSession
     small_batches(spark)
     found = F.array().cast(f"array<{MATCH}>")
     templates = templates.select(F.col("template_id").cast("string").alias("template_id"), "text")
+    blocks = 0
     for rows in text_blocks(templates, "template_id", BLOCK_BYTES):
+        blocks += 1
         block = Templates([i for i, _ in rows], [t for _, t in rows], coverage)
         found = F.concat(found, _scanner(spark.sparkContext.broadcast(block), coverage)(F.col("text")))
-    return docs.withColumn(into, found)
+    return docs.withColumn(into, F.arrow_udf(_best, f"array<{MATCH}>")(found) if blocks > 1 else found)

@@ -130,3 +130,23 @@ def test_whole_texts_and_common_families():
     }
     found = licenses.matches(index, licenses.pa.array([f"one two {t} three four" for t in lines.values()]), licenses.COVERAGE)
     assert [name for name, hits in zip(lines, found) if name not in [m[0] for m in hits]] == []
+
+
+def test_no_other_template_than_the_one_that_stands_there(spark):
+    """Every template alone in a text, and the one-line references with words around: nothing else is found."""
+    rows = [(k, f"before {text} after") for k, text in enumerate(TEMPLATES.values())]
+    found = {r.doc_id: [m.template_id for m in r.found] for r in scan(spark, rows)}
+    assert found == {k: [name] for k, name in enumerate(TEMPLATES)}
+
+
+def test_repeats_right_behind_each_other(spark):
+    line = "All rights reserved."
+    (name,) = [k for k, text in TEMPLATES.items() if text == line]
+    found = {r.doc_id: [(m.template_id, m.coverage) for m in r.found] for r in scan(spark, [(n, " ".join([line] * n)) for n in (1, 2, 5)])}
+    assert found == {n: [(name, 1.0)] * n for n in (1, 2, 5)}
+
+
+def test_inserted_words_cost():
+    assert licenses.tightened(np.array([7, 1, 7, 2, 3]), [0, 3, 4]) == [2, 3, 4]
+    near, far, other = ("a", 0.9, 9, 0, 10), ("b", 1.0, 5, 4, 9), ("c", 1.0, 5, 12, 17)
+    assert licenses.best_apart([far, near, other, near]) == [near, other]
