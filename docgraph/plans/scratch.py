@@ -18,11 +18,13 @@ LEAST_PER_BUCKET = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; every executor must reach it."""
+    """The folder the cluster names in ``spark.checkpoint.dir``, with its file system; every executor must reach it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return named
+    # Without a scheme it belongs to the default file system, whoever opens it.
+    path = spark._jvm.org.apache.hadoop.fs.Path(named)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def _own_folder(spark: SparkSession) -> str:
