@@ -52,14 +52,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), np.int64).reshape(len(column), -1)
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
-    """Inner products of the rows of both, and by how much they may be wrong: 0, unless they could leave 64 bits."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < 2**53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64), 0
-    if most < 2**62:
-        return a @ b.T, 0
-    return a.astype(np.float64) @ b.T.astype(np.float64), most * (a.shape[1] + 2) * 2.0**-52
+def _most(a: np.ndarray, b: np.ndarray) -> float:
+    """A bound of the inner products of the rows of both."""
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of both: exact, unless they could leave 64 bits."""
+    if _most(a, b) < 2**53:
+        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+    return a @ b.T if _most(a, b) < 2**62 else a.astype(np.float64) @ b.T.astype(np.float64)
+
+
+def _error(a: np.ndarray, b: np.ndarray) -> float:
+    """By how much ``_products`` may be wrong."""
+    return 0 if _most(a, b) < 2**62 else _most(a, b) * (a.shape[1] + 2) * 2.0**-52
 
 
 class Pivots:
@@ -142,7 +149,7 @@ def _search(k: int):
 
 def _best(block: np.ndarray, ids: list[list[int]], queries: np.ndarray, query_ids: list[int], k: int) -> pa.RecordBatch:
     rows: list[tuple[int, int, int]] = []
-    scores, error = _products(queries, block)
+    scores, error = _products(queries, block), _error(queries, block)
     for vector, query, own in zip(queries, scores, query_ids):
         # Of k + 1 vectors at most one is the query's own.
         least = np.partition(query, -(k + 1))[-(k + 1)] if len(query) > k + 1 else query.min()
