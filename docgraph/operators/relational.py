@@ -39,6 +39,10 @@ def filter_in(df: DataFrame, field: str, values: Iterable) -> DataFrame:
     given = spark.createDataFrame([(v,) for v in values], ["_value"] if values else StructType([StructField("_value", kind)]))
     if isinstance(given.schema["_value"].dataType, StringType):
         given = given.select(F.col("_value").try_cast(kind).alias("_value"))
+    # What the scan can skip by its own statistics; the join decides.
+    least, most = given.agg(F.min("_value"), F.max("_value")).first()
+    if least is not None:
+        df = df.filter((df[field] >= F.lit(least)) & (df[field] <= F.lit(most)))
     return df.join(given, df[field] == given["_value"], "left_semi")
 
 

@@ -11,23 +11,25 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.plans.groups import collect_pages, exact_median
+from docgraph.plans.groups import collect_pages, with_median
 
 SINGLE = ["start_value", "max_depth", "direction"]
 BATCH = ["num_start_values", "direction"]
 
 
 def _config_median(runs: DataFrame, keys: list[str], order: str) -> DataFrame:
-    medians = exact_median(runs, keys, "latency_ms").withColumnRenamed("median", "median_latency_ms")
     success = F.when(F.col("latency_ms").isNotNull(), F.col(order))
-    last = runs.groupBy(*keys).agg(
+    found = with_median(
+        runs,
+        keys,
+        "latency_ms",
         F.count("latency_ms").alias("successful_runs"),
         F.coalesce(F.max_by("edge_count", success), F.lit(0)).alias("edge_count"),
         F.coalesce(F.max_by("node_count", success), F.lit(0)).alias("node_count"),
         F.max_by("error", F.when(F.col("error").isNotNull(), F.col(order))).alias("error"),
         F.min(order).alias("first_run"),
     )
-    return last.join(medians, keys, "left").fillna(0.0, ["median_latency_ms"])
+    return found.withColumnRenamed("median", "median_latency_ms").fillna(0.0, ["median_latency_ms"])
 
 
 def run_config_median(runs: DataFrame, order: str = "run_no") -> DataFrame:
@@ -56,19 +58,18 @@ def run_summary(medians: DataFrame, exclude_failed: bool = False) -> DataFrame:
     keys = ["direction", "max_depth"]
     if exclude_failed:
         medians = medians.filter(F.col("successful_runs") > 0)
-    middle = exact_median(medians, keys, "median_latency_ms").withColumnRenamed("median", "median_latency_ms")
-    return (
-        medians.groupBy(*keys)
-        .agg(
-            F.avg("median_latency_ms").alias("avg_latency_ms"),
-            F.min("median_latency_ms").alias("min_latency_ms"),
-            F.max("median_latency_ms").alias("max_latency_ms"),
-            F.avg("edge_count").alias("avg_edge_count"),
-            F.avg("node_count").alias("avg_node_count"),
-            F.count(F.lit(1)).alias("num_tests"),
-        )
-        .join(middle, keys)
+    found = with_median(
+        medians,
+        keys,
+        "median_latency_ms",
+        F.avg("median_latency_ms").alias("avg_latency_ms"),
+        F.min("median_latency_ms").alias("min_latency_ms"),
+        F.max("median_latency_ms").alias("max_latency_ms"),
+        F.avg("edge_count").alias("avg_edge_count"),
+        F.avg("node_count").alias("avg_node_count"),
+        F.count(F.lit(1)).alias("num_tests"),
     )
+    return found.withColumnRenamed("median", "median_latency_ms")
 
 
 def run_summary_multi(medians: DataFrame, order: str = "first_run") -> DataFrame:

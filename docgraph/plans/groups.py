@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from docgraph.plans.scratch import write_table
 
 
+# Entries of a quantile sketch: its ranks are wrong by a share of 1 / SKETCH at most. Half the width of a bracket, as a share of the group.
+SKETCH = 10_000
+BRACKET = 4 / SKETCH
+
+
 def _on(keys: list[str], other: str) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -15,51 +20,37 @@ def _on(keys: list[str], other: str) -> Column:
     return condition
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """``keys`` and the exact ``median`` of the non-null values as a double (mean of the middle two if even).
+def with_median(df: DataFrame, keys: list[str], value: str, *aggregates: Column) -> DataFrame:
+    """``keys``, the ``aggregates``, and the exact ``median`` of the non-null values as a double (mean of the middle two if even; null without values).
 
-    Equal values are counted first, and the rest is range-partitioned by group and value, so that a large group is spread
-    over as many tasks as it has shares; ranks come from the counts of the pieces before.
+    A quantile sketch, merged from the tasks' own, gives each group a bracket that holds the middle. A second pass counts what lies below it, and
+    the copies of each value inside, before anything is shuffled; only values inside are ranked. So no group is sorted, whatever its size.
     """
-    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = values.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_copies"))
-    pieces = write_table(
-        counted.repartitionByRange(partitions, *keys, "_value").withColumn("_piece", F.spark_partition_id()),
-        "median",
-    )
-    # At most one row per group and partition here.
-    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    offsets = (
-        pieces.groupBy(*keys, "_piece")
-        .agg(F.sum("_copies").alias("_in_piece"))
-        .withColumn("_before", F.coalesce(F.sum("_in_piece").over(earlier), F.lit(0)))
-        .withColumn("_total", F.sum("_in_piece").over(whole))
-        # Only the pieces that hold a middle row need their rows ranked.
-        .filter(
-            (F.col("_before") <= F.floor(F.col("_total") / 2))
-            & (F.col("_before") + F.col("_in_piece") >= F.floor((F.col("_total") + 1) / 2))
-        )
-        .select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_piece").alias("_of_piece"), "_before", "_total")
-    )
-    upto = Window.partitionBy(*keys, "_piece").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        pieces.join(offsets, _on(keys, "_of_") & (F.col("_piece") == F.col("_of_piece")))
-        .withColumn("_last", F.col("_before") + F.sum("_copies").over(upto))
-        .withColumn("_first", F.col("_last") - F.col("_copies") + 1)
-    )
+    # The sketch is one of doubles, which may be the same for different values but keep their order; NaN is the largest value.
+    near = F.nanvl(F.col(value).cast("double"), F.lit(float("inf")))
+    bracket = F.percentile_approx(near, [0.5 - BRACKET, 0.5 + BRACKET], SKETCH).alias("_bracket")
+    groups = df.groupBy(*keys).agg(*aggregates, bracket, F.count(value).alias("_total"))
+    brackets = groups.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_bracket", "_total")
+    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"), near.alias("_near"))
+    inside = values.join(brackets, _on(keys, "_of_")).filter(F.col("_near") <= F.col("_bracket")[1])
+    inside = inside.withColumn("_value", F.when(F.col("_near") >= F.col("_bracket")[0], F.col("_value")))
+    counted = inside.groupBy(*keys, "_total", "_value").agg(F.count(F.lit(1)).alias("_copies"))
+    # Null stands for all values below, and comes first.
+    upto = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_last", F.sum("_copies").over(upto)).withColumn("_first", F.col("_last") - F.col("_copies") + 1)
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
     holds = lambda rank: (F.col("_first") <= rank) & (rank <= F.col("_last"))
-    return (
-        ranked.groupBy(*keys)
-        .agg(
-            F.max(F.when(holds(low), F.col("_value"))).alias("_low"),
-            F.max(F.when(holds(high), F.col("_value"))).alias("_high"),
-        )
-        # Halved first: the sum of two large values need not fit.
-        .select(*keys, (F.col("_low").cast("double") / 2 + F.col("_high").cast("double") / 2).alias("median"))
-    )
+    lowest = F.max(F.when(holds(low), F.col("_value"))).cast("double")
+    highest = F.max(F.when(holds(high), F.col("_value"))).cast("double")
+    # Halved first: the sum of two large values need not fit.
+    medians = ranked.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg((lowest / 2 + highest / 2).alias("median"))
+    shown = [c for c in groups.columns if c not in ("_bracket", "_total")]
+    return groups.join(medians, _on(keys, "_of_"), "left").select(*shown, "median")
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys`` and the exact ``median`` of the groups that have a value."""
+    return with_median(df.filter(F.col(value).isNotNull()), keys, value)
 
 
 def collect_pages(df: DataFrame, keys: list[str], item: Column, as_field: str, page_rows: int) -> DataFrame:

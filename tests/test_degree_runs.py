@@ -94,6 +94,16 @@ def test_profile(spark):
     assert profile.profile_head(df.filter(F.col("s").isNotNull()), "s", 1).first().s == "a"
 
 
+def test_filter_in_prunes_the_scan(spark, tmp_path):
+    spark.range(10_000).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    for values in ([5, 7, 9], range(0, 3000, 2), ["5", "7"]):
+        found = relational.filter_in(table, "id", values)
+        plan = found._jdf.queryExecution().toString()
+        assert "GreaterThanOrEqual(id," in plan and "LessThanOrEqual(id," in plan
+        assert found.count() == len(values)
+
+
 def test_filter_in_takes_any_list(spark):
     df = spark.range(10).selectExpr("id AS x", "CAST(id AS STRING) AS k", "id * 2 AS y")
     for values in (["1", "2", "none"], [1, "2", None], [1, 2], [1.0, 2.0, 2.5]):

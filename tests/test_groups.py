@@ -22,6 +22,19 @@ def test_exact_median(spark):
     assert {r.k: pytest.approx(r.median) for r in got} == expected
 
 
+def test_median_of_large_groups(spark):
+    """Groups far larger than a sketch, in an order that is hard on it, with many ties and with few."""
+    rows = spark.range(0, 300_001, 1, 7).selectExpr("IF(id % 3 = 0, 'a', IF(id % 3 = 1, 'b', 'c')) AS k", "id")
+    rows = rows.selectExpr("k", "CASE k WHEN 'a' THEN (id * 7919) % 300007 WHEN 'b' THEN id % 5 ELSE -id END + 0.25D AS x")
+    got = {r.k: r.median for r in exact_median(rows, ["k"], "x").collect()}
+    own: dict = {}
+    for r in rows.collect():
+        own.setdefault(r.k, []).append(r.x)
+    assert got == {k: statistics.median(x) for k, x in own.items()}
+    nan = spark.createDataFrame([(1, 1.0), (1, float("nan")), (1, 3.0), (2, float("inf")), (2, float("-inf")), (2, 0.0)], "k int, x double")
+    assert {r.k: r.median for r in exact_median(nan, ["k"], "x").collect()} == {1: 3.0, 2: 0.0}
+
+
 def test_median_of_large_values(spark):
     df = spark.createDataFrame([(1, 2**63 - 1), (1, 2**63 - 3), (2, -(2**63))], "k int, x long")
     got = {r.k: r.median for r in exact_median(df, ["k"], "x").collect()}
