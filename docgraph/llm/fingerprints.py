@@ -139,7 +139,7 @@ def with_near_counts(found: DataFrame, is_query: Column, radius: int = RADIUS, s
 def _chain(docs: DataFrame) -> DataFrame:
     """For each ``_id`` the ``_next`` smaller one (the largest after the smallest), and the ``_before`` it is next of with its ``_half``."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.groupBy("_id").agg(F.max(F.floor(F.col("_n") / 2)).alias("_half"))
+    ids = docs.groupBy("_id").agg(F.max(F.floor(F.char_length("_text") / 2)).alias("_half"))
     ids = write_table(ids.repartitionByRange(partitions, F.desc("_id")).withColumn("_piece", F.spark_partition_id()), "ids")
     # One row per piece: the ends of the pieces, and their neighbours in the ring of all pieces that have rows.
     ring = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -158,17 +158,24 @@ def _chain(docs: DataFrame) -> DataFrame:
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-    return docs.withColumn("_id", F.coalesce("doc_id", F.lit(_LEAST_ID))).withColumn("_n", F.char_length("_text").cast("long"))
+    """``_id`` (never null), ``_text`` and ``_row``, a number of the row that is odd if it has no ``doc_id``.
+
+    Both sides of the join of texts and next texts use just these columns, so that Spark shuffles the texts once for the two.
+    """
+    text, no_id = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"), F.col("doc_id").isNull()
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST_ID)).alias("_id")
+    return docs.select(key, text, (2 * F.monotonically_increasing_id() + no_id.cast("int")).alias("_row"))
 
 
 def edited_texts(docs: DataFrame, chain: DataFrame) -> DataFrame:
     """``docs`` as made by ``_identified``, partitioned by ``_id``, with ``_edited``: the last half of each text replaced by as much of the next text."""
-    starts = docs.join(chain, "_id").select(F.col("_before").alias("_id"), F.struct(F.xxhash64("_text"), F.substring("_text", F.lit(1), F.col("_half").cast("int"))).alias("_start"))
-    starts = starts.groupBy("_id").agg(F.max("_start")["col2"].alias("_start"))
+    start = F.struct(F.xxhash64("_text").alias("hash"), F.substring("_text", F.lit(1), F.col("_half").cast("int")).alias("text"), "_row")
+    starts = docs.join(chain, "_id").select(F.col("_before").alias("_id"), start.alias("_start"))
+    starts = starts.groupBy("_id").agg(F.max("_start")["text"].alias("_start"))
+    both = docs.join(starts, "_id").withColumn("_n", F.char_length("_text").cast("long"))
     half = F.floor(F.col("_n") / 2).cast("int")
     kept = F.substring("_text", F.lit(1), F.col("_n").cast("int") - half)
-    return docs.join(starts, "_id").withColumn("_edited", F.concat(kept, F.substring("_start", F.lit(1), half))).drop("_start")
+    return both.withColumn("_edited", F.concat(kept, F.substring("_start", F.lit(1), half))).drop("_start")
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -176,14 +183,14 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     next document's text (``following``) for ``docs`` (``doc_id``, ``text``)."""
     docs = _identified(docs)
     chain = _chain(docs)
-    texts = edited_texts(docs.withColumn("_row", F.monotonically_increasing_id()), chain)
+    texts = edited_texts(docs, chain)
     both = F.array(F.struct(F.lit(False).alias("edited"), F.col("_text").alias("body")), F.struct(F.lit(True).alias("edited"), F.col("_edited").alias("body")))
-    told = texts.select("doc_id", "_id", "_row", "_n", F.xxhash64("_text").alias("_hash"), F.unhex(F.sha2("_edited", 256)).alias("_sha"), F.inline_outer(both))
-    keys = ["_id", "_row", "doc_id", "_n", "_hash", "_sha"]
+    told = texts.select("_id", "_row", "_n", F.xxhash64("_text").alias("_hash"), F.unhex(F.sha2("_edited", 256)).alias("_sha"), F.inline_outer(both))
+    keys = ["_id", "_row", "_n", "_hash", "_sha"]
     found = fingerprints(told, [*keys, "edited"], "body")
     of = lambda edited: F.max(F.when(F.col("edited") == edited, F.col("simhash")))
     found = write_table(found.groupBy(*keys).agg(of(False).alias("simhash"), of(True).alias("edited")), "fingerprints")
     first = found.groupBy("_id").agg(F.max(F.struct("_hash", "simhash"))["simhash"].alias("following"))
     first = first.join(chain.select(F.col("_before").alias("_to"), "_id"), "_id").select(F.col("_to").alias("_id"), "following")
-    found = found.join(first, "_id")
-    return found.select("doc_id", F.col("_n").alias("n_chars"), F.lower(F.hex("_sha")).alias("edited_sha256"), "simhash", "edited", "following")
+    doc_id = F.when(F.col("_row") % 2 == 0, F.col("_id")).alias("doc_id")
+    return found.join(first, "_id").select(doc_id, F.col("_n").alias("n_chars"), F.lower(F.hex("_sha")).alias("edited_sha256"), "simhash", "edited", "following")
