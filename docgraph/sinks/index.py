@@ -1,7 +1,7 @@
 """Named document collections in a folder.
 
 An index is a folder of segments, each a Parquet folder written once and never changed, and of
-numbered manifests, each a small text file that lists the segments in force with their fields. A load writes its
+numbered manifests, each a small text file that lists the segments in force with their fields, accepted documents and bytes. A load writes its
 segments first, then the next manifest aside, and renames it into place; readers see the old or the new state. Two loads that
 finish at the same time cannot both take the same number: the second fails and can be repeated.
 
@@ -15,7 +15,7 @@ import functools
 import json
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -56,8 +56,12 @@ class IndexFolder:
         finally:
             stream.close()
 
-    def commit(self, version: int, mapping: dict | None, segments: dict[str, StructType], schema: StructType | None) -> None:
-        state = {"mapping": mapping, "segments": {p: s.jsonValue() for p, s in segments.items()}, "schema": schema and schema.jsonValue()}
+    def commit(
+        self, version: int, mapping: dict | None, segments: dict[str, StructType], schema: StructType | None, documents: dict[str, int] | None = None
+    ) -> None:
+        """Write the next manifest; ``documents`` are the accepted documents of segments, where they were counted."""
+        counts = {p: [n, self._files.getContentSummary(self._hadoop(p)).getLength()] for p, n in (documents or {}).items() if p in segments}
+        state = {"mapping": mapping, "segments": {p: s.jsonValue() for p, s in segments.items()}, "schema": schema and schema.jsonValue(), "counts": counts}
         aside = self._files.makeQualified(self._hadoop(f"{self.path}/manifests/.{uuid4().hex}"))
         stream = self._files.create(aside, False)
         stream.write(bytearray(json.dumps(state).encode()))
@@ -149,14 +153,19 @@ def index_info(spark: SparkSession, root: str, name: str) -> DataFrame:
     layout = "index_name string, document_count long, size_in_bytes long, status string, error string"
     if state is None:
         return spark.createDataFrame([(name, None, None, "error", f"no such index: {name}")], layout)
-    count = F.count(F.lit(1)).alias("document_count")
-    counted = folder.read(_segments(state), _source_schema(state)).agg(count)
-    parts = counted.withColumn("size_in_bytes", F.lit(0).cast(LongType()))
-    if state["segments"]:
-        # Only the listing is read: the content column is never selected.
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(state["segments"]))
-        size = F.sum("length").alias("size_in_bytes")
-        parts = parts.unionByName(files.agg(size).withColumn("document_count", F.lit(0).cast(LongType())))
+    counts = state.get("counts", {})
+    known = [sum(counts[p][k] for p in state["segments"] if p in counts) for k in (0, 1)]
+    uncounted = {p: fields for p, fields in _segments(state).items() if p not in counts}
+    if not uncounted:
+        return spark.createDataFrame([(name, *known, "exists", None)], layout)
+    # Manifests of an older kind don't tell the counts.
+    count = (F.count(F.lit(1)) + known[0]).alias("document_count")
+    counted = folder.read(uncounted, _source_schema(state)).agg(count)
+    parts = counted.withColumn("size_in_bytes", F.lit(known[1]).cast(LongType()))
+    # Only the listing is read: the content column is never selected.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(uncounted))
+    size = F.sum("length").alias("size_in_bytes")
+    parts = parts.unionByName(files.agg(size).withColumn("document_count", F.lit(0).cast(LongType())))
     return parts.agg(
         F.lit(name).alias("index_name"),
         F.sum("document_count").alias("document_count"),
@@ -242,7 +251,10 @@ def bulk_index(
         F.col("_id").isNotNull().alias("_keyed"),
         F.when(F.col("_id").isNotNull(), place).alias("_place"),
     )
-    staged.write.options(**limit).parquet(staged_path)
+    seen = Observation()
+    staged.observe(seen, F.count_if(F.col(REJECTED).isNull()).alias("rows")).write.options(**limit).parquet(staged_path)
+    documents_of = {p: n for p, (n, _) in state.get("counts", {}).items()}
+    documents_of[staged_path] = seen.get["rows"]
     staged = spark.read.schema(staged.schema).parquet(staged_path)
     load = Load(staged)
     if mode == "failfast":
@@ -255,22 +267,30 @@ def bulk_index(
     accepted = staged.filter(F.col(REJECTED).isNull())
     keyed = accepted.filter("_keyed")
     last = keyed.groupBy("_id").agg(F.max("_place").alias("_place"), F.count(F.lit(1)).alias("_n"))
-    if not accepted.isEmpty():
+    if documents_of[staged_path]:
         last = write_table(last, "last") if segments else last
         if not last.filter(F.col("_n") > 1).isEmpty():
             new = folder.new_segment()
             # Joined on key and place together, a key with many documents spreads over all tasks.
             kept = keyed.join(last.drop("_n"), ["_id", "_place"], "left_semi").unionByName(accepted.filter("not _keyed"))
-            kept.select("_id", "_source").write.options(**limit).parquet(new)
+            documents_of[new] = _write_counted(kept.select("_id", "_source"), new, limit)
         if segments:
-            segments = _without(folder, segments, schema, last.select("_id"), limit)
+            segments = _without(folder, segments, schema, last.select("_id"), limit, documents_of)
         segments[new] = StructType([f for f in own])
-    folder.commit(state["version"] + 1, state["mapping"], segments, schema)
+    folder.commit(state["version"] + 1, state["mapping"], segments, schema, documents_of)
     return load
 
 
-def _without(folder: IndexFolder, segments: dict[str, StructType], schema: StructType, ids: DataFrame, limit: dict) -> dict[str, StructType]:
-    """The segments without the given keys: those that hold one of them are written anew, as one segment and by one job."""
+def _write_counted(df: DataFrame, path: str, limit: dict) -> int:
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(**limit).parquet(path)
+    return seen.get["rows"]
+
+
+def _without(
+    folder: IndexFolder, segments: dict[str, StructType], schema: StructType, ids: DataFrame, limit: dict, documents_of: dict[str, int]
+) -> dict[str, StructType]:
+    """The segments without the given keys: those that hold one of them are written anew, as one segment and by one job. What is written is counted."""
     layout = f"_id string, {REJECTED} string"
     stored = folder.spark.read.schema(layout).parquet(*segments).filter(F.col(REJECTED).isNull())
     stored = stored.select("_id", F.regexp_extract("_metadata.file_path", r"segments/([0-9a-f]+)", 1).alias("segment"))
@@ -280,7 +300,7 @@ def _without(folder: IndexFolder, segments: dict[str, StructType], schema: Struc
     kept = {p: s for p, s in segments.items() if p not in hit}
     if hit:
         rewritten = folder.new_segment()
-        folder.read(hit, schema).join(ids, "_id", "left_anti").write.options(**limit).parquet(rewritten)
+        documents_of[rewritten] = _write_counted(folder.read(hit, schema).join(ids, "_id", "left_anti"), rewritten, limit)
         kept[rewritten] = schema
     return kept
 

@@ -49,6 +49,23 @@ def test_upsert(spark, tmp_path):
     assert index.index_info(spark, root, "i").first().document_count == 4
 
 
+def test_info_reads_no_segment(spark, tmp_path):
+    """Counts come from the manifest, whatever loads and upserts have written; a manifest without them is counted."""
+    root = str(tmp_path)
+    index.bulk_index(_docs(spark, [(1, "a"), (2, "b"), (2, "c"), (5, "x")]), root, "i")
+    index.bulk_index(_docs(spark, [(3, "c")]), root, "i")
+    index.bulk_index(_docs(spark, [(2, "B"), (4, "d")]), root, "i")
+    info = index.index_info(spark, root, "i")
+    assert "FileScan" not in info._jdf.queryExecution().toString()
+    folder = index.IndexFolder(spark, root, "i")
+    state = folder.manifest()
+    sizes = [f.stat().st_size for s in state["segments"] for f in (tmp_path / "i" / "segments" / s.rsplit("/", 1)[1]).glob("*.parquet")]
+    assert tuple(info.first()[:4]) == ("i", 5, sum(sizes), "exists") and index.index_scan(spark, root, "i").count() == 5
+    segments = {p: index.StructType.fromJson(fields) for p, fields in state["segments"].items()}
+    folder.commit(state["version"] + 1, None, segments, index.StructType.fromJson(state["schema"]))
+    assert tuple(index.index_info(spark, root, "i").first()) == tuple(info.first())
+
+
 def test_last_of_equal_keys_wins_by_order(spark, tmp_path):
     root = str(tmp_path)
     # One key holds a third of all rows.
