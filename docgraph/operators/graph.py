@@ -32,7 +32,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, IntegralType, LongType, StringType, StructField, StructType
 
 from docgraph.plans.scratch import scratch_path, write_bucketed, write_counted, write_table
 from docgraph.plans.groups import collect_pages
@@ -50,10 +50,27 @@ FEW_ROWS = 200_000
 # Frontier rows per bucket that one task may hold in a hash table (some tens of MB).
 HASHED_ROWS = 1_000_000
 
+# Vertices that a plan names one by one at most; fewer than half the buckets in any case, so that buckets are left out.
+NAMED_NODES = 1_000
+
 # Column by which the rows of a hot vertex are spread over its pieces.
 SPREAD = "_spread"
 
 
+def _of_few(table: DataFrame, buckets: int, vertices: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows of a bucketed table that ``vertices`` can meet, as far as the scan can tell.
+
+    A few vertices are named, so that only their buckets are opened (every bucket if hot vertices are split) and, as these are sorted,
+    only the pages with their rows are read. Joins find the rows of more vertices. ``rows`` is the number of vertices, where known.
+    """
+    node_type = table.schema["node"].dataType
+    most = min(NAMED_NODES, buckets // 2)
+    if not isinstance(node_type, (IntegralType, StringType)) or (most if rows is None else rows) > most:
+        return table
+    nodes = [row["node"] for row in vertices.select("node").take(most + 1)]
+    return table if len(nodes) > most else table.filter(F.col("node").isin([F.lit(n).cast(node_type) for n in nodes]))
+
+
 @dataclass
 class EdgeList:
     """``(node, neighbour, n)`` rows, n parallel edges each, bucketed by node."""
@@ -73,7 +90,8 @@ class EdgeList:
         A frontier of few rows is broadcast by its size. One whose share per bucket fits a hash
         table spares sorting the edges; a larger one is merged.
         """
-        sent = self.with_node(frontier, hashed=FEW_ROWS < rows <= HASHED_ROWS * self.buckets)
+        near = EdgeList(_of_few(self.table, self.buckets, frontier, rows), self.buckets, self.hot)
+        sent = near.with_node(frontier, hashed=FEW_ROWS < rows <= HASHED_ROWS * self.buckets)
         return sent.filter(F.col("neighbour").isNotNull()).select(F.col("neighbour").alias("node"), "word", "bits")
 
     def totals(self) -> DataFrame:
@@ -93,27 +111,28 @@ class Links:
     to_field: str
     forward: EdgeList
     reverse: EdgeList | None
-    _placed: DataFrame | None = field(default=None, repr=False)
+    _placed: tuple[DataFrame, int] | None = field(default=None, repr=False)
 
     @property
     def node_type(self):
         return self.edges.schema[self.to_field].dataType
 
-    def placed(self) -> DataFrame:
+    def placed(self) -> tuple[DataFrame, int]:
         """The edge rows with their first end as ``node``, bucketed by it like the forward list, and a number that was written with
-        each row as ``SPREAD``. Written by the first lookup; sweeps don't need it."""
+        each row as ``SPREAD``; and the number of buckets. Written by the first lookup; sweeps don't need it."""
         if self._placed is None:
             hot = self.forward.hot
             rows = self.edges.withColumn("node", F.coalesce(self.to_field, self.from_field)).filter(F.col("node").isNotNull())
             # Copies of one edge agree in every field; a number written with each row tells them apart.
             rows = write_table(rows.withColumn(SPREAD, F.monotonically_increasing_id()), "edges") if hot.salted else rows.withColumn(SPREAD, F.monotonically_increasing_id())
-            self._placed, _ = write_bucketed(hot.scatter(rows, "node", by=SPREAD), hot.keys("node"), hot.rows, "edges")
+            self._placed = write_bucketed(hot.scatter(rows, "node", by=SPREAD), hot.keys("node"), hot.rows, "edges")
         return self._placed
 
     def rows_at(self, vertices: DataFrame) -> DataFrame:
         """The edge rows with the columns that ``vertices`` has for their ``node``; only ``vertices`` moves."""
         keys = self.forward.hot.keys("node")
-        return self.placed().join(self.forward.hot.copy(vertices, "node"), keys).drop(*keys[1:])
+        near = _of_few(*self.placed(), vertices)
+        return near.join(self.forward.hot.copy(vertices, "node"), keys).drop(*keys[1:])
 
     def lists(self, direction: str) -> list[EdgeList]:
         if direction not in DIRECTIONS:

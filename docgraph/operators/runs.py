@@ -6,6 +6,7 @@ number, a latency and counts if it succeeded, and an error text if it failed.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -80,29 +81,45 @@ def run_summary_multi(medians: DataFrame, order: str = "first_run") -> DataFrame
     )
 
 
+def start_lists(ranked: DataFrame, page_rows: int = 10_000) -> DataFrame:
+    """The ranked starts (``start``, ``rank`` from 1) once, for any number of batches that take the first of them: ``page`` and ``starts``,
+    structs of rank and start; a page holds ``page_rows`` ranks."""
+    page = F.floor((F.col("rank") - 1) / page_rows).cast("int").alias("page")
+    return ranked.groupBy(page).agg(F.sort_array(F.collect_list(F.struct("rank", "start"))).alias("starts"))
+
+
+def batch_starts(batches: DataFrame, lists: DataFrame, page_rows: int = 10_000) -> DataFrame:
+    """``num_start_values``, ``page`` and ``start_values``: the first starts of each batch size, as pages of the lists cut at the size."""
+    size = F.col("num_start_values")
+    last = F.floor((size - 1) / page_rows).cast("int")
+    pages = batches.select("num_start_values").distinct().filter(size > 0)
+    pages = pages.select("num_start_values", F.explode(F.sequence(F.lit(0), last)).alias("page"))
+    within = F.filter("starts", lambda s: s["rank"] <= size)
+    return pages.join(lists, "page").select("num_start_values", "page", F.transform(within, lambda s: s["start"]).alias("start_values"))
+
+
 def run_details(
     medians: DataFrame, runs: DataFrame | None = None, keys: list[str] = SINGLE, ranked: DataFrame | None = None, page_rows: int = 10_000
 ) -> DataFrame:
     """All records, flat.
 
-    With the log ``runs`` also ``all_latencies_ms`` in run order, in pages (a record with more than ``page_rows`` latencies has several rows,
-    one without any an empty page 0). With ``ranked`` (``start``, ``rank``) also ``start_values``, the starts of a batch.
+    With the log ``runs`` also ``all_latencies_ms`` in run order, with ``ranked`` (``start``, ``rank`` from 1) also ``start_values``, the
+    starts of a batch. Both come in pages: a record with more than ``page_rows`` entries has several rows, one without any an empty
+    page 0, and the shorter of the two is empty on the pages it lacks.
     """
     shown = [*keys, "median_latency_ms", "edge_count", "node_count", "error"]
     details = medians.select(*shown)
+    if runs is None and ranked is None:
+        return details
+    parts = {}
     if ranked is not None:
-        batches = details.select("num_start_values").distinct()
-        starts = batches.join(ranked, F.col("rank") <= F.col("num_start_values")).groupBy("num_start_values")
-        starts = starts.agg(F.sort_array(F.collect_list(F.struct("rank", "start"))).alias("_starts"))
-        starts = starts.select("num_start_values", F.transform("_starts", lambda s: s["start"]).alias("start_values"))
-        details = details.join(starts, "num_start_values", "left").select(*shown, "start_values")
-        shown.append("start_values")
+        starts = batch_starts(details, start_lists(ranked, page_rows), page_rows)
+        parts["start_values"] = details.select(*keys).join(starts, "num_start_values").select(*keys, "page", "start_values")
     if runs is not None:
-        none = F.array().cast("array<double>")
-        details = details.join(run_latencies(runs, keys, page_rows=page_rows), keys, "left").select(
-            *shown, F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("all_latencies_ms", none).alias("all_latencies_ms")
-        )
-    return details
+        parts["all_latencies_ms"] = run_latencies(runs, keys, page_rows=page_rows).select(*keys, "page", "all_latencies_ms")
+    pages = functools.reduce(lambda a, b: a.join(b, [*keys, "page"], "full"), parts.values())
+    filled = [F.coalesce(c, F.array().cast(part.schema[c].dataType)).alias(c) for c, part in parts.items()]
+    return details.join(pages, keys, "left").select(*shown, F.coalesce("page", F.lit(0)).alias("page"), *filled)
 
 
 def summary_table(summary: DataFrame, directions: Iterable[str], sizes: Iterable[int]) -> DataFrame:

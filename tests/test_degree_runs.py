@@ -126,3 +126,29 @@ def test_report_has_settings_and_latencies(spark, tmp_path):
     head = spark.read.json(str(tmp_path / "r" / "benchmark")).first()
     assert head.timestamp and head.config.depths == [0] and head.config.runs == 5
     assert spark.read.json(str(tmp_path / "r" / "details")).count() == 4
+
+
+def test_batches_refer_to_pages_of_starts(spark):
+    log = spark.createDataFrame(
+        [(n, "uni", run, float(run), 1, 1, None) for n in (1, 3, 5) for run in (1, 2, 3)] + [(9, "uni", 1, None, None, None, "lost")],
+        "num_start_values int, direction string, run_no int, latency_ms double, edge_count long, node_count long, error string",
+    )
+    ranked = spark.createDataFrame([(100 + rank, rank) for rank in range(1, 6)], "start long, rank int")
+    details = runs.run_details(runs.run_batch_median(log), log, runs.BATCH, ranked, page_rows=2)
+    got = sorted((r.num_start_values, r.page, r.start_values, r.all_latencies_ms) for r in details.collect())
+    assert got == [
+        (1, 0, [101], [1.0, 2.0]),
+        (1, 1, [], [3.0]),
+        (3, 0, [101, 102], [1.0, 2.0]),
+        (3, 1, [103], [3.0]),
+        (5, 0, [101, 102], [1.0, 2.0]),
+        (5, 1, [103, 104], [3.0]),
+        (5, 2, [105], []),
+        (9, 0, [101, 102], []),
+        (9, 1, [103, 104], []),
+        (9, 2, [105], []),
+    ]
+    plan = details._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = runs.run_details(runs.run_batch_median(log), None, runs.BATCH, ranked.limit(0)).collect()
+    assert sorted((r.num_start_values, r.page, r.start_values) for r in none) == [(1, 0, []), (3, 0, []), (5, 0, []), (9, 0, [])]

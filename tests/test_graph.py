@@ -298,3 +298,52 @@ def test_running_totals_over_stretches(spark, monkeypatch):
     counts = spark.createDataFrame([(k, k * 10, 1) for k in range(2, 31, 3)], "rank int, n long, nodes long")
     got = {r.num_start_values: (r.edge_count, r.node_count) for r in graph._running_totals(ranks, counts).collect()}
     assert got == {k: (sum(j * 10 for j in range(2, k + 1, 3)), len(range(2, k + 1, 3))) for k in range(1, 31)}
+
+
+def _files_read(frame):
+    """Bytes and number of the files that the scans of bucketed tables open."""
+    frame.collect()
+    todo, sizes = [frame._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet") and node.relation().bucketSpec().isDefined():
+            parts = node.inputRDD().filePartitions()
+            sizes += [f.length() for i in range(parts.size()) for f in parts.apply(i).files()]
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sum(sizes), len(sizes)
+
+
+def test_few_starts_open_their_buckets_only(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "ROWS_PER_BUCKET", 500)
+    read = {}
+    for size in (2_000, 20_000):
+        edges = spark.range(size).selectExpr("id as edge_id", "id % 1000 * 7 as source", "(id * 31 + 1) % 7000 as target").filter("target != source")
+        grown = edges if size == 2_000 else edges.withColumn("source", F.col("source") + F.expr("7000 * (edge_id div 2000)"))
+        links = graph.prepare_links(grown)
+        vertices = grown.select(F.col("source").alias("id")).distinct()
+        found = graph.graph_lookup(vertices, links, [7], max_depth=0)
+        rows = sorted(r.edge_id for r in found.collect())
+        assert rows == sorted(r.edge_id for r in grown.filter("source = 7").collect()) and len(rows) == 2
+        read[size] = _files_read(found)
+        assert links.forward.buckets >= size // 500 - 1 and read[size][1] == 1
+        # As many starts as there are buckets are joined, with the same rows.
+        all_starts = graph.graph_lookup(vertices, links, max_depth=0)
+        assert all_starts.count() == grown.count() and _files_read(all_starts)[1] > 1
+    assert read[20_000][0] < 2 * read[2_000][0]
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "smallint", "double"])
+def test_named_nodes_of_any_type(spark, monkeypatch, kind):
+    monkeypatch.setattr(scratch, "ROWS_PER_BUCKET", 2)
+    pairs = [(str(i), str((i * 5 + 1) % 12)) for i in range(12)]
+    table = spark.createDataFrame(pairs, "source string, target string")
+    table = table.select(F.col("source").cast(kind), F.col("target").cast(kind))
+    vertices = table.select(F.col("source").alias("id"))
+    start = table.filter(F.col("source") == F.lit("3").cast(kind)).first().source
+    found = graph.graph_lookup(vertices, graph.prepare_links(table), [start], max_depth=2, direction="bi")
+    assert found.count() == len(returned_edges(pairs, ["3"], 2, "bi"))
