@@ -111,6 +111,30 @@ def test_differencing_gives_near_equal_sums():
     assert packing.difference_partition([], 3) == [[], [], []]
 
 
+def test_differenced_windows_stay_and_few_documents_are_cut():
+    rng = random.Random(11)
+    sizes = [rng.randrange(20, 900) for _ in range(600)]
+    windows, left = packing.pack_group([(k, 0, n) for k, n in enumerate(sizes)], [], 4096)
+    assert len(windows) == sum(sizes) // 4096 and all(sum(p[2] for p in w) == 4096 for w in windows)
+    assert sum(p[2] for p in left) == sum(sizes) % 4096
+    cut = {p[0] for w in windows for p in w if p[2] < sizes[p[0]]}
+    assert len(cut) <= 12  # pieces of about a 64th of the tokens, where plain filling cuts a document per window
+    # Where the number of windows has to rise, the emptiest close the gaps of the others.
+    windows, left = packing.pack_group([(k, 0, n) for k, n in enumerate([2100, 2100, 2100, 2100])], [], 4096)
+    assert [sum(p[2] for p in w) for w in windows] == [4096, 4096] and sum(p[2] for p in left) == 208
+    assert packing.pack_group([(0, 0, 5)], [(1, 3, 4)], 4096) == ([], [(1, 3, 4), (0, 0, 5)])
+    assert packing.pack_group([], [], 4096) == ([], [])
+
+
+def test_only_the_rest_of_a_task_is_short(spark):
+    rng = random.Random(12)
+    rows = [(k, sentence(rng, rng.randrange(1, 400))) for k in range(3000)]
+    found = packing.pack_documents(documents(spark, rows).coalesce(1), PATH)
+    lengths = sorted(r[1] for r in found.groupBy("sequence_id").agg({"length": "sum"}).collect())
+    short = [n for n in lengths if n < 4096]
+    assert len(lengths) > 2 * packing.GROUP_WINDOWS and sum(short) < 4096 and len(short) == len(set(short))
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(10)
     long = sentence(rng, 30_000)
