@@ -30,6 +30,8 @@ from docgraph.plans.scratch import write_table
 MAX_LISTED = 4_000_000
 # False positive rate of the levels after the first.
 LATER_RATE = 1 / 16
+# Each side shrinks to a 16th with every second level, so a cascade of this height has met keys that its hashes can't tell apart.
+MOST_LEVELS = 64
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -77,7 +79,8 @@ class Bloom:
 
 
 def _position(key: Column, seed: int, j: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(1000 * seed + j)), F.lit(bits).cast("long"))
+    # The number comes first: hashed the other way round, two keys that once have the same hash would have it for every number.
+    return F.pmod(F.xxhash64(F.lit(1000 * seed + j), key), F.lit(bits).cast("long"))
 
 
 @dataclass
@@ -108,6 +111,8 @@ def build_cascade(universe: DataFrame, listed: DataFrame, max_listed: int = MAX_
     wanted = listed
     others = write_table(universe.select("key").filter(levels[0].holds(F.col("key"))).join(listed, "key", "left_anti"), "mistakes")
     while mistakes := others.count():
+        if len(levels) == MOST_LEVELS:
+            raise RuntimeError(f"{mistakes} keys are not told apart by {MOST_LEVELS} levels")
         level = Bloom.build(others, mistakes, LATER_RATE, len(levels))
         levels.append(level)
         wanted, others = others, write_table(wanted.filter(level.holds(F.col("key"))), "mistakes")

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from docgraph.llm import url_filter
 from docgraph.llm.queries import URL_RULES
 from docgraph.llm.url_filter import MAX_LISTED, build_cascade, judge_urls
 
@@ -96,6 +97,15 @@ def test_cascade_is_exact(spark):
     assert bits < 16 * len(listed)
 
 
+def test_a_cascade_that_does_not_end_fails(spark, monkeypatch):
+    """Keys that no hash tells apart are an error, not an endless loop."""
+    monkeypatch.setattr(url_filter, "_position", lambda key, seed, j, bits: F.pmod(F.length(key).cast("long"), F.lit(bits).cast("long")))
+    monkeypatch.setattr(url_filter, "MOST_LEVELS", 3)
+    universe = spark.createDataFrame([("ab",), ("cd",)], "key string")
+    with pytest.raises(RuntimeError, match="told apart"):
+        url_filter.build_cascade(universe, universe.filter("key = 'ab'"))
+
+
 def test_judging_neither_joins_nor_moves_the_pages(spark):
     _, pages, rules, listed = frames(spark, URLS)
     plan = judge_urls(pages, rules, listed)._jdf.queryExecution().executedPlan().toString()
