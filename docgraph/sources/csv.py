@@ -1,7 +1,8 @@
 """Delimited files to typed tables, with the options of the usual single-machine CSV reader.
 
 Every file is read by its own header; columns are matched by name, and a column that a file lacks is null there. Files, folders and
-globs count in the caller's order, and what is listed twice is read twice.
+globs count in the caller's order, and what is listed twice is read twice. A file without records is left out; if all that a name stands for are, it is
+an error.
 
 Large files are split, and a quoted field may hold line breaks: see ``quotes``. A quote that is not closed rejects its line; the lines after it are read
 one by one. With ``multiline=False`` each line is a record. ``nrows``, ``skiprows`` and header rows other than the first number the records of each file:
@@ -160,10 +161,12 @@ def _layout(width: int) -> T.StructType:
     return T.StructType([*fields, T.StructField(RAW, T.StringType())])
 
 
-def _heads(spark: SparkSession, file: str, options: CsvOptions) -> tuple[str, ...]:
-    """The column names of a file, from its header rows, or the width of its first record."""
+def _heads(spark: SparkSession, file: str, options: CsvOptions) -> tuple[str, ...] | None:
+    """The column names of a file, from its header rows, or the width of its first record; none if it has no record at all."""
     wanted = options.header_rows or [0]
     tops = list(itertools.islice(options.records(first_lines(spark, file, options.charset)), wanted[-1] + 1))
+    if not tops:
+        return None
     if len(tops) <= wanted[-1]:
         raise ValueError(f"no columns to read from {file}")
     fields = [tops[n] for n in wanted]
@@ -398,7 +401,9 @@ def _parse(spark: SparkSession, paths: str | list[str], options: CsvOptions) ->
     for number, path in enumerate([paths] if isinstance(paths, str) else paths):
         by_head: dict[tuple[str, ...], list[str]] = {}
         for file in listed_files(spark, path):
-            by_head.setdefault(_heads(spark, file, options), []).append(file)
+            # Writers leave empty files for empty partitions; they have nothing to read.
+            if head := _heads(spark, file, options):
+                by_head.setdefault(head, []).append(file)
         if not by_head:
             raise ValueError(f"no columns to read from {path}")
         for head, files in by_head.items():

@@ -10,6 +10,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from docgraph.sources.csv import column_names, read_csv
 
 
@@ -254,6 +255,39 @@ def test_empty_files(spark, write):
     assert read_csv(spark, write("a,b\n")).rows.count() == 0
 
 
+@pytest.mark.parametrize("name", ["f/*.csv", "f"])
+@pytest.mark.parametrize("settings", [{}, {"multiline": False}, {"nrows": 5}, {"encoding": "utf-16"}])
+def test_empty_files_beside_others_have_no_records(spark, write, tmp_path, name, settings):
+    charset = settings.get("encoding", "utf-8")
+    for n, text in enumerate(["", "1,x\n2,y\n", "\n\n", "3,z\n"]):
+        write(text, f"f/{n}.csv", charset)
+    read = read_csv(spark, str(tmp_path / name), header=None, **settings)
+    assert sorted(rows(read.rows)) == [(1, "x"), (2, "y"), (3, "z")] and read.rejects.isEmpty()
+
+
+def test_only_empty_files(spark, write, tmp_path):
+    paths = [write("", "f/0.csv"), write("\n", "f/1.csv")]
+    for path in (str(tmp_path / "f"), paths, [write("1,x\n", "g.csv"), paths[0]]):
+        with pytest.raises(ValueError, match="no columns"):
+            read_csv(spark, path, header=None)
+
+
+@pytest.mark.parametrize("name", ["csv_header_none"])
+def test_queries_with_an_empty_first_partition(spark, tmp_path, name):
+    """One row group over several splits: only the split with its middle has rows, and Spark still writes a file for the first one."""
+    rows = spark.range(500).selectExpr(
+        "id AS c_custkey", "concat('Customer#', sha2(CAST(id AS STRING), 512)) AS c_name", "CAST(id % 25 AS INT) AS c_nationkey", "id / 4 AS c_acctbal", "'BUILDING' AS c_mktsegment"
+    )
+    rows.coalesce(1).write.option("compression", "none").parquet(str(tmp_path / "customer.parquet"))
+    known = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16000")
+        found = queries()[name](spark, str(tmp_path)).toPandas()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", known)
+    assert sorted(found["a"]) == list(range(500)) and found["b"].str.startswith("Customer#").all()
+
+
 def test_only_wanted_columns_are_typed(spark, write):
     """One aggregate decides all types; forced columns need no pass over the file."""
     table = read_csv(spark, write("a,b\n1,2\n"), dtype={"a": "int64", "b": "int64"}).rows
