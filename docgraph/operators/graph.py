@@ -44,6 +44,8 @@ FLAGS = 62
 
 DIRECTIONS = ("uni", "bi")
 
+COUNTS = ("edge_count", "node_count")
+
 # Frontiers up to this size are left to Catalyst, which broadcasts them while their files are small.
 FEW_ROWS = 200_000
 
@@ -184,8 +186,10 @@ def _bit(flag: str | Column) -> Column:
 def _flag_position(rows: DataFrame, flags: int) -> DataFrame:
     """One row per set bit, its number in column ``flag``; ``flags`` numbers are in use."""
     positions = F.array(*[F.lit(i) for i in range(flags)])
-    # Chosen within the array, so that no row is made for a bit that is not set.
-    return rows.withColumn("flag", F.explode(F.filter(positions, lambda i: F.getbit("bits", i) == 1)))
+    # Chosen within the array, so that no row is made for a bit that is not set. Most rows have one bit, whose number needs no search.
+    several = F.filter(positions, lambda i: F.getbit("bits", i) == 1)
+    alone = F.array(F.bit_count(F.col("bits") - 1).cast("int"))
+    return rows.withColumn("flag", F.explode(F.when(F.bit_count("bits") == 1, alone).otherwise(several)))
 
 
 def _lowest_position(word: Column, bits: Column) -> Column:
@@ -216,13 +220,17 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
     # One way, a neighbour may lie in any earlier round. All reached rows then form a table bucketed by node and word, to which each
     # round appends, so that they are compared where they are.
     name = f"spark_catalog.default.docgraph_reached_{uuid4().hex}" if direction == "uni" else None
+    # With as many buckets as shuffle partitions, combining the candidates already puts them where they are compared.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near_enough = partitions // 2 <= links.forward.buckets <= partitions
+    buckets = partitions if near_enough else links.forward.buckets
 
     def written(fresh: DataFrame, dist: int) -> int:
         if name is None:
             return write_counted(fresh, f"{path}/dist={dist}")
         seen = Observation()
         placed = fresh.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("dist", F.lit(dist))
-        writer = placed.write.format("parquet").partitionBy("dist").bucketBy(links.forward.buckets, "node", "word")
+        writer = placed.write.format("parquet").partitionBy("dist").bucketBy(buckets, "node", "word")
         writer.option("path", path).mode("append").saveAsTable(name)
         return seen.get["rows"]
 
@@ -236,7 +244,7 @@ def traverse(links: Links, seeds: DataFrame, direction: str, rounds: int) -> Dat
             # Both ways, a neighbour of round k-1 lies in round k-2, k-1 or k: older rounds need no check.
             fresh = _not_in_last_rounds(sent, reached().filter(F.col("dist") >= dist - 2))
         else:
-            fresh = _not_reached(sent[0], spark.table(name), links.forward.buckets)
+            fresh = _not_reached(sent[0], spark.table(name), None if near_enough else buckets)
         rows = written(fresh, dist)
     if name is not None:
         spark.sql(f"DROP TABLE {name}")
@@ -253,9 +261,10 @@ def _not_in_last_rounds(sent: list[DataFrame], last: DataFrame) -> DataFrame:
     return moved.groupBy("node", "word").agg(new_bits.alias("bits")).filter(F.col("bits") != 0)
 
 
-def _not_reached(sent: DataFrame, reached: DataFrame, buckets: int) -> DataFrame:
-    """The new bits of the candidates; only the combined candidates move, to the buckets of the reached rows."""
-    candidates = sent.groupBy("node", "word").agg(F.bit_or("bits").alias("bits")).repartition(buckets, "node", "word")
+def _not_reached(sent: DataFrame, reached: DataFrame, buckets: int | None) -> DataFrame:
+    """The new bits of the candidates; only the combined candidates move, to the ``buckets`` of the reached rows if these are not the shuffle's."""
+    candidates = sent.groupBy("node", "word").agg(F.bit_or("bits").alias("bits"))
+    candidates = candidates.repartition(buckets, "node", "word") if buckets else candidates
     seen = reached.groupBy("node", "word").agg(F.bit_or("bits").alias("seen"))
     new_bits = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("seen", F.lit(0).cast("long"))))
     return candidates.join(seen, ["node", "word"], "left").select("node", "word", new_bits.alias("bits")).filter(F.col("bits") != 0)
@@ -410,11 +419,12 @@ def lookup_counts(
     starts: DataFrame | Iterable | None = None,
     max_depth: int = 0,
     direction: str = "uni",
+    counts: Iterable[str] = COUNTS,
     **fields: str,
 ) -> DataFrame:
-    """``start``, ``edge_count`` and ``node_count`` of the lookup from each start, without a row per start and edge."""
-    counts = depth_sweep(vertices, edges, starts, [max_depth], [direction], **fields)
-    return counts.select("start", "edge_count", "node_count")
+    """``start`` and the wanted ``counts`` of the lookup from each start, without a row per start and edge."""
+    counts = list(counts)
+    return depth_sweep(vertices, edges, starts, [max_depth], [direction], counts=counts, **fields).select("start", *counts)
 
 
 def _alive(links: Links, direction: str, reached: DataFrame) -> DataFrame:
@@ -457,17 +467,21 @@ def depth_sweep(
     start_field: str = "id",
     from_field: str = "target",
     to_field: str = "source",
+    counts: Iterable[str] = COUNTS,
 ) -> DataFrame:
-    """Edge and node counts for every start, depth and direction, from one traversal per direction.
+    """Edge and node counts, or one of them, for every start, depth and direction, from one traversal per direction.
 
     The edges for a depth are those the deepest run first returned at that depth or before, and
-    their ends are the vertices within one more hop.
+    their ends are the vertices within one more hop. Edges alone don't need that hop, unless they are followed both ways.
     """
-    directions, depths = list(directions), sorted(set(max_depths))
+    directions, depths, shown = list(directions), sorted(set(max_depths)), list(counts)
+    if not shown or not set(shown) <= set(COUNTS):
+        raise ValueError(f"counts must be some of {COUNTS}, not {shown}")
     links = edges if isinstance(edges, Links) else prepare_links(edges, from_field, to_field, "bi" in directions)
     numbered, flags = number_starts(start_keys(vertices, starts, start_field, links.node_type))
     wanted = F.array(*[F.lit(d) for d in depths])
-    runs = run_together(vertices.sparkSession, [partial(traverse, links, _seeds(numbered), d, depths[-1] + 1) for d in directions])
+    rounds = {d: depths[-1] + ("node_count" in shown or d == "bi") for d in directions}
+    runs = run_together(vertices.sparkSession, [partial(traverse, links, _seeds(numbered), d, rounds[d]) for d in directions])
     results = []
     for direction, reached in zip(directions, runs):
         first_edges = _flag_position(_first_edges(links, direction, reached, depths[-1]), flags).select(
@@ -481,8 +495,9 @@ def depth_sweep(
             F.lit(0).alias("n"),
             F.lit(1).alias("nodes"),
         )
+        counted = {"edge_count": first_edges, "node_count": first_nodes}
         counts = (
-            first_edges.unionByName(first_nodes)
+            _union([counted[c] for c in shown])
             .groupBy("word", "flag", "depth")
             .agg(F.sum("n").alias("n"), F.sum("nodes").alias("nodes"))
             .withColumn("max_depth", F.explode(F.filter(wanted, lambda d: d >= F.col("depth"))))
@@ -492,8 +507,8 @@ def depth_sweep(
         results.append(
             numbered.withColumn("max_depth", F.explode(wanted))
             .join(counts, ["word", "flag", "max_depth"], "left")
-            .select("start", "max_depth", F.lit(direction).alias("direction"), "edge_count", "node_count")
-            .fillna(0, ["edge_count", "node_count"])
+            .select("start", "max_depth", F.lit(direction).alias("direction"), *shown)
+            .fillna(0, shown)
         )
     return _union(results)
 

@@ -347,3 +347,46 @@ def test_named_nodes_of_any_type(spark, monkeypatch, kind):
     start = table.filter(F.col("source") == F.lit("3").cast(kind)).first().source
     found = graph.graph_lookup(vertices, graph.prepare_links(table), [start], max_depth=2, direction="bi")
     assert found.count() == len(returned_edges(pairs, ["3"], 2, "bi"))
+
+
+def test_combined_candidates_move_once(spark, monkeypatch):
+    """With as many buckets as shuffle partitions, the shuffle that combines the candidates is the only one of a one-way round."""
+    edges = [(i, (i * 7 + k) % 40) for i in range(40) for k in range(3)]
+    plans, own = [], graph._not_reached
+
+    def watched(*given):
+        fresh = own(*given)
+        plans.append(fresh._jdf.queryExecution().executedPlan().toString())
+        return fresh
+
+    monkeypatch.setattr(graph, "_not_reached", watched)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    counts = {}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        for partitions in (1, 2, 8):
+            plans.clear()
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            links = graph.prepare_links(_edge_table(spark, edges))
+            vertices = _vertex_table(spark, range(42))
+            counts[partitions] = sorted(map(tuple, graph.lookup_counts(vertices, links, max_depth=2).collect()))
+            assert links.forward.buckets == 1 and len(plans) == 3
+            # With few buckets beside the shuffle's, the combined candidates move to them.
+            shuffles = [len(re.findall(r"Exchange hashpartitioning\(node#\d+L?, word#", plan)) for plan in plans]
+            assert max(shuffles) <= (2 if partitions == 8 else 1)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = []
+    for start in range(42):
+        returned = returned_edges(edges, [start], 2, "uni")
+        expected.append((start, len(returned), len(ends(edges, returned))))
+    assert counts[1] == counts[2] == counts[8] == expected
+
+
+def test_flags_of_one_bit_and_of_several(spark):
+    words = [1, 2, 3, 1 << 61, (1 << 62) - 1, (1 << 61) | 1, 1 << 31]
+    rows = graph._flag_position(spark.createDataFrame([(w,) for w in words], "bits long"), graph.FLAGS).collect()
+    assert sorted((r.bits, r.flag) for r in rows) == sorted((w, i) for w in words for i in range(62) if w >> i & 1)
+    single = spark.createDataFrame([(4,)], "bits long")
+    assert "bit_count" in graph._flag_position(single, graph.FLAGS)._jdf.queryExecution().analyzed().toString()
