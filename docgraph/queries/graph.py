@@ -93,18 +93,18 @@ def graph_batch_mode(spark, sf_dir):
     return _lookup(spark, sf_dir, max_depth=2, direction="bi", batch=True)
 
 
-def _counts(spark, sf_dir) -> DataFrame:
+def _counts(spark, sf_dir, count: str) -> DataFrame:
     """Every vertex is a start."""
     vertices, edges, _ = _graph(spark, sf_dir)
-    return graph.lookup_counts(vertices, edges, max_depth=1)
+    return graph.lookup_counts(vertices, edges, max_depth=1, counts=[count])
 
 
 def graph_edge_count(spark, sf_dir):
-    return _counts(spark, sf_dir).select("start", "edge_count")
+    return _counts(spark, sf_dir, "edge_count")
 
 
 def graph_node_count(spark, sf_dir):
-    return _counts(spark, sf_dir).select("start", "node_count")
+    return _counts(spark, sf_dir, "node_count")
 
 
 def edge_report_parse(spark, sf_dir):

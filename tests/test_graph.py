@@ -384,6 +384,21 @@ def test_combined_candidates_move_once(spark, monkeypatch):
     assert counts[1] == counts[2] == counts[8] == expected
 
 
+@pytest.mark.parametrize("direction", ["uni", "bi"])
+def test_counts_alone(shapes, monkeypatch, direction):
+    """Either count without the other; edges followed one way need no hop beyond the depth."""
+    vertices, links, _ = shapes
+    rounds, own = [], graph.traverse
+    monkeypatch.setattr(graph, "traverse", lambda *given: rounds.append(given[-1]) or own(*given))
+    both = {r.start: r for r in graph.lookup_counts(vertices, links, max_depth=1, direction=direction).collect()}
+    for name in graph.COUNTS:
+        found = graph.lookup_counts(vertices, links, max_depth=1, direction=direction, counts=[name])
+        assert found.columns == ["start", name] and {r.start: r[name] for r in found.collect()} == {s: r[name] for s, r in both.items()}
+    assert rounds == ([2, 1, 2] if direction == "uni" else [2, 2, 2])
+    with pytest.raises(ValueError, match="counts"):
+        graph.lookup_counts(vertices, links, counts=["edges"])
+
+
 def test_flags_of_one_bit_and_of_several(spark):
     words = [1, 2, 3, 1 << 61, (1 << 62) - 1, (1 << 61) | 1, 1 << 31]
     rows = graph._flag_position(spark.createDataFrame([(w,) for w in words], "bits long"), graph.FLAGS).collect()
