@@ -26,6 +26,10 @@ from docgraph.plans.scratch import remove_path, write_table
 
 REJECTED = "_rejected"
 
+# Settings for writes of many small files: tasks move their own files into place, where the driver would move all of them one by one at the
+# end. What a failed job leaves is never seen, as no manifest lists it.
+MANY_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": 2}
+
 
 class IndexFolder:
     """The manifests and segments of one index."""
@@ -240,7 +244,7 @@ def bulk_index(
     rejected = F.size(errors) > 0
     place = F.struct(*(order or []), F.monotonically_increasing_id().alias("_written"))
     staged_path = folder.new_segment()
-    limit = {"maxRecordsPerFile": chunk_size} if chunk_size else {}
+    limit = {"maxRecordsPerFile": chunk_size, **MANY_FILES} if chunk_size else {}
     # One write for accepted and rejected documents, so that the input is read once.
     staged = documents.select(
         F.coalesce("_id", F.uuid()).alias("_id"),
@@ -252,7 +256,11 @@ def bulk_index(
         F.when(F.col("_id").isNotNull(), place).alias("_place"),
     )
     seen = Observation()
-    staged.observe(seen, F.count_if(F.col(REJECTED).isNull()).alias("rows")).write.options(**limit).parquet(staged_path)
+    good = F.col(REJECTED).isNull()
+    seen_rows = staged.observe(seen, F.count_if(good).alias("rows"), F.count_if(good & F.col("_keyed")).alias("keyed"))
+    # Columns that the documents do not have are not written; they are read back as null.
+    absent = ([] if "_errors" in documents.columns else [REJECTED, "_errors"]) + ([] if "_file" in documents.columns else ["_file"])
+    seen_rows.drop(*absent).write.options(**limit).parquet(staged_path)
     documents_of = {p: n for p, (n, _) in state.get("counts", {}).items()}
     documents_of[staged_path] = seen.get["rows"]
     staged = spark.read.schema(staged.schema).parquet(staged_path)
@@ -267,7 +275,8 @@ def bulk_index(
     accepted = staged.filter(F.col(REJECTED).isNull())
     keyed = accepted.filter("_keyed")
     last = keyed.groupBy("_id").agg(F.max("_place").alias("_place"), F.count(F.lit(1)).alias("_n"))
-    if documents_of[staged_path]:
+    # Documents without a key replace nothing.
+    if seen.get["keyed"]:
         last = write_table(last, "last") if segments else last
         if not last.filter(F.col("_n") > 1).isEmpty():
             new = folder.new_segment()
@@ -276,6 +285,7 @@ def bulk_index(
             documents_of[new] = _write_counted(kept.select("_id", "_source"), new, limit)
         if segments:
             segments = _without(folder, segments, schema, last.select("_id"), limit, documents_of)
+    if documents_of[staged_path]:
         segments[new] = StructType([f for f in own])
     folder.commit(state["version"] + 1, state["mapping"], segments, schema, documents_of)
     return load

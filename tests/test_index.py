@@ -6,6 +6,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions.documents import prepare_documents
@@ -132,6 +133,33 @@ def test_chunks_and_bulk_files(spark, tmp_path):
     assert all(p == ({"index": {"_index": "i", "_id": str(p[1]["id"])}}, {"id": p[1]["id"], "v": None}) for p in pairs)
 
 
+def test_keyless_load_is_only_written(spark, tmp_path, monkeypatch):
+    """Documents without keys replace nothing: what was written is not read again, and columns that no document has are not written."""
+    root = str(tmp_path)
+    index.bulk_index(_docs(spark, [(1, "a")]), root, "i")
+    jobs, own = [], DataFrame.isEmpty
+    monkeypatch.setattr(DataFrame, "isEmpty", lambda self: jobs.append("isEmpty") or own(self))
+    monkeypatch.setattr(index, "_without", lambda *given: jobs.append("_without"))
+    load = index.bulk_index(_docs(spark, [(n, "b") for n in range(25)], key=None), root, "i", chunk_size=10)
+    assert jobs == [] and load.stats.first() == (25, 25, 0) and load.rejects.count() == 0
+    found = index.index_scan(spark, root, "i")
+    assert sorted(tuple(r["_source"]) for r in found.collect()) == sorted([(1, "a")] + [(n, "b") for n in range(25)])
+    assert found.select("_id").distinct().count() == 26 and index.index_info(spark, root, "i").first().document_count == 26
+    state = index.IndexFolder(spark, root, "i").manifest()
+    written = spark.read.parquet(list(state["segments"])[-1]).columns
+    assert not {"_rejected", "_errors", "_file"} & set(written)
+
+
+def test_keyless_load_with_rejects(spark, tmp_path):
+    root = str(tmp_path)
+    index.bulk_index(_docs(spark, [(1, 4)], layout="id long, v long"), root, "i")
+    load = index.bulk_index(_docs(spark, [(2, "x"), (3, "5")], layout="id long, v string", key=None), root, "i", chunk_size=1)
+    assert load.stats.first() == (2, 1, 1) and load.rejects.count() == 1
+    assert sorted(tuple(r["_source"]) for r in index.index_scan(spark, root, "i").collect()) == [(1, 4), (3, 5)]
+    load = index.bulk_index(_docs(spark, [(2, "x")], layout="id long, v string"), root, "i")
+    assert load.stats.first() == (1, 0, 1) and index.index_scan(spark, root, "i").count() == 2
+
+
 def test_keyless_bulk_action_has_no_id(spark, tmp_path):
     index.bulk_ndjson(_docs(spark, [(1, "a")], key=None), str(tmp_path / "b"))
     lines = [line for f in (tmp_path / "b").glob("part-*") for line in f.read_text().splitlines()]
