@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -291,6 +293,25 @@ def test_queries_with_an_empty_first_partition(spark, tmp_path, name):
         assert sorted(found.value_counts("problem").items()) == [("", 500), ("a quote is not closed", 50)]
 
 
+@pytest.mark.parametrize("split", ["2000", "16000"])
+def test_split_rejects_returns_every_row_of_many_splits(spark, tmp_path, split):
+    """Splits without rows come first, of the only row group and of a file without rows; the text file written from it is split in records."""
+    names = {i: f"Customer#{hashlib.sha512(str(i).encode()).hexdigest()}" for i in range(500)}
+    rows = spark.createDataFrame(list(names.items()), "c_custkey long, c_name string").coalesce(1)
+    for part in (rows.limit(0), rows):
+        part.write.mode("append").option("compression", "none").parquet(str(tmp_path / "customer.parquet"))
+    known = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        found = [tuple(r) for r in queries()["csv_split_rejects"](spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", known)
+    broken = [i for i in names if i % 10 == 0]
+    expected = [(str(i), name, "") for i, name in names.items() if i % 10] + [('2nd line"', None, "")] * len(broken)
+    expected += [(f'{i},"{names[i]}', None, "a quote is not closed") for i in broken]
+    assert Counter(found) == Counter(expected)
+
+
 def test_only_wanted_columns_are_typed(spark, write):
     """One aggregate decides all types; forced columns need no pass over the file."""
     table = read_csv(spark, write("a,b\n1,2\n"), dtype={"a": "int64", "b": "int64"}).rows
